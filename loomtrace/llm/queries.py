@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomtrace.llm.language import language_id
 from loomtrace.llm.near_duplicates import near_duplicates
+from loomtrace.llm.quality import quality
 from loomtrace.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,18 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by cross-parsing entropy."""
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document by gradient-boosted trees."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_near_duplicates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with a Jaccard index of 0.85 or more over five-word shingles."""
