@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loomtrace.llm.language import language_id
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.quality import quality
+from loomtrace.llm.sentencepiece import MODEL, load_model, round_trips
 from loomtrace.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +42,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with a Jaccard index of 0.85 or more over five-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
+
+
+@query("op10_sentencepiece")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to pieces and decoded again."""
+    return round_trips(table(spark, sf_dir, "documents"), load_model(MODEL))
