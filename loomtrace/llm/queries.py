@@ -10,6 +10,7 @@ from loomtrace.llm.language import language_id
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.quality import quality
 from loomtrace.llm.sentencepiece import MODEL, load_model, round_trips
+from loomtrace.llm.url_filter import filter_urls
 from loomtrace.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +49,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to pieces and decoded again."""
     return round_trips(table(spark, sf_dir, "documents"), load_model(MODEL))
+
+
+#: The rules that op7 judges urls by: host, path, verdict.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+_OP7_SQL = """
+WITH parsed AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+rules(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fits AS (
+  SELECT host, path, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM parsed) JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parsed LEFT JOIN fits USING (host, path)
+"""
+
+
+@query("op7_url_filter", _OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url by the rules; a url that no rule fits is allowed."""
+    return filter_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
