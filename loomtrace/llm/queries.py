@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomtrace.llm.fingerprints import fingerprints
 from loomtrace.llm.language import language_id
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.quality import quality
@@ -73,3 +74,9 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url by the rules; a url that no rule fits is allowed."""
     return filter_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
+@query("op9_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints(table(spark, sf_dir, "documents"))
