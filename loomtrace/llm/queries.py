@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomtrace.llm.fingerprints import fingerprints
 from loomtrace.llm.language import language_id
+from loomtrace.llm.mixing import mix
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.quality import quality
 from loomtrace.llm.sentencepiece import MODEL, load_model, round_trips
@@ -80,3 +82,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+#: Names of the domains that sources fall into by their number, and weights of the mix: domain, lang, source, weight.
+DOMAINS = ("web", "news", "books", "forums")
+MIX_WEIGHTS = (
+    ("web", None, None, 4), ("news", None, None, 2), ("books", None, None, 3), ("forums", None, None, 1),
+    *((d, lang, None, w) for d in DOMAINS for lang, w in (("en", 4), ("de", 2), ("fr", 2), ("es", 1))),
+)
+WEIGHTS_SCHEMA = "domain string, lang string, source string, weight long"
+
+
+def domain_of(source: Column) -> Column:
+    """The domain of a source by the number at its end; ``other`` without one."""
+    number = F.regexp_extract(source, r"(\d+)$", 1).try_cast("long")
+    return F.coalesce(F.get(F.array(*map(F.lit, DOMAINS)), (number % len(DOMAINS)).cast("int")), F.lit("other"))
+
+
+@query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of all tokens, mixed by the weights of domains and languages, with up to four epochs of a source."""
+    docs = table(spark, sf_dir, "documents")
+    return mix(docs, domain_of(docs["source"]), spark.createDataFrame(MIX_WEIGHTS, WEIGHTS_SCHEMA), share=0.5, seed=17, epochs=4)
