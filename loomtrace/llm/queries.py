@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomtrace.llm.fingerprints import fingerprints
 from loomtrace.llm.language import language_id
+from loomtrace.llm.licenses import scan
 from loomtrace.llm.mixing import mix
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.quality import quality
@@ -104,3 +105,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of all tokens, mixed by the weights of domains and languages, with up to four epochs of a source."""
     docs = table(spark, sf_dir, "documents")
     return mix(docs, domain_of(docs["source"]), spark.createDataFrame(MIX_WEIGHTS, WEIGHTS_SCHEMA), share=0.5, seed=17, epochs=4)
+
+
+@query("op5_licenses")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of all documents that are like a licence template."""
+    return scan(table(spark, sf_dir, "documents"))
