@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomtrace.llm.fingerprints import fingerprints
 from loomtrace.llm.language import language_id
 from loomtrace.llm.licenses import scan
+from loomtrace.llm.media import text_media
 from loomtrace.llm.mixing import mix
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.quality import quality
@@ -31,6 +32,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_media")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as an image in an archive, read back and described."""
+    return text_media(table(spark, sf_dir, "documents"))
+
+
 @query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document by cross-parsing entropy."""
