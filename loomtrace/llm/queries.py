@@ -14,6 +14,7 @@ from loomtrace.llm.media import text_media
 from loomtrace.llm.mixing import mix
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.quality import quality
+from loomtrace.llm.revisits import crawl_records, restored
 from loomtrace.llm.sentencepiece import MODEL, load_model, round_trips
 from loomtrace.llm.url_filter import filter_urls
 from loomtrace.sources.tables import table
@@ -38,6 +39,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(table(spark, sf_dir, "documents"))
 
 
+@query("op2_revisits")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of all pages resolved to the responses that they repeat."""
+    found = restored(crawl_records(table(spark, sf_dir, "pages")))
+    shown = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda x: F.concat(x["key"], F.lit(": "), x["value"]))), "; ")
+    return found.select(
+        "record_id", "canonical", "kind", "resolution", "from_id", "status", shown.alias("headers"),
+        F.sha2(F.col("payload").cast("binary"), 256).alias("payload_sha256"), F.length("payload").cast("long").alias("n_chars"),
+    )
+
+
 @query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document by cross-parsing entropy."""
