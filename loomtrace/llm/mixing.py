@@ -76,12 +76,12 @@ def budgets(leaves: DataFrame, weights: DataFrame, tokens: int, epochs: int) ->
         own = own.select(*LEVELS[:depth], F.col("weight").alias("w"))
         below = below.join(own, list(LEVELS[:depth]), "left").withColumn(f"weight{depth}", F.coalesce("w", F.lit(1).cast("long"))).drop("w")
     below = below.withColumn("cap", F.when((F.col("weight1") > 0) & (F.col("weight2") > 0) & (F.col("weight3") > 0), F.col("cap")).otherwise(0))
-    total = below.agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("cap")).select(F.least("cap", F.lit(tokens).cast("long")).alias("budget"))
-    parent = total
+    total = min(tokens, below.agg(F.sum("cap")).first()[0] or 0)
+    parent = None
     for depth in range(1, 4):
         names = list(LEVELS[:depth])
         children = below.groupBy(*names).agg(F.sum("cap").alias("cap"), F.first(f"weight{depth}").alias("weight"))
-        children = children.join(parent, names[:-1]) if depth > 1 else children.crossJoin(F.broadcast(parent))  # one row
+        children = children.join(parent, names[:-1]) if parent is not None else children.withColumn("budget", F.lit(total).cast("long"))
         parent = _share_out(children, names[:-1], names[-1]).select(*names, F.col("got").alias("budget"))
     return leaves.select(*LEVELS, "supply").join(parent, list(LEVELS))
 
