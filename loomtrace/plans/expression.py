@@ -14,6 +14,7 @@ from collections.abc import Callable, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from loomtrace.functions.rules import truthy_and, truthy_or
 
@@ -89,7 +90,7 @@ def called_names(text: str) -> list[str] | None:
     return [n.func.id for n in ast.walk(tree) if isinstance(n, ast.Call) and isinstance(n.func, ast.Name)]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def calls(text: pd.Series) -> pd.Series:
     """``called_names`` of a column."""
     return text.map(lambda x: None if x is None else called_names(x))
