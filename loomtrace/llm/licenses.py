@@ -45,9 +45,9 @@ def normalised_words(text: Column) -> Column:
 
 
 def bigrams(words: Column) -> Column:
-    """Distinct pairs of neighbouring words; a single word counts as one."""
-    pairs = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(words)
+    """Distinct pairs of neighbouring words as 64-bit hashes; a single word counts as one."""
+    pairs = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.xxhash64(a, b))
+    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def _templates(spark: SparkSession, templates: Iterable[tuple[str, str]], threshold: float) -> DataFrame:
@@ -76,8 +76,8 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, thre
     templates = list(templates)
     listed = _templates(spark, templates, threshold)  # of a fixed size: len(templates) times the sizes that each allows
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    paragraphs = F.split("text", r"\n[ \t\r]*\n\s*")
-    lines = F.split("text", r"\n")
+    rows = rows.withColumn("paragraphs", F.split("text", r"\n[ \t\r]*\n\s*")).withColumn("lines", F.split("text", r"\n"))
+    paragraphs, lines = F.col("paragraphs"), F.col("lines")
     number = lambda kind, parts: F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("part"), i.alias("number"), x.alias("body")))
     whole = F.array(F.struct(F.lit("text").alias("part"), F.lit(0).alias("number"), F.col("text").alias("body")))
     nothing = F.slice(whole, 1, 0)
@@ -87,7 +87,8 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, thre
         F.when(F.size(lines) > F.size(paragraphs), number("line", lines)).otherwise(nothing),
     )
     found = rows.select("doc_id", F.explode(parts).alias("p")).select("doc_id", "p.part", "p.number", "p.body")
-    found = found.withColumn("grams", bigrams(normalised_words(F.col("body")))).drop("body").withColumn("size", F.size("grams"))
+    found = found.withColumn("words", normalised_words(F.col("body"))).drop("body")  # a column of its own: split once
+    found = found.withColumn("grams", bigrams(F.col("words"))).drop("words").withColumn("size", F.size("grams"))
     pairs = found.join(F.broadcast(listed), "size")
     shared = F.size(F.array_intersect("grams", "pattern"))
     pairs = pairs.withColumn("dice", 2 * shared / (F.col("size") + F.size("pattern"))).filter(F.col("dice") >= threshold)
