@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def stripped(text: Column) -> Column:
@@ -42,13 +43,13 @@ def indel(a: str, b: str) -> float:
     return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """``indel`` of two columns; null counts as empty."""
     return pd.Series([indel(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def line_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The matching-blocks ratio of two texts over their lines."""
     return pd.Series([SequenceMatcher(None, (x or "").splitlines(), (y or "").splitlines()).ratio() for x, y in zip(a, b, strict=True)])

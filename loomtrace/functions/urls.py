@@ -19,24 +19,26 @@ def with_scheme(url: Column) -> Column:
 
 
 def registered_name(host: Column) -> Column:
-    """A host without its public suffix (the last label, or two of a known pair)."""
-    pair = F.substring_index(host, ".", -2)
-    cut = F.when(pair.isin(*TWO_PART_SUFFIXES), F.lit(2)).otherwise(F.lit(1))
+    """A host without its public suffix (the last label, or two of a known pair), and without a ``www`` that is all its subdomain."""
+    cut = F.when(F.substring_index(host, ".", -2).isin(*TWO_PART_SUFFIXES), F.lit(2)).otherwise(F.lit(1))
     labels = F.split(host, r"\.")
-    return F.when(F.size(labels) > cut, F.array_join(F.slice(labels, F.lit(1), F.size(labels) - cut), ".")).otherwise(host)
+    kept = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - cut, F.lit(1)))
+    lone = (F.size(kept) == 2) & (F.get(kept, F.lit(0)) == "www")
+    return F.array_join(F.when(lone, F.slice(kept, 2, 1)).otherwise(kept), ".")
 
 
 def compare_form(url: Column, full: bool = True) -> Column:
     """What two urls must share to count as one: no public suffix, no lone ``www``, no root slash; null for null.
 
-    Without ``full`` the query and the fragment do not count either.
+    Without ``full`` the parameters, the query and the fragment do not count either.
     """
-    whole = with_scheme(F.trim(url))
+    whole = with_scheme(url)
     scheme = F.lower(F.regexp_extract(whole, r"^([A-Za-z][\w+.-]*)://", 1))
-    name = registered_name(F.regexp_replace(_host(whole), r"^www\.(?=[^.]+\.[^.]+$|[^.]+\.[^.]+\.[^.]+$)", ""))
     path = F.regexp_extract(whole, r"://[^/?#]*([^?#]*)", 1)
     rest = F.regexp_extract(whole, r"://[^?#]*([?#].*)?$", 1) if full else F.lit("")
-    return F.concat(scheme, F.lit("://"), name, F.when(path == "/", "").otherwise(F.lower(path)), F.lower(rest))
+    if not full:
+        path = F.regexp_replace(path, ";[^/]*$", "")
+    return F.concat(scheme, F.lit("://"), registered_name(_host(whole)), F.when(path == "/", "").otherwise(path), rest)
 
 
 def query_value(url: Column, key: str) -> Column:

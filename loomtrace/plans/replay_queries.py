@@ -98,13 +98,14 @@ def batch_collate(spark, sf_dir):
 
 # --- texts of rollouts --------------------------------------------------------
 
-_TURNS = Window.partitionBy("conv_id").orderBy("turn")
+def _turns():
+    return Window.partitionBy("conv_id").orderBy("turn")
 
 
 @query("q_prompt_cumulative", "SELECT conv_id, turn, md5(coalesce(string_agg(text, '' ) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')) AS prompt FROM conversations")
 def prompt_cumulative(spark, sf_dir):
     """What a turn sees: all turns before it, put together."""
-    before = F.array_join(F.collect_list("text").over(_TURNS.rowsBetween(Window.unboundedPreceding, -1)), "")
+    before = F.array_join(F.collect_list("text").over(_turns().rowsBetween(Window.unboundedPreceding, -1)), "")
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(before.cast("binary")).alias("prompt"))
 
 
@@ -112,7 +113,7 @@ def prompt_cumulative(spark, sf_dir):
 def history_window(spark, sf_dir):
     """The last two turns before each turn."""
     item = F.concat("role", F.lit(":"), F.length("text"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(F.collect_list(item).over(_TURNS.rowsBetween(-2, -1)), "|").alias("history"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(F.collect_list(item).over(_turns().rowsBetween(-2, -1)), "|").alias("history"))
 
 
 @query("q_vision_tag_replace", """WITH t AS (SELECT conv_id, turn, '<|vision_start|>' || role || chr(10) || turn || '<|vision_end|>' || text || '<|vision_start|>x<|vision_end|>' AS s FROM conversations)

@@ -11,7 +11,7 @@ from loomtrace.sources.tables import table
 
 
 @query("q_url_canonical", """WITH p AS (SELECT page_id, lower(regexp_extract(url, '^(\\w+)://', 1)) AS scheme, lower(regexp_extract(url, '://([^/?#:]*)', 1)) AS host, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path FROM pages)
-SELECT page_id, scheme || '://' || regexp_replace(CASE WHEN regexp_matches(host, '^www\\.[^.]+\\.[^.]+(\\.[^.]+)?$') THEN substr(host, 5) ELSE host END, '\\.[^.]+$', '') || CASE WHEN path = '/' THEN '' ELSE lower(path) END AS form FROM p""")
+SELECT page_id, scheme || '://' || regexp_replace(CASE WHEN regexp_matches(host, '^www\\.[^.]+\\.[^.]+$') THEN substr(host, 5) ELSE host END, '\\.[^.]+$', '') || CASE WHEN path = '/' THEN '' ELSE path END AS form FROM p""")
 def url_canonical(spark, sf_dir):
     """Page urls in the form that comparison uses, without query and fragment."""
     return table(spark, sf_dir, "pages").select("page_id", U.compare_form(F.col("url"), full=False).alias("form"))
