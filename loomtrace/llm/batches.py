@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Bytes of text that one step of a kernel works on; one longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Bytes and rows of a batch that goes to a Python worker at most, unless the session asks for fewer.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
+
+
+def map_batches(frame: DataFrame, scan: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``frame.mapInArrow`` with batches of bounded size.
+
+    Batches stand outside the heap of an executor, a few for each task, both ways. The
+    two settings of the session are lowered where they are larger, and stay so.
+    """
+    conf = frame.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = conf.get(key)
+        bytes_now = _bytes(now)
+        if bytes_now <= 0 or bytes_now > most:
+            conf.set(key, str(most))
+    return frame.mapInArrow(scan, schema)
+
+
+def _bytes(setting: str) -> int:
+    """A number of bytes such as 64m or 67108864b."""
+    text = setting.strip().lower().removesuffix("b")
+    scale = {"k": 10, "m": 20, "g": 30}.get(text[-1:], 0)
+    return int(text.rstrip("kmg")) << scale
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

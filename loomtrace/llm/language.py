@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.batches import slices
+from loomtrace.llm.batches import map_batches, slices
 
 #: Labelled rows of a language that are learned from at most, and symbols of them.
 SAMPLE_ROWS = 64
@@ -250,7 +250,7 @@ def identify(docs: DataFrame, sample: list[tuple[str, str]]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(scan, "doc_id long, lang_pred string, score double")
+    return map_batches(source, scan, "doc_id long, lang_pred string, score double")
 
 
 def language_id(docs: DataFrame) -> DataFrame:
@@ -276,4 +276,4 @@ def keep_identified(docs: DataFrame, above: float = 0.0) -> DataFrame:
             langs, scores = parser.predict(data, offsets)
             yield batch.filter(pc.and_(pc.not_equal(pa.array(langs), UNDETERMINED), pa.array(scores > above)))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return map_batches(docs, scan, docs.schema)

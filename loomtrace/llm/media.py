@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from loomtrace.llm.batches import map_batches
 from loomtrace.llm.scratch import Scratch
 
 #: Bytes of a row of pixels: 64 of them, three samples each.
@@ -284,7 +285,7 @@ def described(media: DataFrame) -> DataFrame:
 
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return media.select("doc_id", "media").mapInArrow(scan, schema)
+    return map_batches(media.select("doc_id", "media"), scan, schema)
 
 
 def text_media(docs: DataFrame) -> DataFrame:

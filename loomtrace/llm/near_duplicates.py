@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.batches import slices
+from loomtrace.llm.batches import map_batches, slices
 from loomtrace.llm.components import connected_components
 from loomtrace.llm.scratch import Scratch
 from loomtrace.llm.shingles import set_key, shingle_sets
@@ -76,7 +76,7 @@ def sketches(docs: DataFrame, words: int = 5, k: int = K) -> DataFrame:
             )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(scan, "doc_id long, n_shingles long, key_a long, key_b long, sketch array<long>")
+    return map_batches(source, scan, "doc_id long, n_shingles long, key_a long, key_b long, sketch array<long>")
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -95,7 +95,7 @@ def _whole_sets(docs: DataFrame, words: int) -> DataFrame:
             keys = [set_key(x)[0] for x in sets]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), _lists(sets)], names=["node", "n", "whole"])
 
-    return docs.select("text").mapInArrow(scan, "node long, n long, whole array<long>")
+    return map_batches(docs.select("text"), scan, "node long, n long, whole array<long>")
 
 
 def by_ids(frame: DataFrame, ids: DataFrame, count: int, how: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.batches import slices
+from loomtrace.llm.batches import map_batches, slices
 from loomtrace.llm.language import held_out
 from loomtrace.llm.shingles import mix, words
 
@@ -178,7 +178,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -
             x = statistics(data, offsets)
             yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["place", "label", "x"])
 
-    rows = joined.mapInArrow(scan, "place long, label int, x array<double>").orderBy("place", "label", "x").limit(most).collect()
+    rows = map_batches(joined, scan, "place long, label int, x array<double>").orderBy("place", "label", "x").limit(most).collect()
     x = np.array([r.x for r in rows]).reshape(len(rows), len(FEATURES))
     return x, np.array([r.label for r in rows], float)
 
@@ -191,7 +191,7 @@ def score(docs: DataFrame, forest: Forest) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(forest.scores(statistics(data, offsets)))], names=["doc_id", "score"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(scan, "doc_id long, score double")
+    return map_batches(source, scan, "doc_id long, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -212,4 +212,4 @@ def keep_quality(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> Data
         for batch, data, offsets in slices(batches):
             yield batch.filter(pa.array(forest.scores(statistics(data, offsets)) >= least))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return map_batches(docs, scan, docs.schema)

@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtrace.llm.batches import slices
+from loomtrace.llm.batches import map_batches, slices
 
 MARK = "▁"
 #: An unknown character scores this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Runs that a worker remembers, and characters of a run that is remembered at most.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 64
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 
 #: Model file that queries use where no other is named.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -195,7 +195,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "piece
                 parts = pa.array([None if gone else p for gone, p in zip(column.is_null().to_pylist(), parts.to_pylist(), strict=True)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, parts], names=[*batch.schema.names, into])
 
-    return docs.mapInArrow(scan, _with(docs, into, "array<int>"))
+    return map_batches(docs, scan, _with(docs, into, "array<int>"))
 
 
 def decode(frame: DataFrame, model: bytes, pieces: str = "pieces", into: str = "decoded") -> DataFrame:
@@ -209,7 +209,7 @@ def decode(frame: DataFrame, model: bytes, pieces: str = "pieces", into: str = "
             texts = [None if ids is None else own.decode(ids) for ids in batch.column(batch.schema.get_field_index(pieces)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
-    return frame.mapInArrow(scan, _with(frame, into, "string"))
+    return map_batches(frame, scan, _with(frame, into, "string"))
 
 
 def _with(frame: DataFrame, name: str, kind: str):
@@ -242,4 +242,4 @@ def round_trips(docs: DataFrame, model: bytes) -> DataFrame:
             )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(scan, "doc_id long, n_chars long, n_pieces long, pieces_md5 string, decoded_md5 string, exact boolean")
+    return map_batches(source, scan, "doc_id long, n_chars long, n_pieces long, pieces_md5 string, decoded_md5 string, exact boolean")
