@@ -120,7 +120,10 @@ def restored(records: DataFrame) -> DataFrame:
     of repeated ones the greatest payload counts.
     """
     payloads = records.filter("kind = 'response' and status = 200").groupBy(F.col("record_id").alias("from_id")).agg(F.max("payload").alias("payload"))
-    return resolve_revisits(records).join(payloads, "from_id", "left").select("record_id", "canonical", "kind", "resolution", "from_id", "status", "headers", "payload")
+    # Rows without a source are dealt by their own id, not all to the task of the null.
+    spread = F.when(F.col("from_id").isNull(), F.xxhash64("record_id")).otherwise(F.lit(0).cast("long"))
+    found = resolve_revisits(records).withColumn("spread", spread)
+    return found.join(payloads.withColumn("spread", F.lit(0).cast("long")), ["from_id", "spread"], "left").select("record_id", "canonical", "kind", "resolution", "from_id", "status", "headers", "payload")
 
 
 def crawl_records(pages: DataFrame, step: int = 1_000, later: int = 2_500_000) -> DataFrame:
