@@ -13,6 +13,7 @@ from loomtrace.llm.licenses import scan
 from loomtrace.llm.media import text_media
 from loomtrace.llm.mixing import mix
 from loomtrace.llm.near_duplicates import near_duplicates
+from loomtrace.llm.oracles import REVISITS_SQL, licenses_sql, mixing_sql
 from loomtrace.llm.quality import quality
 from loomtrace.llm.revisits import crawl_records, restored
 from loomtrace.llm.sentencepiece import MODEL, load_model, round_trips
@@ -39,7 +40,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(table(spark, sf_dir, "documents"))
 
 
-@query("op2_revisits")
+@query("op2_revisits", REVISITS_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revisits of all pages resolved to the responses that they repeat."""
     found = restored(crawl_records(table(spark, sf_dir, "pages")))
@@ -119,14 +120,14 @@ def domain_of(source: Column) -> Column:
     return F.coalesce(F.get(F.array(*map(F.lit, DOMAINS)), (number % len(DOMAINS)).cast("int")), F.lit("other"))
 
 
-@query("op4_mixing")
+@query("op4_mixing", mixing_sql(0.5, 17, 4))
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of all tokens, mixed by the weights of domains and languages, with up to four epochs of a source."""
     docs = table(spark, sf_dir, "documents")
     return mix(docs, domain_of(docs["source"]), spark.createDataFrame(MIX_WEIGHTS, WEIGHTS_SCHEMA), share=0.5, seed=17, epochs=4)
 
 
-@query("op5_licenses")
+@query("op5_licenses", licenses_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of all documents that are like a licence template."""
     return scan(table(spark, sf_dir, "documents"))

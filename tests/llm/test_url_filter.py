@@ -4,11 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from loomtrace.llm.queries import ORACLES, QUERIES, URL_RULES
+from loomtrace.llm.queries import URL_RULES
 from loomtrace.llm.url_filter import BlockedBloom, filter_urls
 
-from tests.llm.helpers import same_as_duckdb
-
 RULES = "host string, path string, verdict string"
 
 
@@ -30,10 +28,6 @@ def judge(url, rules):
     return host, path, best and best[3], best[2] if best else "allow"
 
 
-def test_query_against_sql(spark, sf_dir):
-    same_as_duckdb(QUERIES["op7_url_filter"](spark, sf_dir), ORACLES["op7_url_filter"], sf_dir)
-
-
 def test_against_brute_force(spark):
     rnd = random.Random(2)
     names = ["net", "example.net", "a.example.net", "EXAMPLE.com", "example.com.", "x.org", "org", "", "b..net", "Ünet.net", "10.0.0.1:80"]
