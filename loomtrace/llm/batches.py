@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,19 +17,45 @@ SLICE_BYTES = 2 << 20
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
 
 
-def map_batches(frame: DataFrame, scan: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``frame.mapInArrow`` with batches of bounded size.
+#: What kernels keep in a worker from task to task, by name.
+_KEPT: dict[str, object] = {}
+
+
+def kept(function):
+    """A function whose last result stays in the worker until a scan runs that does not name it."""
+    _KEPT[function.__name__] = cached = lru_cache(maxsize=1)(function)
+    return cached
+
+
+def _give_back(names: tuple[str, ...]) -> None:
+    """Frees what only other scans keep, and gives free memory back to the system."""
+    for name, cached in _KEPT.items():
+        if name not in names:
+            cached.cache_clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library keeps its memory
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def map_batches(frame: DataFrame, scan: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keeps: tuple[str, ...] = ()) -> DataFrame:
+    """``frame.mapInArrow`` with batches of bounded size, whose workers hold on to no more than ``keeps`` between tasks.
 
     Batches stand outside the heap of an executor, a few for each task, both ways. The
     two settings of the session are lowered where they are larger, and stay so.
     """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back(keeps)
+        yield from scan(batches)
+        _give_back(keeps)
+
     conf = frame.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
         now = conf.get(key)
         bytes_now = _bytes(now)
         if bytes_now <= 0 or bytes_now > most:
             conf.set(key, str(most))
-    return frame.mapInArrow(scan, schema)
+    return frame.mapInArrow(tidy, schema)
 
 
 def _bytes(setting: str) -> int:

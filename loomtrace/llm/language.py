@@ -15,7 +15,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.batches import map_batches, slices
+from loomtrace.llm.batches import kept, map_batches, slices
 
 #: Labelled rows of a language that are learned from at most, and symbols of them.
 SAMPLE_ROWS = 64
@@ -35,6 +34,9 @@ BLOCK = 1_024
 #: Letters that are told apart; rarer ones match nothing.
 LETTERS = 250
 
+#: What a worker keeps from task to task.
+KEEPS = ("_parser", "_symbol_table")
+
 UNDETERMINED = "und"
 _SPACE, _UNKNOWN, _BREAK = 0, 1, 2
 
@@ -161,7 +163,7 @@ def _fold(text: str) -> str:
     return " ".join("".join(c.lower()[0] if c.isalpha() else " " for c in text).split())
 
 
-@lru_cache(maxsize=4)
+@kept
 def _symbol_table(letters: str) -> np.ndarray:
     """The symbol of each code point."""
     code = {c: i + 3 for i, c in enumerate(letters)}
@@ -227,7 +229,7 @@ def _parse_table(symbols: list[int], width: int, base: int) -> np.ndarray:
     return table.astype(np.int32).ravel()
 
 
-@lru_cache(maxsize=2)
+@kept
 def _parser(sample: tuple[tuple[str, str], ...]) -> CrossParser:
     return CrossParser(sample)
 
@@ -250,7 +252,7 @@ def identify(docs: DataFrame, sample: list[tuple[str, str]]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(source, scan, "doc_id long, lang_pred string, score double")
+    return map_batches(source, scan, "doc_id long, lang_pred string, score double", KEEPS)
 
 
 def language_id(docs: DataFrame) -> DataFrame:
@@ -276,4 +278,4 @@ def keep_identified(docs: DataFrame, above: float = 0.0) -> DataFrame:
             langs, scores = parser.predict(data, offsets)
             yield batch.filter(pc.and_(pc.not_equal(pa.array(langs), UNDETERMINED), pa.array(scores > above)))
 
-    return map_batches(docs, scan, docs.schema)
+    return map_batches(docs, scan, docs.schema, KEEPS)

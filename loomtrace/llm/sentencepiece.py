@@ -18,7 +18,6 @@ import itertools
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtrace.llm.batches import map_batches, slices
+from loomtrace.llm.batches import kept, map_batches, slices
 
 MARK = "▁"
 #: An unknown character scores this much less than the worst piece.
@@ -166,7 +165,7 @@ class _Solved(dict):
 _HIDDEN = "\U0010fffe"
 
 
-@lru_cache(maxsize=2)
+@kept
 def codec(model: bytes) -> Codec:
     return Codec(model)
 
@@ -195,7 +194,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "piece
                 parts = pa.array([None if gone else p for gone, p in zip(column.is_null().to_pylist(), parts.to_pylist(), strict=True)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, parts], names=[*batch.schema.names, into])
 
-    return map_batches(docs, scan, _with(docs, into, "array<int>"))
+    return map_batches(docs, scan, _with(docs, into, "array<int>"), ("codec",))
 
 
 def decode(frame: DataFrame, model: bytes, pieces: str = "pieces", into: str = "decoded") -> DataFrame:
@@ -209,7 +208,7 @@ def decode(frame: DataFrame, model: bytes, pieces: str = "pieces", into: str = "
             texts = [None if ids is None else own.decode(ids) for ids in batch.column(batch.schema.get_field_index(pieces)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
-    return map_batches(frame, scan, _with(frame, into, "string"))
+    return map_batches(frame, scan, _with(frame, into, "string"), ("codec",))
 
 
 def _with(frame: DataFrame, name: str, kind: str):
@@ -242,4 +241,4 @@ def round_trips(docs: DataFrame, model: bytes) -> DataFrame:
             )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(source, scan, "doc_id long, n_chars long, n_pieces long, pieces_md5 string, decoded_md5 string, exact boolean")
+    return map_batches(source, scan, "doc_id long, n_chars long, n_pieces long, pieces_md5 string, decoded_md5 string, exact boolean", ("codec",))
