@@ -139,7 +139,9 @@ def mix(docs: DataFrame, domain: Column, weights: DataFrame, tokens: int | None
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_named(docs, domain), count_tokens(docs["text"]).alias("tokens"))
     rows = scratch.keep(rows, "tokens")
-    planned = _with_plan(rows, _plan(rows, weights, tokens, share, seed, epochs, scratch)).filter("tokens > 0")
+    plan = _plan(rows, weights, tokens, share, seed, epochs, scratch)
+    scratch.only(rows, plan)
+    planned = _with_plan(rows, plan).filter("tokens > 0")
     again = planned.filter("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole") - 1))).withColumn("taken", F.col("tokens"))
     inside, at_cut = _prefix(planned, seed)
     last = inside.withColumn("taken", F.col("tokens")).unionByName(at_cut.drop("start")).withColumn("epoch", F.col("whole"))
@@ -153,6 +155,7 @@ def mixed_documents(docs: DataFrame, domain: Column, weights: DataFrame, tokens:
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_named(docs, domain), count_tokens(docs["text"]).alias("tokens"), own)
     plan = _plan(scratch.keep(rows.drop("row"), "tokens"), weights, tokens, share, seed, 1, scratch)
+    scratch.only(plan)
     planned = _with_plan(rows, plan).filter("tokens > 0")
     inside, at_cut = _prefix(planned, seed)
     return planned.filter("whole > 0").select("row.*").union(inside.select("row.*")).union(at_cut.select("row.*"))

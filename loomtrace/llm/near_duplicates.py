@@ -122,7 +122,7 @@ def _verified(pairs: DataFrame, whole: DataFrame, percent: int, k: int) -> DataF
     return both.filter(F.when(full & (seen < least_shared(k, percent)), F.lit(False)).otherwise(linked)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text; other columns are not read).
 
     Documents are linked when 100 * |A & B| >= percent * |A | B| for their sets of
@@ -136,7 +136,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     No row: no row.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "near-duplicates")
+    scratch = scratch or Scratch(spark, "near-duplicates")
     sets = scratch.keep(sketches(docs, words, k), "sketches")
     own = sets.filter("n_shingles > 0 and doc_id is not null")
     classes = own.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
@@ -161,6 +161,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     else:
         component = component.withColumn("component_id", F.col("rep"))
     component = scratch.keep(component.select("key_a", "key_b", "component_id"), "components")
+    scratch.only(sets, component)
     joined = sets.select("doc_id", "n_shingles", "key_a", "key_b").join(component, ["key_a", "key_b"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     joined = joined.withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")))
@@ -222,6 +223,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     broadcast if they are at most BROADCAST_IDS, else the join shuffles.
     """
     scratch = Scratch(docs.sparkSession, "near-duplicates-gone")
-    found = near_duplicates(docs, words, percent)
+    found = near_duplicates(docs, words, percent, scratch=scratch)
     gone = scratch.keep(found.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    scratch.only(gone)
     return by_ids(docs, gone.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")), gone.count(), "left_anti").select(*docs.columns)

@@ -42,6 +42,7 @@ class Scratch:
         self.spark = spark
         self.uri = f"{shared_folder(spark)}/loomtrace/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        self.held: dict[str, None] = {}
         files, path = _path(spark, self.uri)
         files.deleteOnExit(path)
 
@@ -55,8 +56,17 @@ class Scratch:
         frame.write.parquet(uri)
         kept = self.spark.read.schema(frame.schema).parquet(uri)
         kept._scratch_uri = uri
+        self.held[uri] = None
         return kept
 
     def drop(self, frame: DataFrame) -> None:
+        self.held.pop(frame._scratch_uri, None)
         files, path = _path(self.spark, frame._scratch_uri)
         files.delete(path, True)
+
+    def only(self, *frames: DataFrame) -> None:
+        """Frees all tables but those of ``frames``."""
+        for uri in [u for u in self.held if u not in {f._scratch_uri for f in frames}]:
+            del self.held[uri]
+            files, path = _path(self.spark, uri)
+            files.delete(path, True)
