@@ -1,9 +1,11 @@
 """Licence scans: normalised text against licence templates by the Dice coefficient over word bigrams.
 
-A text is scanned as a whole, by its paragraphs (parts between blank lines) and by
-its lines. A part is compared with a template only if their numbers of bigrams allow
-the threshold at all: templates are listed once for each size that a partner may
-have, so that pruning by size is an equality join and no part meets every template.
+A text is scanned as a whole, by its paragraphs (parts between blank lines), by its
+lines and by windows of its words. A part is compared with a template only if their
+numbers of bigrams allow the threshold at all: templates are listed once for each size
+that a partner may have, so that pruning by size is an equality join and no part meets
+every template. Windows are sought only in texts that hold an anchor: of a template's
+bigrams so many are anchors that no window can reach the threshold without one.
 """
 
 from __future__ import annotations
@@ -63,38 +65,119 @@ def _templates(spark: SparkSession, templates: Iterable[tuple[str, str]], thresh
     return rows.select(F.explode(F.sequence(F.greatest(low, F.lit(1)).cast("int"), high.cast("int"))).alias("size"), "template", "licence", "pattern")
 
 
+def _window_templates(spark: SparkSession, templates: Iterable[tuple[str, str]], threshold: float) -> DataFrame:
+    """(template, licence, pattern, needed, most, anchors): what a window has to share, its greatest size, and bigrams of which it has one.
+
+    A window shares ``needed`` = ceil(a * t / (2 - t)) of a bigrams at least, so it has
+    one of any a - needed + 1 of them; those with the longest words are the rarest.
+    """
+    rows = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(templates)], "template int, licence string, body string")
+    rows = rows.withColumn("words", normalised_words(F.col("body"))).withColumn("pattern", bigrams(F.col("words"))).filter(F.size("words") > 1)
+    a = F.size("pattern")
+    pairs = F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda x, y: F.struct((-F.length(x) - F.length(y)).alias("rank"), F.xxhash64(x, y).alias("gram")))
+    rows = rows.withColumn("needed", F.ceil(a * (threshold / (2 - threshold)) - 1e-9).cast("int")).withColumn("most", F.floor(a * ((2 - threshold) / threshold) + 1e-9).cast("int"))
+    ranked = F.transform(F.array_sort(F.array_distinct(pairs)), lambda x: x["gram"])
+    return rows.select("template", "licence", "pattern", "needed", "most", F.slice(ranked, F.lit(1), a - F.col("needed") + 1).alias("anchors"))
+
+
+def _windows(rows: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """(doc_id, key, ranges, found): texts of ``rows`` with windows like a template; ``found`` has structs (shared, template, licence, dice, first, last).
+
+    A window starts and ends with a bigram of its template, for others only lower
+    Dice; of the windows from one start the best counts. Where windows overlap, the one
+    that shares most bigrams stands, of equal ones the one with the greater Dice.
+    """
+    spark = rows.sparkSession
+    listed = _window_templates(spark, templates, threshold)  # of a fixed size: a row a template
+    anchors = listed.select(F.flatten(F.collect_list("anchors")).alias("any_anchor"))
+    texts = rows.select("doc_id", "text", F.xxhash64("text").alias("key")).withColumn("words", normalised_words(F.col("text")))
+    pairs = F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda x, y: F.xxhash64(x, y))
+    texts = texts.filter(F.size("words") > 1).withColumn("g", pairs).drop("words")
+    texts = texts.crossJoin(F.broadcast(anchors)).filter(F.arrays_overlap("g", "any_anchor")).drop("any_anchor")
+    near = texts.crossJoin(F.broadcast(listed)).filter(F.arrays_overlap("g", "anchors"))
+    near = near.filter(F.size(F.array_intersect("g", "pattern")) >= F.col("needed")).drop("anchors")
+    at = F.filter(F.transform("g", lambda x, i: F.when(F.array_contains("pattern", x), i)), lambda i: i.isNotNull())
+    near = near.withColumn("at", at)
+    far = lambda i, k: F.coalesce(F.get("at", k + F.col("needed") - 1) - i < F.col("most"), F.lit(False))
+    near = near.withColumn("starts", F.filter(F.transform("at", lambda i, k: F.when(far(i, k), i)), lambda i: i.isNotNull())).filter(F.size("starts") > 0)
+    near = near.select("doc_id", "text", "key", "g", "template", "licence", "pattern", "most", F.explode("starts").alias("first"))
+    near = near.withColumn("s", F.slice("g", F.col("first") + 1, F.col("most"))).drop("g")
+    # Whether each bigram is new to the window and, if it is, of the template.
+    near = near.withColumn("news", F.transform("s", lambda x, k: F.when(F.array_position("s", x) == k + 1, F.when(F.array_contains("pattern", x), 2).otherwise(1)).otherwise(0)))
+    empty = F.struct(F.lit(0).alias("shared"), F.lit(0).alias("size"), F.lit(0).alias("at"), F.lit(0.0).alias("dice"), F.lit(0).alias("best_shared"), F.lit(0).alias("length"))
+
+    def step(state, new):
+        shared, size, at = state["shared"] + F.when(new == 2, 1).otherwise(0), state["size"] + F.when(new > 0, 1).otherwise(0), state["at"] + 1
+        dice = 2 * shared / (size + F.size("pattern"))
+        better = (new == 2) & (dice > state["dice"])
+        best = lambda now, name: F.when(better, now).otherwise(state[name]).alias(name)
+        return F.struct(shared.alias("shared"), size.alias("size"), at.alias("at"), best(dice, "dice"), best(shared, "best_shared"), best(at, "length"))
+
+    near = near.withColumn("w", F.aggregate("news", empty, step)).filter(F.col("w.dice") >= threshold)
+    last = F.col("first") + F.col("w.length")
+    one = F.struct((-F.col("w.best_shared")).alias("shared"), (-F.col("w.dice")).alias("less"), "template", "first", last.alias("last"), "licence", F.col("w.dice").alias("dice"))
+    found = near.groupBy("doc_id", "key", "text").agg(F.array_sort(F.collect_set(one)).alias("all"))
+    meets = lambda x, y: (x["first"] <= y["last"]) & (y["first"] <= x["last"])
+    kept = F.aggregate("all", F.slice("all", 1, 0), lambda out, w: F.when(F.exists(out, lambda o: meets(o, w)), out).otherwise(F.concat(out, F.array(w))))
+    return found.select("doc_id", "key", "text", kept.alias("kept"))
+
+
+def _ranges(parts: Column, kind: str) -> Column:
+    """Structs (part, number, first, last): the words that each part has, counted over the whole text."""
+    counts = F.transform(parts, lambda x: F.size(normalised_words(x)))
+    nothing = F.struct(F.lit(0).alias("after"), F.slice(F.array(F.struct(F.lit(kind).alias("part"), F.lit(0).alias("number"), F.lit(0).alias("first"), F.lit(0).alias("last"))), 1, 0).alias("rows"))
+    row = lambda s, n: F.struct(F.lit(kind).alias("part"), F.size(s["rows"]).alias("number"), s["after"].alias("first"), (s["after"] + n - 1).alias("last"))
+    return F.aggregate(counts, nothing, lambda s, n: F.struct((s["after"] + n).alias("after"), F.concat(s["rows"], F.array(row(s, n))).alias("rows")), lambda s: s["rows"])
+
+
 def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, part, number, licence, template, dice): the parts of texts that are like a template, each with its best one.
 
-    ``part`` is ``text``, ``paragraph`` or ``line`` and ``number`` counts from 0; a
-    paragraph that is the whole text, and a line that is a whole paragraph, are not
-    parts of their own. Of equally like templates the first of the list wins. Null and
-    empty texts have no part that is like one. Rows with a null id count as one more
-    id; equal parts of rows that share an id come out once. Every text is scanned whole.
+    ``part`` is ``text``, ``paragraph``, ``line`` or ``window`` and ``number`` counts
+    from 0; a paragraph that is the whole text, and a line that is a whole paragraph, are
+    not parts of their own. A window is a run of words at any place, ``number`` that of
+    its first word; it comes out unless a text, paragraph or line that does so too with
+    the same licence shares words with it. Of equally like templates the first of the
+    list wins. Null and empty texts have no part that is like one. Rows with a null id
+    count as one more id; equal parts of rows that share an id come out once. Every text
+    is scanned whole.
     """
     spark = docs.sparkSession
     templates = list(templates)
     listed = _templates(spark, templates, threshold)  # of a fixed size: len(templates) times the sizes that each allows
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("paragraphs", F.split("text", r"\n[ \t\r]*\n\s*")).withColumn("lines", F.split("text", r"\n"))
-    paragraphs, lines = F.col("paragraphs"), F.col("lines")
-    number = lambda kind, parts: F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("part"), i.alias("number"), x.alias("body")))
+    paragraphs, lines = F.split("text", r"\n[ \t\r]*\n\s*"), F.split("text", r"\n")
     whole = F.array(F.struct(F.lit("text").alias("part"), F.lit(0).alias("number"), F.col("text").alias("body")))
     nothing = F.slice(whole, 1, 0)
+    number = lambda kind, parts: F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("part"), i.alias("number"), x.alias("body")))
+    split = rows.withColumn("paragraphs", paragraphs).withColumn("lines", lines)
     parts = F.concat(
         whole,
-        F.when(F.size(paragraphs) > 1, number("paragraph", paragraphs)).otherwise(nothing),
-        F.when(F.size(lines) > F.size(paragraphs), number("line", lines)).otherwise(nothing),
+        F.when(F.size("paragraphs") > 1, number("paragraph", F.col("paragraphs"))).otherwise(nothing),
+        F.when(F.size("lines") > F.size("paragraphs"), number("line", F.col("lines"))).otherwise(nothing),
     )
-    found = rows.select("doc_id", F.explode(parts).alias("p")).select("doc_id", "p.part", "p.number", "p.body")
+    found = split.select("doc_id", F.xxhash64("text").alias("key"), F.explode(parts).alias("p")).select("doc_id", "key", "p.part", "p.number", "p.body")
     found = found.withColumn("words", normalised_words(F.col("body"))).drop("body")  # a column of its own: split once
     found = found.withColumn("grams", bigrams(F.col("words"))).drop("words").withColumn("size", F.size("grams"))
     pairs = found.join(F.broadcast(listed), "size")
     shared = F.size(F.array_intersect("grams", "pattern"))
     pairs = pairs.withColumn("dice", 2 * shared / (F.col("size") + F.size("pattern"))).filter(F.col("dice") >= threshold)
     best = F.max(F.struct("dice", (-F.col("template")).alias("last"), "licence")).alias("best")
-    grouped = pairs.groupBy("doc_id", "part", "number", "grams").agg(best)
-    return grouped.select("doc_id", "part", "number", "best.licence", (-F.col("best.last")).alias("template"), "best.dice")
+    grouped = pairs.groupBy("doc_id", "part", "number", "grams").agg(best, F.collect_set("key").alias("keys"))
+    columns = ["doc_id", "part", "number", "licence", "template", "dice"]
+    grouped = grouped.select("doc_id", "part", "number", "best.licence", (-F.col("best.last")).alias("template"), "best.dice", "keys")
+
+    windows = _windows(rows, templates, threshold).withColumn("paragraphs", paragraphs).withColumn("lines", lines)
+    ranges = F.concat(_ranges(F.array("text"), "text"), _ranges(F.col("paragraphs"), "paragraph"), _ranges(F.col("lines"), "line"))
+    windows = windows.withColumn("ranges", ranges).drop("text", "paragraphs", "lines")
+    told = grouped.select(F.col("doc_id").alias("told_id"), F.explode("keys").alias("told_key"), F.struct("part", "number", "licence").alias("x"))
+    told = told.groupBy("told_id", "told_key").agg(F.collect_set("x").alias("told"))
+    windows = windows.join(told, F.col("doc_id").eqNullSafe(F.col("told_id")) & (F.col("key") == F.col("told_key")), "left")
+    same = lambda w, r, x: (x["licence"] == w["licence"]) & (x["part"] == r["part"]) & (x["number"] == r["number"]) & (r["first"] <= w["last"]) & (w["first"] <= r["last"])
+    covered = lambda w: F.exists(F.col("told"), lambda x: F.exists(F.col("ranges"), lambda r: same(w, r, x)))
+    windows = windows.withColumn("w", F.explode(F.filter("kept", lambda w: ~F.coalesce(covered(w), F.lit(False)))))
+    windows = windows.select("doc_id", F.lit("window").alias("part"), F.col("w.first").alias("number"), "w.licence", "w.template", "w.dice")
+    return grouped.select(*columns).unionByName(windows.distinct())
 
 
 def document_licenses(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:

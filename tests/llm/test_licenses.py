@@ -1,6 +1,7 @@
 """Licence scans against comparing every part with every template."""
 
 import re
+import textwrap
 
 import regex
 
@@ -54,3 +55,30 @@ def test_edits_parts_and_odd_rows(spark):
     assert got(scan(docs, threshold=0.5)) == brute(rows, 0.5)
     assert {(r.doc_id, r.licences) for r in document_licenses(docs).collect()} >= {(1, "MIT"), (2, "MIT"), (3, "MIT"), (None, "proprietary"), (8, "proprietary")}
     assert scan(docs.limit(0)).collect() == []
+
+
+def test_windows_in_longer_texts(spark):
+    mit = TEMPLATES[3][1]
+    gpl, apache = TEMPLATES[9][1], TEMPLATES[7][1]
+    prose = " ".join(f"The river ran past mill {i} and nobody of village {i + 500} knew who had built it." for i in range(40)) + " "
+    wrapped = textwrap.fill(mit, 76)
+    blocks = mit.replace(" The above", "\n\nThe above").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    in_blocks = "\n\n".join(textwrap.fill(p, 76) for p in blocks.split("\n\n"))
+    texts = {
+        1: prose + "\n" + wrapped + "\n" + prose,
+        2: prose + "\n\n" + in_blocks + "\n\n" + prose,
+        3: prose + "\n\n" + "\n\n".join(textwrap.fill(gpl[i : i + 200], 76) for i in range(0, len(gpl), 200)) + "\n\n" + prose,
+        4: prose + "\n" + textwrap.fill(apache, 76) + "\n" + prose + in_blocks,
+        5: prose + "Released under the MIT License. " + prose,
+        6: prose + "This work is licensed under the GNU General Public License, version 3. " + prose,
+        7: prose + "\nReleased under the MIT License.\n" + prose,
+        8: prose,
+    }
+    docs = spark.createDataFrame([*texts.items(), (5, texts[5]), (None, texts[5])], "doc_id long, text string")
+    rows = scan(docs).collect()
+    by_id = {i: sorted({r.licence for r in rows if r.doc_id == i}) for i in [*texts, None]}
+    assert by_id == {1: ["MIT"], 2: ["MIT"], 3: ["GPL-3.0"], 4: ["Apache-2.0", "MIT"], 5: ["MIT"], 6: ["GPL-3.0"], 7: ["MIT"], 8: [], None: ["MIT"]}
+    assert [(r.part, r.dice) for r in rows if r.doc_id == 5] == [("window", 1.0)]
+    assert [r.part for r in rows if r.doc_id == 7] == ["line"]
+    first = len([w for w in regex.split(r"[^\p{L}\p{N}]+", prose) if w])
+    assert {(r.doc_id, r.number) for r in rows if r.doc_id in (1, 2, 5, 6)} == {(i, first) for i in (1, 2, 5, 6)}
