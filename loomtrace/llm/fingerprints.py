@@ -6,6 +6,11 @@ syncmer, and so an anchor, if the pair with the least hash is its first or its l
 Whether it is one depends on the k-mer alone, not on what stands around it: an edit
 changes the anchors that it touches and no others. A text with fewer words has its
 whole word sequence as the one anchor, and a text without words has none.
+
+With ``letters="characters"`` the letters are code points, after runs of the same
+white space have become single spaces and the ends are bare. A k-mer of eight characters
+holds five inner ones of four; a text without a closed syncmer has its whole sequence
+as the one anchor.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Words of a k-mer and of its inner substrings.
 K, S = 6, 2
+#: Characters of a k-mer and of its inner substrings; ``_add_character_anchors`` is written for these.
+CHARACTER_K, CHARACTER_S = 8, 4
 #: Pieces of the doc_id order, and rows of a piece aimed at.
 PIECES, PIECE_ROWS = 4_096, 1_000
 
@@ -23,11 +30,42 @@ def _hashed(words: Column) -> Column:
     return F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.xxhash64(a, b))
 
 
-def _add_anchors(frame: DataFrame, text: str, into: str, positions: bool = False) -> DataFrame:
+def _apart(items: Column, n: int, function) -> Column:
+    """``function`` of each item and the one ``n`` places on."""
+    left = F.greatest(F.size(items) - n, F.lit(0))
+    return F.zip_with(F.slice(items, F.lit(1), left), F.slice(items, F.lit(1 + n), left), function)
+
+
+def _add_character_anchors(frame: DataFrame, text: str, into: str, positions: bool) -> DataFrame:
+    """``_add_anchors`` with characters as letters: the least of inner hashes comes from neighbours' least ones."""
+    c, two, four, least, ends, middle = (f"__{x}_{into}" for x in ("letters", "two", "four", "least", "ends", "middle"))
+    frame = frame.withColumn(c, F.filter(F.split(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), ""), lambda x: x != ""))
+    frame = frame.withColumn(two, _apart(F.col(c), 1, lambda a, b: F.xxhash64(a, b)))
+    frame = frame.withColumn(four, _apart(F.col(two), 2, lambda a, b: F.xxhash64(a, b)))
+    frame = frame.withColumn(least, _apart(F.col(four), 1, lambda a, b: F.least(a, b)))
+    frame = frame.withColumn(least, _apart(F.col(least), 1, lambda a, b: F.least(a, b)))
+    frame = frame.withColumn(ends, _apart(F.col(four), CHARACTER_K - CHARACTER_S, lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
+    frame = frame.withColumn(middle, F.slice(least, F.lit(2), F.size(ends)))
+    chosen = F.zip_with(ends, middle, lambda x, m: F.when((x["a"] <= m) | (x["b"] <= m), F.xxhash64(x["a"], x["b"])))
+    if positions:
+        many = F.filter(F.transform(chosen, lambda x, i: F.struct(i.alias("position"), x.alias("anchor"))), lambda x: x["anchor"].isNotNull())
+        one = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(c).alias("anchor")))
+    else:
+        many, one = F.array_distinct(F.filter(chosen, lambda x: x.isNotNull())), F.array(F.xxhash64(c))
+    frame = frame.withColumn(into, many)
+    found = F.when((F.size(into) > 0) | (F.size(c) == 0), F.col(into)).otherwise(one)
+    return frame.withColumn(into, found).drop(c, two, four, least, ends, middle)
+
+
+def _add_anchors(frame: DataFrame, text: str, into: str, positions: bool = False, letters: str = "words") -> DataFrame:
     """``frame`` with the anchors of its column ``text``: distinct hashes, or structs (position, anchor) in order.
 
     The words and their hashes are columns of their own, so that each is computed once.
     """
+    if letters not in ("words", "characters"):
+        raise ValueError(f"no such letters: {letters}")
+    if letters == "characters":
+        return _add_character_anchors(frame, text, into, positions)
     w, g = f"__words_{into}", f"__pairs_{into}"
     inner = K - S + 1
     frame = frame.withColumn(w, F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != ""))
@@ -44,14 +82,14 @@ def _add_anchors(frame: DataFrame, text: str, into: str, positions: bool = False
     return frame.withColumn(into, found).drop(w, g)
 
 
-def anchors(docs: DataFrame) -> DataFrame:
-    """(doc_id, position, anchor): the anchors of every text of ``docs`` (doc_id, text) with the number of their first word.
+def anchors(docs: DataFrame, letters: str = "words") -> DataFrame:
+    """(doc_id, position, anchor): the anchors of every text of ``docs`` (doc_id, text) with the number of their first letter.
 
     Equal anchors at positions whose difference is the same line two texts up. A null
     text counts as empty and has none.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = _add_anchors(rows, "text", "anchors", positions=True)
+    found = _add_anchors(rows, "text", "anchors", positions=True, letters=letters)
     return found.select("doc_id", F.explode("anchors").alias("x")).select("doc_id", "x.position", "x.anchor")
 
 
@@ -93,7 +131,7 @@ def _pieces(docs: DataFrame) -> tuple[Column, DataFrame]:
     return piece, bounds
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, letters: str = "words") -> DataFrame:
     """(doc_id, text, own, next_text, next_own): each document with its anchors and those of the next by doc_id.
 
     After the last document comes the first. Rows that share a doc_id follow each
@@ -106,21 +144,21 @@ def with_next(docs: DataFrame) -> DataFrame:
     piece, bounds = _pieces(placed.select("doc_id"))
     order = Window.partitionBy("piece").orderBy("doc_id", "text")
     pieces = placed.withColumn("piece", piece).repartition("piece").sortWithinPartitions("piece", "doc_id", "text")
-    inside = _add_anchors(pieces, "text", "own")
+    inside = _add_anchors(pieces, "text", "own", letters=letters)
     inside = inside.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order))
     columns = ["doc_id", "text", "own", "next_text", "next_own"]
     inside = inside.filter("next_text is not null").select(*columns)
 
     last = placed.join(F.broadcast(bounds.select(F.col("high").alias("doc_id"), "after")), "doc_id").groupBy("doc_id", "after").agg(F.max("text").alias("text"))
     first = placed.join(F.broadcast(bounds.select(F.col("low").alias("doc_id"))), "doc_id").groupBy(F.col("doc_id").alias("after")).agg(F.min("text").alias("next_text"))
-    edges = _add_anchors(_add_anchors(last.join(first, "after"), "text", "own"), "next_text", "next_own").select(*columns)
+    edges = _add_anchors(_add_anchors(last.join(first, "after"), "text", "own", letters=letters), "next_text", "next_own", letters=letters).select(*columns)
 
-    outside = _add_anchors(rows.filter("doc_id is null"), "text", "own")
+    outside = _add_anchors(rows.filter("doc_id is null"), "text", "own", letters=letters)
     outside = outside.select("doc_id", "text", "own", F.lit(None).cast("string").alias("next_text"), F.slice("own", 1, 0).alias("next_own"))
     return inside.union(edges).union(outside)
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, letters: str = "words") -> DataFrame:
     """Fingerprints of every document of ``docs`` (doc_id, text; other columns are not read) and of its edited text.
 
     The edited text has the last floor(n_chars / 4) code points replaced by as many
@@ -130,13 +168,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     and texts without words, are all alike. For a null doc_id nothing is put in the
     place of what the edit takes away. No row: no row.
     """
-    found = with_next(docs)
+    found = with_next(docs, letters)
     n = F.length("text")
     moved = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - moved), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), moved))
     found = found.withColumn("edited", edited).withColumn("n_chars", n.cast("long"))
     found = found.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    found = _add_anchors(found.drop("text", "next_text"), "edited", "changed")
+    found = _add_anchors(found.drop("text", "next_text"), "edited", "changed", letters=letters)
     return found.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"),

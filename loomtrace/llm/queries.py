@@ -102,7 +102,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_fingerprints")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
-    return fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints(table(spark, sf_dir, "documents"), letters="characters")
 
 
 #: Names of the domains that sources fall into by their number, and weights of the mix: domain, lang, source, weight.

@@ -5,7 +5,8 @@ import random
 import re
 
 from loomtrace.llm import fingerprints as module
-from loomtrace.llm.fingerprints import K, S, anchors, fingerprints
+from loomtrace.llm.fingerprints import CHARACTER_K, CHARACTER_S, K, S, anchors, fingerprints
+from loomtrace.llm.queries import QUERIES
 from loomtrace.sources.tables import table
 
 
@@ -100,3 +101,40 @@ def test_anchors_are_context_free(spark):
     for r in anchors(docs).collect():
         found.setdefault(r.doc_id, set()).add((r.position, r.anchor))
     assert {(p + 3, a) for p, a in found[1]} <= found[2] and len(found[1]) > 60
+
+
+def character_anchors(spark, texts):
+    """Anchor sets of texts with characters as letters, as k-mers or whole texts."""
+    texts = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "").strip(" ") for t in texts]
+    two = hashes(spark, [p for t in texts for p in zip(t, t[1:])])
+    pairs = [[two[p] for p in zip(t, t[1:])] for t in texts]
+    four = hashes(spark, [p for g in pairs for p in zip(g, g[2:])])
+    out, inner = [], CHARACTER_K - CHARACTER_S + 1
+    for t, g in zip(texts, pairs):
+        h = [four[p] for p in zip(g, g[2:])]
+        found = {t[i : i + CHARACTER_K] for i in range(len(h) - inner + 1) if min(h[i : i + inner]) in (h[i], h[i + inner - 1])}
+        out.append(frozenset(found or ({t} if t else ())))
+    return out
+
+
+def test_characters_of_short_and_unspaced_texts(spark):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    texts = [" ".join(word() for _ in range(n)) for n in (3, 4, 5, 6, 8, 11)] + ["".join(chr(0x4E00 + rnd.randrange(900)) for _ in range(n)) for n in (30, 3000)]
+    texts += ["", " ", "a", "seven77", "eight888", "nine 9999", "🙂 x y z 🙂 x y z 🙂", None, "a  b\tc d e f g h i", " a b c d e f g h i\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(fingerprints(docs, letters="characters").collect(), key=lambda r: r.doc_id)
+    full = [t or "" for t in texts]
+    edited = [t[: len(t) - len(t) // 4] + full[(i + 1) % len(full)][: len(t) // 4] for i, t in enumerate(full)]
+    sets = character_anchors(spark, full + edited)
+    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    n = len(texts)
+    assert [(r.near_edited, r.near_next, r.n_anchors) for r in rows] == [(like(sets[i], sets[n + i]), like(sets[i], sets[(i + 1) % n]), len(sets[i])) for i in range(n)]
+    assert all(0 < r.near_edited < 1 for r in rows[:8])
+    assert rows[n - 2].fingerprint == rows[n - 1].fingerprint
+    assert [r.near_edited for r in sorted(fingerprints(docs).collect(), key=lambda r: r.doc_id)][6:8] == [0.0, 0.0]
+
+
+def test_the_query_leaves_no_text_of_some_length_without_likeness(spark, sf_dir):
+    rows = [r for r in QUERIES["op9_fingerprints"](spark, sf_dir).collect() if r.n_chars >= 40]
+    assert len(rows) > 100 and all(r.near_edited > 0 for r in rows)
