@@ -101,6 +101,13 @@ def task_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.cast("binary")).alias("body"))
 
 
+@query("q_task_text_whole", "SELECT doc_id, md5(trim(text) || CASE WHEN trim(lang) <> '' AND doc_id % 2 = 0 THEN chr(10) || chr(10) || 'VERIFIER: ' || trim(lang) ELSE '' END) AS body FROM documents")
+def task_text_whole(spark, sf_dir):
+    """The same over whole texts; ``q_task_text`` reads the first 80 characters, as its SQL does."""
+    text = memory.task_text(F.col("text"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(" "))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.cast("binary")).alias("body"))
+
+
 @query("q_timing_summary", """WITH t AS (SELECT l_orderkey, min(l_quantity) AS reset_time, list(l_extendedprice / 1000) AS steps, max(l_quantity) AS finish_time, sum(l_quantity) AS total_time, bool_or(l_returnflag = 'A') AS success FROM lineitem GROUP BY l_orderkey)
 SELECT count(*) AS tasks, count(*) FILTER (success) AS succeeded, round(avg(reset_time), 6) AS avg_reset, round(sum(list_sum(steps)) / sum(len(steps)), 4) AS avg_step, round(avg(finish_time), 6) AS avg_finish, round(avg(total_time), 6) AS avg_total, round(sum(total_time) / max(total_time), 6) AS potential_speedup FROM t""")
 def timing_summary(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Operators on small tables with the odd rows of each family."""
 
 import datetime
+import hashlib
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomtrace.functions import actions, geometry, landed
 from loomtrace.operators import compare, decks, dedup, memory, replay, sheets
+from loomtrace.plans.catalog import QUERIES
 from loomtrace.plans.expression import validate_tasks
 from loomtrace.streaming.replay import replay_available
 
@@ -136,3 +138,11 @@ def test_stream_equals_batch(spark):
     got = sorted(tuple(r) for r in replay_available(spark, events, 0.5).collect())
     wanted = sorted((r.worker_id, r.ep, r.step, r.seq, r.g) for r in replay.discounted_returns(replay.steps_of_events(events), 0.5).collect())
     assert got == wanted and len(got) == 3
+
+
+def test_task_text_reads_past_the_first_characters(spark, tmp_path):
+    texts = ["x" * 80 + " one", "x" * 80 + " two", "x" * 80]
+    rows = [(2 * i + 1, t, "en") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    bodies = {r.doc_id: r.body for r in QUERIES["q_task_text_whole"](spark, str(tmp_path)).collect()}
+    assert bodies == {i: hashlib.md5(t.encode()).hexdigest() for i, t, _ in rows}
