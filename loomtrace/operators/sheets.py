@@ -99,8 +99,11 @@ def data_validation(validators: DataFrame, wanted: list[dict[str, tuple[str, obj
     return validators.groupBy("pair").agg(((F.count("*") >= len(wanted)) & F.bool_and(fits)).cast("double").alias("score"))
 
 
-def apply_rules(cells: DataFrame, properties: DataFrame, rules: list[dict]) -> DataFrame:
-    """(pair, score): 1 if every rule of the list holds for the pair; a pair that a rule finds nothing of fails it not."""
+def apply_rules(cells: DataFrame, properties: DataFrame, rules: list[dict], validators: DataFrame | None = None) -> DataFrame:
+    """(pair, score): 1 if every rule of the list holds for the pair; a pair that a rule finds nothing of fails it not.
+
+    Rules of type ``data_validation`` (``wanted``) look at ``validators``; a pair without any fails them.
+    """
     verdicts = []
     for r in rules:
         kind, rest = r["type"], {k: v for k, v in r.items() if k != "type"}
@@ -114,6 +117,11 @@ def apply_rules(cells: DataFrame, properties: DataFrame, rules: list[dict]) -> D
             verdicts.append(zoom(properties, **rest))
         elif kind == "check_cell":
             verdicts.append(check_cell(cells, **rest))
+        elif kind == "data_validation":
+            if validators is None:
+                raise ValueError("data_validation needs validators")
+            found = cells.select("pair").distinct().join(data_validation(validators, **rest), "pair", "left")
+            verdicts.append(found.select("pair", F.coalesce("score", F.lit(0.0)).alias("score")))
         else:
             raise ValueError(f"no such rule: {kind}")
     return reduce(DataFrame.unionByName, verdicts).groupBy("pair").agg(F.min("score").alias("score"))

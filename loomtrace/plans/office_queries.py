@@ -39,10 +39,11 @@ def deck_compare(spark, sf_dir):
     one = items.select(
         F.col("l_orderkey").alias("pair"), F.col("l_linenumber").alias("slide"), F.lit(0).alias("shape"), F.lit(0.0).alias("left"), F.lit(5.0).alias("top"), F.lit(100.0).alias("width"), F.lit(50.0).alias("height"), F.col("l_returnflag").alias("text"), F.lit(0).alias("paragraph"),
         F.lit(0).alias("run"), F.lit("f").alias("font"), F.lit("12").alias("size"), F.lit(None).cast("string").alias("bold"), F.lit(None).cast("string").alias("italic"), F.lit(None).cast("string").alias("strike"), F.lit(None).cast("string").alias("underline"), F.lit("000000").alias("color"), F.lit(None).cast("string").alias("alignment"),
+        F.lit("text_box").alias("kind"), F.lit(None).cast("string").alias("level"), F.lit("-").alias("bullet"), F.lit(None).cast("string").alias("bullet_level"), F.lit("FFFFFF").alias("background"), F.lit(" note").alias("notes"), F.lit(0).alias("row"), F.lit(0).alias("col"),
     )
-    two = one.withColumn("width", F.when(F.col("slide") == 4, 120.0).otherwise(100.4)).withColumn("bold", F.lit("false")).withColumn("alignment", F.lit("LEFT")).withColumn("text", F.concat("text", F.lit("")))
+    two = one.withColumn("width", F.when(F.col("slide") == 4, 120.0).otherwise(100.4)).withColumn("bold", F.lit("false")).withColumn("alignment", F.lit("LEFT")).withColumn("text", F.concat("text", F.lit(""))).withColumn("level", F.lit("0")).withColumn("notes", F.lit("note"))
     both = one.withColumn("side", F.lit("result")).unionByName(two.withColumn("side", F.lit("expected")))
-    return decks.compare_decks(both, both)
+    return decks.compare_decks(both, both, both, both)
 
 
 @query("q_action_forms", """SELECT event_id, CASE event_type WHEN 'view' THEN 'CLICK' WHEN 'click' THEN 'MOVE_TO,SCROLL' WHEN 'purchase' THEN 'DONE' WHEN 'error' THEN 'MOVE_TO,DRAG_TO' END AS kinds, CASE event_type WHEN 'click' THEN (-(event_id % 50))::VARCHAR WHEN 'error' THEN (event_id % 7)::VARCHAR END AS last FROM events""")

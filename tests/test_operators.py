@@ -146,3 +146,46 @@ def test_task_text_reads_past_the_first_characters(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     bodies = {r.doc_id: r.body for r in QUERIES["q_task_text_whole"](spark, str(tmp_path)).collect()}
     assert bodies == {i: hashlib.md5(t.encode()).hexdigest() for i, t, _ in rows}
+
+
+def test_decks_differ_in_one_thing(spark):
+    slide = dict(slide=2, background="FFFFFF", notes="n")
+    shape = dict(slide=2, shape=0, kind="picture", left=5000000.0, top=1000000.0, width=10.0, height=20.0, text=None)
+    run = dict(slide=2, shape=0, paragraph=0, run=0, text="t", font="f", size="12", bold=None, italic=None, strike=None, underline=None, color=None, alignment=None, level=None, bullet=None, bullet_level=None)
+    cell = dict(slide=2, shape=0, row=0, col=0, paragraph=0, run=0, bold=None, italic=None, underline=None, color="000000")
+    kinds = {"slides": (slide, ("slide",)), "shapes": (shape, ("slide", "shape", "left", "top", "width", "height")), "runs": (run, ("slide", "shape", "paragraph", "run")), "table_runs": (cell, ("slide", "shape", "row", "col", "paragraph", "run"))}
+    # pair -> (frame, column, the value expected in place of the result's), (options), score
+    cases = [
+        ("slides", "notes", " n ", {}, 1), ("slides", "notes", "m", {}, 0), ("slides", "notes", "m", {"examine_note": False}, 1),
+        ("slides", "background", None, {}, 0), ("slides", "background", None, {"examine_background_color": False}, 1),
+        ("runs", "level", "0", {}, 1), ("runs", "level", "1", {}, 0), ("runs", "level", "1", {"examine_indent": False}, 1),
+        ("runs", "bullet", "*", {}, 0), ("runs", "bullet", "*", {"examine_bullets": False}, 1), ("runs", "bullet_level", "1", {}, 0),
+        ("table_runs", "bold", "true", {"examine_font_bold": False}, 0), ("table_runs", "bold", "false", {}, 1), ("table_runs", "color", "FF0000", {}, 0), ("table_runs", "color", "FF0000", {"examine_color_rgb": False}, 1),
+        ("shapes", "width", 30.0, {"examine_shape": False}, 1), ("shapes", "width", 30.0, {"examine_shape": False, "examine_image_size": True}, 0), ("shapes", "left", 1.0, {"examine_shape": False, "examine_image_size": True}, 1),
+        ("shapes", "width", 30.0, {"examine_shape": False, "examine_modify_height": True}, 1), ("shapes", "height", 30.0, {"examine_shape": False, "examine_modify_height": True}, 0),
+        ("shapes", "top", 2000000.0, {"examine_shape": False, "examine_top_position": True}, 1), ("shapes", "top", 9.0, {"examine_shape": False, "examine_top_position": True}, 0),
+        ("shapes", "left", 9.0, {"examine_shape": False, "examine_right_position": True}, 1), ("shapes", "left", 6000000.0, {"examine_shape": False, "examine_right_position": True}, 0),
+        ("shapes", "left", 9.0, {"examine_shape": False, "examine_shape_for_shift_size": True}, 0), ("shapes", "top", 9.0, {"examine_shape": False, "examine_table_bottom_position": True}, 0), ("shapes", "top", 9.0, {"examine_shape": False, "examine_title_bottom_position": True}, 0),
+    ]
+    by_options = {}
+    for pair, case in enumerate(cases):
+        by_options.setdefault(tuple(case[3].items()), []).append((pair, *case))
+    for options, group in by_options.items():
+        frames = {}
+        for name, (row, numbers) in kinds.items():
+            schema = "pair int, side string, " + ", ".join(f"{c} {('double' if isinstance(v, float) else 'int') if c in numbers else 'string'}" for c, v in row.items())
+            rows = [(pair, side, *{**row, **({column: value} if side == "expected" and frame == name else {})}.values()) for pair, frame, column, value, *_ in group for side in ("result", "expected")]
+            frames[name] = spark.createDataFrame(rows, schema)
+        got = {r.pair: r.score for r in decks.compare_decks(**frames, **dict(options)).collect()}
+        assert got == {pair: float(case[-1]) for pair, *case in group}, options
+    with pytest.raises(ValueError):
+        decks.compare_decks(**frames, examine_nothing=True)
+
+
+def test_data_validation_is_a_rule(spark):
+    cells = spark.createDataFrame([(i, "result", "S", 1, 1, "a", None) for i in (1, 2, 3)], "pair int, side string, sheet string, row int, col int, text string, number double")
+    validators = spark.createDataFrame([(1, {"type": "list"}), (2, {"type": "whole"})], "pair int, fields map<string, string>")
+    rules = [{"type": "data_validation", "wanted": [{"type": ("eq", "list")}]}]
+    assert {r.pair: r.score for r in sheets.apply_rules(cells, cells, rules, validators).collect()} == {1: 1.0, 2: 0.0, 3: 0.0}
+    with pytest.raises(ValueError):
+        sheets.apply_rules(cells, cells, rules)
