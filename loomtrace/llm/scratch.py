@@ -1,8 +1,9 @@
 """Intermediate tables in the folder that the driver and all executors share.
 
 The folder is the one that ``spark.checkpoint.dir`` names; where the setting is
-absent, as in tests, the checkpoint folder of the SparkContext is used, and a
-temporary folder is set for it if it has none.
+absent, as in tests, the checkpoint folder of the SparkContext is used. With neither,
+a session on one machine sets a temporary folder, and a cluster is an error: its
+executors would write to their own disks.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="loomtrace-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 

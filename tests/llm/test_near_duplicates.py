@@ -84,3 +84,59 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     kept = drop_near_duplicates(frame)
     assert kept.columns == frame.columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 1, 3]
+
+
+def test_rows_that_share_a_doc_id(spark):
+    t, u, v = ("a b c d e f g h", "p q r s t u v w", "k l m n o p q r")
+    rows = [(3, t), (5, t), (5, u), (7, v), (7, v), (7, v + " x"), (8, v.upper()), (None, t), (9, ""), (9, "")]
+    frame = spark.createDataFrame([(i, x, "", "") for i, x in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in drop_near_duplicates(frame).collect()]
+    assert sorted(kept, key=str) == sorted([(3, t), (5, u), (7, v), (7, v), (7, v + " x"), (None, t), (9, ""), (9, "")], key=str)
+    found = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(frame).collect()), key=str)
+    assert found == sorted([(3, 3, True), (5, 3, False), (5, 5, True), (7, 7, True), (7, 7, True), (7, 7, True), (8, 7, False), (None, None, True), (9, 9, True), (9, 9, True)], key=str)
+
+
+@pytest.mark.parametrize("few", [0, 48])
+def test_families_that_share_most_of_a_passage(spark, monkeypatch, few):
+    """Many documents share a long passage and are not linked, some are; also with every open list sent by whole sets."""
+    from loomtrace.llm import near_duplicates as module
+
+    monkeypatch.setattr(module, "FEW", few)
+    rnd = random.Random(9)
+    word = lambda: f"w{rnd.randrange(5000)}"
+    passage = [word() for _ in range(120)]
+    texts = [" ".join(passage + [word() for _ in range(rnd.randrange(8, 60))]) for _ in range(90)]
+    texts += [t + " one two" for t in texts[:10]] + [" ".join(t.split()[:-2]) for t in texts[20:40]]
+    small = [word() for _ in range(22)]
+    texts += [" ".join(small[:20] + [word() for _ in range(rnd.randrange(3))]) for _ in range(70)]
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
+    for percent in (80, 85):
+        assert got(near_duplicates(frame, percent=percent)) == brute(rows, percent)
+
+
+def test_a_very_long_text_and_its_copy(spark):
+    rnd = random.Random(2)
+    long = " ".join(f"w{rnd.randrange(10**6)}" for _ in range(300_000))
+    frame = spark.createDataFrame([(1, long, "", ""), (2, long + " end", "", ""), (3, "x" * 10**6, "", "")], SCHEMA)
+    assert got(near_duplicates(frame)) == [(1, 299_996, 1, True), (2, 299_997, 1, False), (3, 1, 3, True)]
+
+
+def test_components_of_a_long_path_take_few_rounds(spark):
+    from loomtrace.llm.components import connected_components
+    from loomtrace.llm.scratch import Scratch
+
+    class Counting(Scratch):
+        rounds = 0
+
+        def keep(self, frame, name):
+            self.rounds += name == "edges"
+            return super().keep(frame, name)
+
+    rnd = random.Random(4)
+    for nodes in (list(range(1024)), rnd.sample(range(1024), 1024)):
+        edges = spark.createDataFrame([*zip(nodes, nodes[1:], strict=False), (5000, 6000), (7000, 7000)], "a long, b long")
+        scratch = Counting(spark, "components")
+        labels = {r.node: r.label for r in connected_components(edges, scratch).collect()}
+        assert labels == {**dict.fromkeys(range(1024), 0), 5000: 5000, 6000: 5000, 7000: 7000}
+        assert scratch.rounds <= 14
