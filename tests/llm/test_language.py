@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 
 from loomtrace.llm import language
-from loomtrace.llm.language import BLOCK, CrossParser, identify, keep_identified, language_id, training_sample
+from loomtrace.llm.language import CrossParser, identify, keep_identified, language_id, training_sample
 from loomtrace.sources.tables import table
 
 
@@ -16,31 +16,72 @@ def encoded(texts):
 
 
 def phrases(text, rows):
-    """Greedy longest matches of a folded text in any of the rows, block by block."""
-    count = 0
-    for low in range(0, len(text), BLOCK):
-        block, i = text[low : low + BLOCK], 0
-        while i < len(block):
-            j = i + 1
-            while j <= len(block) and any(block[i:j] in row for row in rows):
-                j += 1
-            i, count = max(i + 1, j - 1), count + 1
+    """Greedy longest matches of a folded text, from its first byte to its last, in any of the rows."""
+    count = i = 0
+    while i < len(text):
+        j = i + 1
+        while j <= len(text) and any(text[i:j] in row for row in rows):
+            j += 1
+        i, count = max(i + 1, j - 1), count + 1
     return count
 
 
-def test_phrases_against_brute_force():
-    rnd = random.Random(3)
-    sample = tuple((lang, "".join(rnd.choice(letters) for _ in range(400))) for lang, letters in (("x", "abc "), ("y", "bcdé "), ("y", "abcd,")))
+def check_phrases(sample, texts):
     parser = CrossParser(sample)
     rows = {lang: [language._fold(t) for own, t in sample if own == lang] for lang in parser.langs}
-    texts = ["", "a", "zzz", "ab cd", " !! ", "".join(rnd.choice("abcdéz .") for _ in range(2500))] + ["".join(rnd.choice("abcd ") for _ in range(n)) for n in (1, 7, 1024, 1025)]
-    symbols, at = parser._encode(*encoded(texts))
-    found = parser.phrases(symbols, at)
+    folded, at = language._encode(*encoded(texts))
+    found = parser.phrases(folded, at)
     for k, lang in enumerate(parser.langs):
         for i, text in enumerate(texts):
-            folded = language._fold(text) + (" " if text and not text[-1].isalpha() and language._fold(text) else "")
-            if folded:
-                assert found[k, i] == phrases(folded, rows[lang]), (lang, text)
+            own = language._fold(text)
+            own += b" " if text and not text[-1].isalpha() and own else b""
+            assert folded[at[i] : at[i + 1]].tobytes() == own
+            assert found[k, i] == phrases(own, rows[lang]), (lang, text)
+
+
+def test_phrases_against_brute_force():
+    rnd = random.Random(3)
+    sample = tuple((lang, "".join(rnd.choice(letters) for _ in range(400))) for lang, letters in (("x", "abc "), ("y", "bcdé "), ("y", "abcd,")))
+    texts = ["", "a", "zzz", "ab cd", " !! ", "".join(rnd.choice("abcdéz .") for _ in range(2500))]
+    check_phrases(sample, texts + ["".join(rnd.choice("abcd ") for _ in range(n)) for n in (1, 7, 1023, 1024, 1025, 5000)])
+
+
+def test_blocks_that_do_not_fall_in_step():
+    """Long matches cross blocks, so that what a block begins with depends on the whole text before it."""
+    rnd = random.Random(4)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(3000))
+    texts = [passage, passage[1:] * 2, "x" + passage[500:2900] + "x" + passage, "a" * 4000, "ab" * 2500]
+    check_phrases((("x", passage), ("y", "a" * 3000), ("z", "ab" * 700)), texts)
+
+
+def test_alphabets_of_many_letters():
+    rnd = random.Random(5)
+    letters = {"x": [chr(0x4E00 + i) for i in range(400)], "y": [chr(0x5E00 + i) for i in range(400)]}
+    text = {k: "".join(rnd.choice(v) for _ in range(3000)) for k, v in letters.items()}
+    sample = tuple((k, text[k][:2000]) for k in letters)
+    langs, scores = CrossParser(sample).predict(*encoded([text["x"][2000:], text["y"][2000:], text["y"][2000:2010]]))
+    assert langs == ["x", "y", "y"] and min(scores) > 0.1
+    check_phrases(sample, [text["x"][1900:2100], text["y"][1990:2400]])
+
+
+def test_a_repeated_id_and_many_languages_give_a_bounded_sample(spark):
+    rows = [(1, f"text {i} of one id", "en") for i in range(5000)] + [(i, f"word {i}", f"l{i % 300}") for i in range(2, 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = training_sample(docs, rows=4, languages=20)
+    counts = {lang: sum(own == lang for own, _ in sample) for lang, _ in sample}
+    assert len(counts) == 20 and max(counts.values()) <= 4 and counts["en"] == 1
+    assert sample == training_sample(docs.repartition(7), rows=4, languages=20)
+
+
+def test_text_of_no_learned_language_goes(spark):
+    rnd = random.Random(1)
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    noise = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)), "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(300))]
+    noise.append("".join(chr(0x410 + rnd.randrange(60)) + " " * (rnd.random() < 0.2) for _ in range(400)))
+    both = docs.union(spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(noise)], docs.schema))
+    kept = {r.doc_id for r in keep_identified(both).select("doc_id").collect()}
+    assert not kept & {10**9 + i for i in range(3)}
+    assert len(kept) >= 0.995 * docs.count()
 
 
 def test_held_out_accuracy(spark, sf_dir):

@@ -58,3 +58,22 @@ def test_bloom_has_no_false_negatives_and_few_false_positives(spark):
     probes = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("b0"))
     assert bloom.possible(probes.filter("b0 < 5000"), "key").count() == 5000
     assert bloom.possible(probes.filter("b0 >= 5000"), "key").count() < 150
+
+
+def test_listed_urls_at_some_size(spark):
+    """A list of thousands of urls in several spellings decides on what no rule fits; its filter has many blocks."""
+    rnd = random.Random(6)
+    spell = lambda i: rnd.choice(["http://", "HTTPS://"]) + rnd.choice(["www.", ""]) + f"h{i % 97}.org/p{i}" + rnd.choice(["", "/", "?utm_source=a", "?ref=b#c"])
+    listed = spark.createDataFrame([(spell(i),) for i in range(0, 9000, 3)] * 2, "url string")
+    rows = [(i, spell(i)) for i in range(9000)] + [(i, f"http://x.net/{i}") for i in range(9000, 9100)]
+    found = filter_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([("net", "/", "block")], RULES), listed).collect()
+    assert len(found) == len(rows)
+    assert all(r.verdict == ("block" if r.page_id >= 9000 or r.page_id % 3 == 0 else "allow") and (r.rule == "net/") == (r.page_id >= 9000) for r in found)
+
+
+def test_the_query_blocks_listed_hosts_that_no_rule_fits(spark, sf_dir):
+    from loomtrace.llm.queries import QUERIES
+
+    rows = [r for r in QUERIES["op7_url_filter"](spark, sf_dir).collect() if r.rule is None]
+    assert {r.verdict for r in rows} == {"allow", "block"}
+    assert all((r.verdict == "block") == any(w in r.host for w in ("casino", "bets", "pills", "ads")) for r in rows)
