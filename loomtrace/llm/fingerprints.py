@@ -1,138 +1,105 @@
 """Document fingerprints from closed syncmers, as DataFrame expressions.
 
-The letters of the alphabet are a text's words (runs of anything but space and 0x09
-to 0x0D). A k-mer of six words holds five inner pairs of words; it is a closed
-syncmer, and so an anchor, if the pair with the least hash is its first or its last.
-Whether it is one depends on the k-mer alone, not on what stands around it: an edit
-changes the anchors that it touches and no others. A text with fewer words has its
-whole word sequence as the one anchor, and a text without words has none.
-
-With ``letters="characters"`` the letters are code points, after runs of the same
-white space have become single spaces and the ends are bare. A k-mer of eight characters
-holds five inner ones of four; a text without a closed syncmer has its whole sequence
-as the one anchor.
+The letters of the alphabet are short pieces of a text: up to sixteen characters, ended
+by one of a fixed class (``ENDS``: some vowels, digits and all beyond ASCII) or by white
+space, which is passed over. So where a letter ends depends on the characters there and
+not on what stands around; a word has one to four letters, and a script without white
+space has one for each character. A k-mer of six letters holds five inner pairs; it is a
+closed syncmer, and so an anchor, if the pair with the least hash is its first or its
+last. Whether it is one depends on the k-mer alone, and of any four k-mers on end one
+is: an edit changes the anchors that it touches and no others. A text with fewer letters
+has its whole sequence as the one anchor, and a text without any has none.
+
+A fingerprint is the sequence of a text's marks. A mark is an anchor and the number of
+letters from the anchor before it: marks of two texts match where the anchors are equal
+and the texts line up from the one before, wherever in the texts that is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Words of a k-mer and of its inner substrings.
+from loomtrace.llm.pieces import with_pieces
+
+#: Letters of a k-mer and of its inner substrings.
 K, S = 6, 2
-#: Characters of a k-mer and of its inner substrings; ``_add_character_anchors`` is written for these.
-CHARACTER_K, CHARACTER_S = 8, 4
-#: Pieces of the doc_id order, and rows of a piece aimed at.
-PIECES, PIECE_ROWS = 4_096, 1_000
-
-
-def _hashed(words: Column) -> Column:
-    return F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.xxhash64(a, b))
-
-
-def _apart(items: Column, n: int, function) -> Column:
-    """``function`` of each item and the one ``n`` places on."""
-    left = F.greatest(F.size(items) - n, F.lit(0))
-    return F.zip_with(F.slice(items, F.lit(1), left), F.slice(items, F.lit(1 + n), left), function)
-
-
-def _add_character_anchors(frame: DataFrame, text: str, into: str, positions: bool) -> DataFrame:
-    """``_add_anchors`` with characters as letters: the least of inner hashes comes from neighbours' least ones."""
-    c, two, four, least, ends, middle = (f"__{x}_{into}" for x in ("letters", "two", "four", "least", "ends", "middle"))
-    frame = frame.withColumn(c, F.filter(F.split(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), ""), lambda x: x != ""))
-    frame = frame.withColumn(two, _apart(F.col(c), 1, lambda a, b: F.xxhash64(a, b)))
-    frame = frame.withColumn(four, _apart(F.col(two), 2, lambda a, b: F.xxhash64(a, b)))
-    frame = frame.withColumn(least, _apart(F.col(four), 1, lambda a, b: F.least(a, b)))
-    frame = frame.withColumn(least, _apart(F.col(least), 1, lambda a, b: F.least(a, b)))
-    frame = frame.withColumn(ends, _apart(F.col(four), CHARACTER_K - CHARACTER_S, lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-    frame = frame.withColumn(middle, F.slice(least, F.lit(2), F.size(ends)))
-    chosen = F.zip_with(ends, middle, lambda x, m: F.when((x["a"] <= m) | (x["b"] <= m), F.xxhash64(x["a"], x["b"])))
-    if positions:
-        many = F.filter(F.transform(chosen, lambda x, i: F.struct(i.alias("position"), x.alias("anchor"))), lambda x: x["anchor"].isNotNull())
-        one = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(c).alias("anchor")))
-    else:
-        many, one = F.array_distinct(F.filter(chosen, lambda x: x.isNotNull())), F.array(F.xxhash64(c))
-    frame = frame.withColumn(into, many)
-    found = F.when((F.size(into) > 0) | (F.size(c) == 0), F.col(into)).otherwise(one)
-    return frame.withColumn(into, found).drop(c, two, four, least, ends, middle)
-
-
-def _add_anchors(frame: DataFrame, text: str, into: str, positions: bool = False, letters: str = "words") -> DataFrame:
-    """``frame`` with the anchors of its column ``text``: distinct hashes, or structs (position, anchor) in order.
-
-    The words and their hashes are columns of their own, so that each is computed once.
+#: Characters that end a letter, and all others but white space.
+ENDS = r"[aeoAEO0-9\x{80}-\x{10FFFF}]"
+_INSIDE = r"[^aeoAEO0-9\x20\x09-\x0D\x{80}-\x{10FFFF}]"
+LETTER = rf"{_INSIDE}{{0,15}}{ENDS}|{_INSIDE}{{1,16}}"
+#: Bits of a mark that hold the gap from the anchor before, which is four letters at most, and bits in all.
+GAP_BITS, MARK_BITS = 4, 32
+#: Rows of a piece of the doc_id order that are aimed at.
+PIECE_ROWS = 1_000
+
+
+def _hashed(letters: Column) -> Column:
+    return F.zip_with(F.slice(letters, F.lit(1), F.size(letters) - 1), F.slice(letters, F.lit(2), F.size(letters) - 1), lambda a, b: F.xxhash64(a, b))
+
+
+def _add_anchors(frame: DataFrame, text: str, at: str, anchors: str) -> DataFrame:
+    """``frame`` with the places (numbers of their first letters) and the hashes of the anchors of its column ``text``.
+
+    The letters and the hashes of pairs are columns of their own, so that each is computed once.
     """
-    if letters not in ("words", "characters"):
-        raise ValueError(f"no such letters: {letters}")
-    if letters == "characters":
-        return _add_character_anchors(frame, text, into, positions)
-    w, g = f"__words_{into}", f"__pairs_{into}"
+    w, g = f"__letters_{at}", f"__pairs_{at}"
     inner = K - S + 1
-    frame = frame.withColumn(w, F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != ""))
+    frame = frame.withColumn(w, F.regexp_extract_all(text, F.lit(LETTER), F.lit(0)))
     frame = frame.withColumn(g, F.when(F.size(w) > 1, _hashed(F.col(w))).otherwise(F.transform(w, lambda x: F.xxhash64(x))))
-    at = [lambda i, j=j: F.get(F.col(g), i + j) for j in range(inner)]
-    least = lambda i: F.least(*[a(i) for a in at])
-    chosen = F.filter(F.sequence(F.lit(0), F.size(g) - inner), lambda i: (least(i) == at[0](i)) | (least(i) == at[-1](i)))
-    anchor = lambda i: F.xxhash64(*[a(i) for a in at[::S]])
-    if positions:
-        many, one = F.transform(chosen, lambda i: F.struct(i.alias("position"), anchor(i).alias("anchor"))), F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(g).alias("anchor")))
-    else:
-        many, one = F.array_distinct(F.transform(chosen, anchor)), F.array(F.xxhash64(g))
-    found = F.when(F.size(g) >= inner, many).when(F.size(g) > 0, one).otherwise(F.slice(one, 1, 0))
-    return frame.withColumn(into, found).drop(w, g)
-
-
-def anchors(docs: DataFrame, letters: str = "words") -> DataFrame:
+    pair = lambda i, j: F.get(F.col(g), i + j)
+    # The first or the last pair is below or like all between, and one of the two is below the other.
+    least = lambda i: F.least(*[pair(i, j) for j in range(1, inner - 1)])
+    closed = lambda i: F.least(pair(i, 0), pair(i, inner - 1)) <= least(i)
+    places = F.filter(F.sequence(F.lit(0), F.size(g) - inner), closed)
+    none, one = F.array().cast("array<int>"), F.array(F.lit(0))
+    frame = frame.withColumn(at, F.when(F.size(g) >= inner, places).when(F.size(g) > 0, one).otherwise(none))
+    whole = F.transform(at, lambda i: F.xxhash64(g))
+    many = F.transform(at, lambda i: F.xxhash64(*[pair(i, j) for j in range(0, inner, S)]))
+    return frame.withColumn(anchors, F.when(F.size(g) >= inner, many).otherwise(whole)).drop(w, g)
+
+
+def _add_marks(frame: DataFrame, text: str, into: str) -> DataFrame:
+    """``frame`` with the marks of its column ``text``: whole numbers of MARK_BITS bits, in the order of the text."""
+    at, anchors = f"__at_{into}", f"__anchors_{into}"
+    frame = _add_anchors(frame, text, at, anchors)
+    before = F.concat(F.slice(at, 1, 1), F.slice(at, F.lit(1), F.greatest(F.size(at) - 1, F.lit(0))))  # the first has no gap
+    top = F.lit(1 << (MARK_BITS - GAP_BITS)).cast("long")
+    gaps = F.zip_with(at, before, lambda a, b: a - b)
+    mark = F.zip_with(anchors, gaps, lambda a, gap: F.pmod(a, top) * (1 << GAP_BITS) + gap)
+    return frame.withColumn(into, mark).drop(at, anchors)
+
+
+def anchors(docs: DataFrame) -> DataFrame:
     """(doc_id, position, anchor): the anchors of every text of ``docs`` (doc_id, text) with the number of their first letter.
 
     Equal anchors at positions whose difference is the same line two texts up. A null
     text counts as empty and has none.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = _add_anchors(rows, "text", "anchors", positions=True, letters=letters)
-    return found.select("doc_id", F.explode("anchors").alias("x")).select("doc_id", "x.position", "x.anchor")
+    found = _add_anchors(rows, "text", "at", "anchors")
+    return found.select("doc_id", F.explode(F.arrays_zip("at", "anchors")).alias("x")).select("doc_id", F.col("x.at").alias("position"), F.col("x.anchors").alias("anchor"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard index of two arrays of distinct anchors; 1 if both are empty."""
-    shared = F.size(F.array_intersect(a, b))
-    total = F.size(a) + F.size(b) - shared
-    return F.when(total == 0, 1.0).otherwise(shared / total)
+    """Jaccard index of the distinct marks of two fingerprints; 1 if both are empty."""
+    total = F.size(F.array_union(a, b))
+    return F.when(total == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / total)
 
 
-def fingerprint(anchors: Column) -> Column:
-    """128 bits over an array of anchors, as hex."""
-    return F.lower(F.concat(F.lpad(F.hex(F.xxhash64(anchors)), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit(1), anchors)), 16, "0")))
+def fingerprint(marks: Column) -> Column:
+    """The marks as base64 of four bytes each, the greatest first."""
+    return F.base64(F.unhex(F.array_join(F.transform(marks, lambda x: F.lpad(F.hex(x), MARK_BITS // 4, "0")), "")))
 
 
-def _pieces(docs: DataFrame) -> tuple[Column, DataFrame]:
-    """(piece, bounds): the number of the piece that a doc_id falls into, and (piece, low, high, after) of each piece.
+def marks_of(fingerprint: Column) -> Column:
+    """The marks that a fingerprint holds."""
+    digits = F.hex(F.unbase64(fingerprint))
+    return F.transform(F.regexp_extract_all(digits, F.lit(f".{{{MARK_BITS // 4}}}"), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("long"))
 
-    Pieces are cut at quantiles of doc_id, whatever values it has. There are PIECES
-    at most, so that the table of bounds has a proven size; ``after`` is the first
-    doc_id of the next piece, or of the first one after the last.
-    """
-    spark: SparkSession = docs.sparkSession
-    n = max(1, min(PIECES, docs.count() // PIECE_ROWS))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)).first()[0] if n > 1 else []
-    cuts = sorted(set(cuts or []))
-    # Two levels of at most 64 comparisons each.
-    step = 64
-    literal = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
-    piece = F.lit(0)
-    if cuts:
-        coarse = F.size(F.filter(literal(cuts[step - 1 :: step]), lambda c: c < F.col("doc_id"))) if len(cuts) >= step else F.lit(0)
-        fine = F.filter(F.slice(literal(cuts), coarse * step + 1, F.lit(step)), lambda c: c < F.col("doc_id"))
-        piece = coarse * step + F.size(fine)
-    found = docs.select("doc_id", piece.alias("piece")).groupBy("piece").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).collect()
-    rows = sorted((r.piece, r.low, r.high) for r in found)
-    after = [r[1] for r in rows[1:]] + [r[1] for r in rows[:1]]
-    bounds = spark.createDataFrame([(*r, a) for r, a in zip(rows, after, strict=True)], "piece int, low long, high long, after long")
-    return piece, bounds
-
-
-def with_next(docs: DataFrame, letters: str = "words") -> DataFrame:
-    """(doc_id, text, own, next_text, next_own): each document with its anchors and those of the next by doc_id.
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, own, next_text, next_own): each document with its marks and those of the next by doc_id.
 
     After the last document comes the first. Rows that share a doc_id follow each
     other by their texts. A row with a null doc_id stands outside the order: its next
@@ -140,41 +107,46 @@ def with_next(docs: DataFrame, letters: str = "words") -> DataFrame:
     row of a piece is joined to the first of the next one.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    placed = rows.filter("doc_id is not null")
-    piece, bounds = _pieces(placed.select("doc_id"))
+    placed = with_pieces(rows.filter("doc_id is not null"), "doc_id", PIECE_ROWS)
     order = Window.partitionBy("piece").orderBy("doc_id", "text")
-    pieces = placed.withColumn("piece", piece).repartition("piece").sortWithinPartitions("piece", "doc_id", "text")
-    inside = _add_anchors(pieces, "text", "own", letters=letters)
+    pieces = placed.repartition("piece").sortWithinPartitions("piece", "doc_id", "text")
+    inside = _add_marks(pieces, "text", "own")
     inside = inside.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order))
     columns = ["doc_id", "text", "own", "next_text", "next_own"]
     inside = inside.filter("next_text is not null").select(*columns)
 
+    # One row for each piece, 262,144 at most: its first and last doc_id, and the first of the next piece or of the first one.
+    bounds = placed.groupBy("piece").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    around = Window.orderBy("piece")
+    start = F.first("low").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    bounds = bounds.select("low", "high", F.coalesce(F.lead("low").over(around), start).alias("after"))
     last = placed.join(F.broadcast(bounds.select(F.col("high").alias("doc_id"), "after")), "doc_id").groupBy("doc_id", "after").agg(F.max("text").alias("text"))
     first = placed.join(F.broadcast(bounds.select(F.col("low").alias("doc_id"))), "doc_id").groupBy(F.col("doc_id").alias("after")).agg(F.min("text").alias("next_text"))
-    edges = _add_anchors(_add_anchors(last.join(first, "after"), "text", "own", letters=letters), "next_text", "next_own", letters=letters).select(*columns)
+    edges = _add_marks(_add_marks(last.join(first, "after"), "text", "own"), "next_text", "next_own").select(*columns)
 
-    outside = _add_anchors(rows.filter("doc_id is null"), "text", "own", letters=letters)
+    outside = _add_marks(rows.filter("doc_id is null"), "text", "own")
     outside = outside.select("doc_id", "text", "own", F.lit(None).cast("string").alias("next_text"), F.slice("own", 1, 0).alias("next_own"))
     return inside.union(edges).union(outside)
 
 
-def fingerprints(docs: DataFrame, letters: str = "words") -> DataFrame:
+def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document of ``docs`` (doc_id, text; other columns are not read) and of its edited text.
 
     The edited text has the last floor(n_chars / 4) code points replaced by as many
     first ones of the next document (``with_next``), or all of them if it is shorter.
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next and n_anchors. A null text counts as empty; empty texts,
-    and texts without words, are all alike. For a null doc_id nothing is put in the
-    place of what the edit takes away. No row: no row.
+    near_edited, near_next and n_anchors; the two likenesses are those of the
+    fingerprints' marks. A null text counts as empty; empty texts, and texts of white
+    space, are all alike. For a null doc_id nothing is put in the place of what the edit
+    takes away. Very long texts are read whole. No row: no row.
     """
-    found = with_next(docs, letters)
+    found = with_next(docs)
     n = F.length("text")
     moved = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - moved), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), moved))
     found = found.withColumn("edited", edited).withColumn("n_chars", n.cast("long"))
     found = found.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    found = _add_anchors(found.drop("text", "next_text"), "edited", "changed", letters=letters)
+    found = _add_marks(found.drop("text", "next_text"), "edited", "changed")
     return found.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"),

@@ -4,14 +4,19 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from loomtrace.llm import fingerprints as module
-from loomtrace.llm.fingerprints import CHARACTER_K, CHARACTER_S, K, S, anchors, fingerprints
+from loomtrace.llm.fingerprints import K, S, anchors, fingerprints, marks_of
 from loomtrace.llm.queries import QUERIES
 from loomtrace.sources.tables import table
 
 
-def words_of(text):
-    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+ENDS, INSIDE = "[aeoAEO0-9\\x80-\U0010ffff]", "[^aeoAEO0-9 \\x09-\\x0D\\x80-\U0010ffff]"
+
+
+def letters_of(text):
+    return re.findall(f"{INSIDE}{{0,15}}{ENDS}|{INSIDE}{{1,16}}", text or "")
 
 
 def hashes(spark, items):
@@ -28,17 +33,19 @@ def hashes(spark, items):
 
 
 def brute(spark, texts):
-    """Anchor sets of texts, as (words of the k-mer) or the whole sequence."""
-    pairs = hashes(spark, [p for t in texts for p in zip(words_of(t), words_of(t)[1:])])
+    """Marks of texts: (k-mer or whole sequence, letters from the anchor before)."""
+    pairs = hashes(spark, [p for t in texts for p in zip(letters_of(t), letters_of(t)[1:])])
     out = []
     for t in texts:
-        w = words_of(t)
+        w = letters_of(t)
         g = [pairs[p] for p in zip(w, w[1:])]
         inner = K - S + 1
+        at = [i for i in range(len(g) - inner + 1) if min(g[i : i + inner]) in (g[i], g[i + inner - 1])]
         if len(g) < inner:
-            out.append([(0, tuple(w))] if w else [])
-            continue
-        out.append([(i, tuple(w[i : i + K])) for i in range(len(g) - inner + 1) if min(g[i : i + inner]) in (g[i], g[i + inner - 1])])
+            out.append([(tuple(w), 0)] if w else [])
+        else:
+            out.append([(tuple(w[i : i + K]), i - ([i] + at)[n]) for n, i in enumerate(at)])
+            assert all(0 <= gap <= K - S for _, gap in out[-1])
     return out
 
 
@@ -50,7 +57,7 @@ def expected(spark, rows):
         after = texts[(p + 1) % len(rows)]
         m = len(t) // 4
         edited.append(t[: len(t) - m] + after[:m])
-    sets = [frozenset(a for _, a in x) for x in brute(spark, texts + edited)]
+    sets = [frozenset(x) for x in brute(spark, texts + edited)]
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     n = len(rows)
     for p, (i, t) in enumerate(rows):
@@ -97,42 +104,57 @@ def test_anchors_are_context_free(spark):
     rnd = random.Random(1)
     middle = " ".join(f"w{rnd.randrange(500)}" for _ in range(300))
     docs = spark.createDataFrame([(1, middle), (2, "one two three " + middle + " four")], "doc_id long, text string")
+    shift = len(letters_of("one two three"))
     found = {}
     for r in anchors(docs).collect():
         found.setdefault(r.doc_id, set()).add((r.position, r.anchor))
-    assert {(p + 3, a) for p, a in found[1]} <= found[2] and len(found[1]) > 60
-
-
-def character_anchors(spark, texts):
-    """Anchor sets of texts with characters as letters, as k-mers or whole texts."""
-    texts = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "").strip(" ") for t in texts]
-    two = hashes(spark, [p for t in texts for p in zip(t, t[1:])])
-    pairs = [[two[p] for p in zip(t, t[1:])] for t in texts]
-    four = hashes(spark, [p for g in pairs for p in zip(g, g[2:])])
-    out, inner = [], CHARACTER_K - CHARACTER_S + 1
-    for t, g in zip(texts, pairs):
-        h = [four[p] for p in zip(g, g[2:])]
-        found = {t[i : i + CHARACTER_K] for i in range(len(h) - inner + 1) if min(h[i : i + inner]) in (h[i], h[i + inner - 1])}
-        out.append(frozenset(found or ({t} if t else ())))
-    return out
+    assert {(p + shift, a) for p, a in found[1]} <= found[2] and len(found[1]) > 60
 
 
-def test_characters_of_short_and_unspaced_texts(spark):
+def test_short_and_unspaced_texts(spark):
     rnd = random.Random(5)
     word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
-    texts = [" ".join(word() for _ in range(n)) for n in (3, 4, 5, 6, 8, 11)] + ["".join(chr(0x4E00 + rnd.randrange(900)) for _ in range(n)) for n in (30, 3000)]
-    texts += ["", " ", "a", "seven77", "eight888", "nine 9999", "🙂 x y z 🙂 x y z 🙂", None, "a  b\tc d e f g h i", " a b c d e f g h i\n"]
+    texts = [" ".join(word() for _ in range(n)) for n in (8, 11, 20)] + ["".join(chr(0x4E00 + rnd.randrange(900)) for _ in range(n)) for n in (30, 3000)]
+    texts += ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4000)), "", " ", "a", "seven77", "🙂 x y z 🙂 x y z 🙂", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = sorted(fingerprints(docs, letters="characters").collect(), key=lambda r: r.doc_id)
-    full = [t or "" for t in texts]
-    edited = [t[: len(t) - len(t) // 4] + full[(i + 1) % len(full)][: len(t) // 4] for i, t in enumerate(full)]
-    sets = character_anchors(spark, full + edited)
-    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    n = len(texts)
-    assert [(r.near_edited, r.near_next, r.n_anchors) for r in rows] == [(like(sets[i], sets[n + i]), like(sets[i], sets[(i + 1) % n]), len(sets[i])) for i in range(n)]
-    assert all(0 < r.near_edited < 1 for r in rows[:8])
-    assert rows[n - 2].fingerprint == rows[n - 1].fingerprint
-    assert [r.near_edited for r in sorted(fingerprints(docs).collect(), key=lambda r: r.doc_id)][6:8] == [0.0, 0.0]
+    rows = sorted(fingerprints(docs).collect(), key=lambda r: r.doc_id)
+    assert got(fingerprints(docs)) == expected(spark, list(enumerate(texts)))
+    assert all(0 < r.near_edited < 1 for r in rows[:6]) and all(r.near_edited > 0.5 for r in rows[4:6])
+
+
+def test_fingerprints_hold_the_marks_that_likeness_compares(spark):
+    rnd = random.Random(7)
+    texts = [" ".join(f"w{rnd.randrange(300)}" for _ in range(n)) for n in (0, 1, 30, 400)]
+    rows = fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    both = rows.select("near_edited", marks_of(F.col("fingerprint")).alias("a"), marks_of(F.col("edited_fingerprint")).alias("b"), "n_anchors").collect()
+    for r in both:
+        a, b = set(r.a), set(r.b)
+        assert len(r.a) == r.n_anchors and r.near_edited == (len(a & b) / len(a | b) if a | b else 1.0)
+
+
+def test_an_edit_keeps_the_marks_around_it(spark):
+    rnd = random.Random(3)
+    w = [f"word{rnd.randrange(900)}" for _ in range(300)]
+    inserted, head = w[:150] + ["brand", "new", "words"] + w[150:], ["some", "heading"] + w
+    frame = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate((w, inserted, head))], "doc_id long, text string")
+    found = {r.doc_id: r for r in fingerprints(frame).collect()}
+    assert found[0].near_next > 0.9 and found[1].near_next > 0.9
+
+
+def test_pieces_of_an_order(spark, monkeypatch):
+    from loomtrace.llm import pieces
+
+    monkeypatch.setattr(pieces, "COARSE", 40)
+    rnd = random.Random(1)
+    values = [rnd.choice([rnd.randrange(10**6), -rnd.randrange(10**12), 77]) for _ in range(6000)] + [None]
+    frame = spark.createDataFrame([(v,) for v in values], "v long")
+    for rows in (10**6, 400, 20):
+        found = sorted((r.v, r.piece) for r in pieces.with_pieces(frame, "v", rows).collect() if r.v is not None)
+        assert len(found) == 6000 and [p for _, p in found] == sorted(p for _, p in found)
+        of = {}
+        for v, p in found:
+            of.setdefault(p, []).append(v)
+        assert max(sum(v != 77 for v in x) for x in of.values()) <= max(8 * rows, 60) and len(of) >= min(6000 // rows, 1) / 2
 
 
 def test_the_query_leaves_no_text_of_some_length_without_likeness(spark, sf_dir):
