@@ -4,7 +4,8 @@ The as-of join goes by canonical url. Time is cut into pieces at quantiles; with
 piece a window finds the latest earlier response, and where it finds none the last
 response of the pieces before is used, of which there is one row for each url and
 piece. So a url with a third of all records is spread over as many tasks as there are
-pieces. Payloads stay out of the join.
+pieces. Payloads stay out of the join; a response that many revisits repeat is joined
+in several copies, each to a part of them.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtrace.llm.pieces import with_pieces
 from loomtrace.llm.scratch import Scratch
 from loomtrace.llm.url_filter import canonical_url
 
-#: Pieces of time at most, and records of a piece aimed at.
-PIECES, PIECE_ROWS = 64, 5_000
+#: Records of a piece of time that are aimed at.
+PIECE_ROWS = 5_000
+#: Rows that one copy of a source is joined to, and sources that are copied at most.
+COPY_ROWS, HOT_SOURCES = 500, 100_000
 
 # Fields that a not-modified answer must not change in a stored one
 # (they describe its body), and fields of one connection only.
@@ -58,6 +62,24 @@ def _verdict(etag: Column, old_etag: Column, modified: Column, old_modified: Col
     )
 
 
+def _join_sources(rows: DataFrame, sources: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` left joined to ``sources`` (one row a key, the last of which is an id); rows with a null id match nothing.
+
+    A source that more than COPY_ROWS rows ask for is copied so often that no copy has
+    many more; they are HOT_SOURCES at most and broadcast, as the least number of rows
+    that makes a source hot grows with all rows. Rows without a source are dealt by
+    their own id, not all to the task of the null.
+    """
+    name = key[-1]
+    asked = rows.filter(F.col(name).isNotNull())
+    least = max(COPY_ROWS, asked.count() // HOT_SOURCES)
+    hot = asked.groupBy(*key).count().filter(F.col("count") > least).select(*key, F.ceil(F.col("count") / least).cast("int").alias("__copies"))
+    spread = F.xxhash64("record_id")
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("__copy", F.when(F.col(name).isNull(), spread).otherwise(F.pmod(spread, F.coalesce("__copies", F.lit(1)))))
+    copies = sources.join(F.broadcast(hot), key, "left").withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__copies", F.lit(1)) - 1)))
+    return dealt.drop("__copies").join(copies.drop("__copies"), [*key, "__copy"], "left").drop("__copy")
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """(record_id, canonical, kind, resolution, from_id, status, headers) for every row of ``records``.
 
@@ -80,10 +102,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     rows = scratch.keep(rows, "records")
     full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200), F.lit(False))
     placed = rows.filter("canonical is not null and ts is not null")
-    n = max(1, min(PIECES, placed.count() // PIECE_ROWS))
-    cuts = sorted(set(placed.agg(F.percentile_approx("ts", [i / n for i in range(1, n)], 100 * n)).first()[0] or [])) if n > 1 else []
-    piece = sum(((F.col("ts") > c).cast("int") for c in cuts), F.lit(0))
-    keyed = placed.withColumn("piece", piece)
+    keyed = with_pieces(placed, "ts", PIECE_ROWS)
     earlier = Window.partitionBy("canonical", "piece").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
     # The greatest struct by (ts, record_id): headers are a map, which has no order, so ids are joined.
     key = F.when(full, F.struct("ts", "record_id"))
@@ -97,7 +116,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     # One row for each (canonical, ts, record_id), however often a response is repeated.
     sources = placed.filter(full).groupBy(F.col("canonical"), F.col("ts").alias("from_ts"), F.col("record_id").alias("from_id"))
     sources = sources.agg(F.first("status").alias("old_status"), F.first("headers").alias("old"))
-    revisits = revisits.join(sources, ["canonical", "from_ts", "from_id"], "left")
+    revisits = _join_sources(scratch.keep(revisits, "revisits"), sources, ["canonical", "from_ts", "from_id"])
     new, old = F.col("headers"), F.col("old")
     pairs = [x for name in ("etag", "last-modified", "warc-payload-digest") for x in (new[name], old[name])]
     resolution = F.when(old.isNull(), "no-earlier-response").otherwise(_verdict(*pairs))
@@ -120,10 +139,8 @@ def restored(records: DataFrame) -> DataFrame:
     of repeated ones the greatest payload counts.
     """
     payloads = records.filter("kind = 'response' and status = 200").groupBy(F.col("record_id").alias("from_id")).agg(F.max("payload").alias("payload"))
-    # Rows without a source are dealt by their own id, not all to the task of the null.
-    spread = F.when(F.col("from_id").isNull(), F.xxhash64("record_id")).otherwise(F.lit(0).cast("long"))
-    found = resolve_revisits(records).withColumn("spread", spread)
-    return found.join(payloads.withColumn("spread", F.lit(0).cast("long")), ["from_id", "spread"], "left").select("record_id", "canonical", "kind", "resolution", "from_id", "status", "headers", "payload")
+    found = Scratch(records.sparkSession, "revisits").keep(resolve_revisits(records), "resolved")
+    return _join_sources(found, payloads, ["from_id"]).select("record_id", "canonical", "kind", "resolution", "from_id", "status", "headers", "payload")
 
 
 def crawl_records(pages: DataFrame, step: int = 1_000, later: int = 2_500_000) -> DataFrame:

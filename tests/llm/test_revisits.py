@@ -18,7 +18,7 @@ def canonical(url):
     return re.sub(r"^www\.", "", m[1].lower()) + m[2].rstrip("/") + ("?" + "&".join(kept) if kept else "")
 
 
-def brute(rows):
+def brute(rows):  # (record_id, url, ts, kind, status, headers, payload)
     out = []
     plain = [{k.lower(): v for k, v in (h or {}).items()} for *_, h, _ in rows]
     full = [p for p, r in enumerate(rows) if r[3] == "response" and r[4] == 200]
@@ -81,3 +81,12 @@ def test_hot_url_ties_nulls_and_clashing_names(spark, monkeypatch):
     assert twice.count() == 800 and restored(frame.limit(0)).collect() == []
     odd = spark.createDataFrame([(1, "http://x.org", 1, "response", 200, {"A": "1", "a": "2"}, "p", "")], SCHEMA)
     assert resolve_revisits(odd).first().headers == {"a": "2"}
+
+
+def test_a_source_that_most_revisits_repeat_is_copied(spark, monkeypatch):
+    monkeypatch.setattr(module, "COPY_ROWS", 3)
+    body, url = "b" * 200_000, "http://hot.org/" + "p" * 20_000
+    rows = [(0, url, 1, "response", 200, {"ETag": '"1"'}, body, "x")] + [(i, url, 1 + i, "revisit", 304, {"ETag": '"1"', "Date": str(i)}, None, "x") for i in range(1, 60)]
+    rows += [(100, "http://b.org", 5, "revisit", 304, None, None, None), (100, "http://b.org", 5, "revisit", 304, None, None, None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(shown(tuple(r)) for r in restored(frame).collect()) == brute([r[:7] for r in rows])
