@@ -39,6 +39,8 @@ ROW = 192
 WIDTH = 64
 #: Bytes of an archive that a task reads, and of media in a batch.
 RANGE_BYTES, BATCH_BYTES = 16 << 20, 4 << 20
+#: Bytes at which an archive ends: each range reads its directory, so that an archive has few ranges.
+ARCHIVE_BYTES = 128 << 20
 TRIES = 4
 MANIFEST = "_MANIFEST.json"
 COLUMNS = "doc_id long, archive string, offset long, media binary"
@@ -141,6 +143,8 @@ def read_member(files, path: str, info: zipfile.ZipInfo, opened, tries: int = TR
                 raise OSError("a member's checksum is wrong")
             return media, opened
         except OSError as error:
+            if opened is not None:
+                opened.close()
             last, opened = error, None
             if n + 1 < tries:
                 time.sleep(pause * 2**n)
@@ -158,9 +162,9 @@ class ByteRange(InputPartition):
 
 @dataclass
 class Written(WriterCommitMessage):
-    archive: str | None
-    size: int
-    members: int
+    """The archives of a task: name, size and number of members of each."""
+
+    archives: list[tuple[str, int, int]]
 
 
 class MediaReader(DataSourceReader):
@@ -182,16 +186,20 @@ class MediaReader(DataSourceReader):
         with files.open_input_file(path) as file:
             members = [i for i in zipfile.ZipFile(file).infolist() if part.start <= i.header_offset < part.end]
         rows, held, opened = [], 0, None
-        for info in members:
-            media, opened = read_member(files, path, info, opened)
-            name = info.filename.partition("-")[2].removesuffix(".png")
-            rows.append((None if name == "null" else int(name), part.archive, info.header_offset, media))
-            held += len(media)
-            if held >= BATCH_BYTES:
+        try:
+            for info in members:
+                media, opened = read_member(files, path, info, opened)
+                name = info.filename.partition("-")[2].removesuffix(".png")
+                rows.append((None if name == "null" else int(name), part.archive, info.header_offset, media))
+                held += len(media)
+                if held >= BATCH_BYTES:
+                    yield _batch(rows)
+                    rows, held = [], 0
+            if rows:
                 yield _batch(rows)
-                rows, held = [], 0
-        if rows:
-            yield _batch(rows)
+        finally:
+            if opened is not None:
+                opened.close()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -201,43 +209,50 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class MediaWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, archive_bytes: int):
+        self.folder, self.archive_bytes = folder, archive_bytes
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         files, root = _files(self.folder)
-        name, members, archive, stream = f"{uuid.uuid4().hex}.zip", 0, None, None
+        done, archive, stream, name, members = [], None, None, "", 0
+
+        def finish() -> None:
+            archive.close()
+            done.append((name, stream.tell(), members))
+            stream.close()
+
         for batch in iterator:
             for doc_id, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if archive is not None and stream.tell() >= self.archive_bytes:
+                    finish()
+                    archive = None
                 if archive is None:
                     files.create_dir(root, recursive=True)
+                    name, members = f"{uuid.uuid4().hex}.zip", 0
                     stream = files.open_output_stream(f"{root}/{name}")
                     archive = zipfile.ZipFile(stream, "w", zipfile.ZIP_STORED, allowZip64=True)
                 archive.writestr(zipfile.ZipInfo(f"{members:09d}-{'null' if doc_id is None else doc_id}.png"), to_png(payload.as_buffer().to_pybytes()))
                 members += 1
-        if archive is None:
-            return Written(None, 0, 0)
-        archive.close()
-        size = stream.tell()
-        stream.close()
-        return Written(name, size, members)
+        if archive is not None:
+            finish()
+        return Written(done)
 
     def commit(self, messages: list[Written | None]) -> None:
         files, root = _files(self.folder)
         files.create_dir(root, recursive=True)
-        rows = [{"archive": m.archive, "size": m.size, "members": m.members} for m in messages if m is not None and m.archive]
+        rows = [{"archive": name, "size": size, "members": members} for m in messages if m is not None for name, size, members in m.archives]
         with files.open_output_stream(f"{root}/{MANIFEST}") as file:
             file.write(json.dumps(rows).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
         files, root = _files(self.folder)
         for m in messages:
-            if m is not None and m.archive:
-                files.delete_file(f"{root}/{m.archive}")
+            for name, _, _ in m.archives if m is not None else ():
+                files.delete_file(f"{root}/{name}")
 
 
 class MediaArchive(DataSource):
-    """``spark.read.format("media_archive").load(folder)``; option ``range_bytes`` sets the size of partitions."""
+    """``spark.read.format("media_archive").load(folder)``; option ``range_bytes`` sets the size of partitions, ``archive_bytes`` that at which a writer begins another archive."""
 
     @classmethod
     def name(cls) -> str:
@@ -250,7 +265,7 @@ class MediaArchive(DataSource):
         return MediaReader(self.options["path"], int(self.options.get("range_bytes", RANGE_BYTES)))
 
     def writer(self, schema, overwrite: bool) -> MediaWriter:
-        return MediaWriter(self.options["path"])
+        return MediaWriter(self.options["path"], int(self.options.get("archive_bytes", ARCHIVE_BYTES)))
 
 
 # --- columns ----------------------------------------------------------------
@@ -292,7 +307,8 @@ def text_media(docs: DataFrame) -> DataFrame:
     """Every text of ``docs`` stored, read back and described; one row for each row.
 
     Equal texts give equal values. A null or empty text is one line of spaces. Repeated
-    rows and null ids are members like any other. No row: no row.
+    rows and null ids are members like any other, a very long text is one member. Other
+    columns than doc_id and text are not read, whatever their names. No row: no row.
     """
     scratch = Scratch(docs.sparkSession, "media")
     folder = scratch.folder("archives")

@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from loomtrace.llm import media
 from loomtrace.llm import media
 from loomtrace.llm.media import MANIFEST, ArchiveReadError, feature, from_png, load, padded, read_member, store, text_media, to_png
 from loomtrace.sources.tables import table
@@ -88,3 +89,12 @@ def test_members_are_retried_alone(tmp_path):
     with pytest.raises(ArchiveReadError):
         read_member(Flaky(0), path, infos[0], None, pause=0)
     assert media.TRIES > 1
+
+
+def test_archives_end_at_a_size(spark, tmp_path):
+    spark.dataSource.register(media.MediaArchive)
+    rows = [(i, bytes([i % 256]) * 3000) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, payload binary").coalesce(1)
+    frame.write.format("media_archive").option("archive_bytes", 20_000).mode("append").save(str(tmp_path / "a"))
+    found = load(spark, str(tmp_path / "a"), range_bytes=7_000).collect()
+    assert sorted(r.doc_id for r in found) == list(range(200)) and len({r.archive for r in found}) > 1
