@@ -14,7 +14,8 @@
 4. Lists whose members are then not in one component are joined with themselves if
    they have at most FEW members. Members of longer ones go an exact way: inverted
    lists over their whole sets, where a value that many share ranks behind all that
-   few do, under size and positional bounds and the components found so far.
+   few do. Their hubs come first again; lists that are still open are joined with
+   themselves under size and positional bounds and the components found so far.
    So no link between components is lost and no group is paired in full.
 """
 
@@ -208,14 +209,24 @@ def _sketch_lists(classes: DataFrame, percent: int, k: int) -> DataFrame:
 
 
 def _whole_lists(whole: DataFrame, percent: int) -> DataFrame:
-    """(value, node, n, rest): the rarest values of whole sets, in which a partner must meet them."""
+    """(value, node, n, unique, rest): the rarest values of whole sets, in which a partner must meet them."""
     values = whole.select("node", F.size("whole").cast("long").alias("n"), F.explode("whole").alias("value"))
     often = values.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1")
     ranked = values.join(often, "value").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("common"))
     ranked = ranked.withColumn("held", F.size("common").cast("long"))
     prefix = F.col("held") - F.ceil(F.lit(percent) * F.col("n") / F.lit(100)).cast("long") + 1
     lists = ranked.withColumn("prefix", prefix).filter("prefix > 0").select("node", "n", "held", F.posexplode(F.slice("common", F.lit(1), F.col("prefix").cast("int"))).alias("at", "entry"))
-    return lists.select(F.col("entry.value").alias("value"), "node", "n", (F.col("held") - F.col("at")).alias("rest"))
+    return lists.select(F.col("entry.value").alias("value"), "node", "n", (F.col("n") - F.col("held")).alias("unique"), (F.col("held") - F.col("at")).alias("rest"))
+
+
+def _stars(lists: DataFrame, hubs: DataFrame, least: Column, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of each member with its list's hub, which ``hubs`` has as a struct, that sizes and positions allow.
+
+    ``least`` is the overlap that a pair must have, of the columns ``least`` or n and hub.n.
+    """
+    met = lists.join(hubs.select("value", "hub"), "value").filter(F.col("node") != F.col("hub.node"))
+    met = met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b"), F.least("rest", "hub.rest").alias("rest"), least.alias("least"))
+    return met.filter(_like_sized(percent) & (F.col("rest") >= F.col("least"))).select("a", "b").distinct()
 
 
 def _with_labels(lists: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -236,9 +247,7 @@ def _meet(x: DataFrame, y: DataFrame, on: list[str], names: tuple[str, ...], con
 def _links(docs: DataFrame, classes: DataFrame, lists: DataFrame, hubs: DataFrame, words: int, percent: int, k: int, scratch: Scratch) -> DataFrame:
     """(node, label) of the classes that are linked with another."""
     # Stars: the hub of a list is the member with the fewest values of its own.
-    stars = lists.join(hubs.select("value", "hub"), "value").filter(F.col("node") != F.col("hub.node"))
-    stars = stars.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b"), F.least("rest", "hub.rest").alias("rest"), F.greatest("least", "hub.least").alias("least"))
-    stars = stars.filter(_like_sized(percent) & (F.col("rest") >= F.col("least"))).select("a", "b").distinct()
+    stars = _stars(lists, hubs, F.greatest("least", "hub.least"), percent)
     stars = scratch.keep(_estimated(stars, classes, percent, k), "stars")
 
     # Whole sets of the classes that share a list; each is read from the row of its least doc_id.
@@ -261,26 +270,38 @@ def _links(docs: DataFrame, classes: DataFrame, lists: DataFrame, hubs: DataFram
     possible = (F.col("node_a") < F.col("node_b")) & _like_sized(percent) & (F.least("rest_a", "rest_b") >= F.greatest("least_a", "least_b"))
     pairs = _meet(few, few, ["value"], names, possible).join(stars, ["a", "b"], "left_anti")
     further = scratch.keep(_verified(_estimated(pairs, classes, percent, k), whole, percent), "links")
-    found = not further.isEmpty()
-    if found:
+    if not further.isEmpty():
         edges = scratch.keep(edges.union(further), "edges")
         labels = connected_components(edges, scratch)
 
-    # Members of long ones, by whole sets. The smaller set of a pair has a value in common
-    # with the larger one while at least as many are left as sets of its size must share.
+    # Members of long ones, by whole sets: first with the hubs of their lists.
     many = labelled.join(spread.filter(F.col("members") > FEW).select("value"), "value", "left_semi").select("node").distinct()
     many = scratch.keep(many, "many")
     if many.isEmpty():
         return labels
-    long_lists = scratch.keep(_whole_lists(whole.join(many, "node", "left_semi"), percent), "whole-lists")
-    labelled, spread = _with_labels(long_lists, labels)
+    lists = scratch.keep(_whole_lists(whole.join(many, "node", "left_semi"), percent), "whole-lists")
+    labelled, spread = _with_labels(lists, labels)
+    # The hub is of the component that the list's most central member is in; its members need not meet it.
+    labelled = scratch.keep(labelled.join(spread.select("value"), "value", "left_semi"), "whole-open")
+    hubs = labelled.groupBy("value").agg(F.min(F.struct("unique", "node", "n", "rest", "label")).alias("hub"))
+    apart = labelled.join(hubs, "value").filter(F.col("label") != F.col("hub.label")).select("value", "node", "n", "rest")
+    more = _stars(apart, hubs, _least_overlap(F.col("n"), F.col("hub.n"), percent), percent).join(stars, ["a", "b"], "left_anti")
+    more = scratch.keep(_estimated(more, classes, percent, k), "stars")
+    further = scratch.keep(_verified(more, whole, percent), "links")
+    if not further.isEmpty():
+        edges = scratch.keep(edges.union(further), "edges")
+        labels = connected_components(edges, scratch)
+
+    # Then with each other where lists are still open. The smaller set of a pair has a value in common
+    # with the larger one while at least as many are left as sets of its size must share.
+    labelled, spread = _with_labels(lists, labels)
     step = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent)))).cast("long")
-    labelled = labelled.withColumn("size", step).join(spread.select("value"), "value", "left_semi")
-    labelled = scratch.keep(labelled, "whole-open")
+    labelled = scratch.keep(labelled.withColumn("size", step).join(spread.select("value"), "value", "left_semi"), "whole-open")
     smaller = labelled.filter(F.col("rest") >= _least_overlap(F.col("n"), F.col("n"), percent))
     smaller = smaller.withColumn("size", F.explode(F.array(F.col("size"), F.col("size") + 1)))
     possible = (F.struct("n_a", "node_a") < F.struct("n_b", "node_b")) & _like_sized(percent) & (F.least("rest_a", "rest_b") >= _least_overlap(F.col("n_a"), F.col("n_b"), percent))
-    pairs = _meet(smaller, labelled, ["value", "size"], ("node", "n", "rest", "label"), possible).join(stars, ["a", "b"], "left_anti")
+    pairs = _meet(smaller, labelled, ["value", "size"], ("node", "n", "rest", "label"), possible)
+    pairs = pairs.join(stars.union(more), ["a", "b"], "left_anti")
     further = scratch.keep(_verified(_estimated(pairs, classes, percent, k), whole, percent), "links")
     return labels if further.isEmpty() else connected_components(edges.union(further), scratch)
 
