@@ -49,9 +49,9 @@ def less_than_as_keys(code: Column) -> Column:
 
 
 def tool_call(answer: Column) -> tuple[Column, Column, Column]:
-    """(thought, name, arguments as JSON text) of an answer with a ``<tool_call>`` of JSON."""
+    """(thought, name, arguments as JSON text) of an answer with a ``<tool_call>`` of JSON; the thought is all from ``Action:`` to the call."""
     body = F.regexp_extract(answer, r"(?s)<tool_call>\s*(\{.*?\})\s*</tool_call>", 1)
-    thought = F.regexp_extract(answer, r"(?s)(?:Thought|Action):\s*(.*?)\s*(?:\n|<tool_call>|$)", 1)
+    thought = F.regexp_extract(answer, r"(?s)Action:\s*(.*?)\s*(?=<tool_call>)", 1)
     return thought, F.get_json_object(body, "$.name"), F.get_json_object(body, "$.arguments")
 
 

@@ -89,9 +89,16 @@ def diff_text_file(result, expected):
     return F.coalesce(T.line_ratio(result, expected), F.lit(0.0))
 
 
-@metric("compare_terminal_and_txt", "compare_answer", "compare_config")
+@metric("compare_answer", "compare_config")
 def same(result, expected):
-    return score(result == expected)
+    """Equal texts; rules name the expected one as ``expected``."""
+    return score(result == (expected["expected"] if isinstance(expected, Mapping) else expected))
+
+
+@metric()
+def compare_terminal_and_txt(text, output):
+    """Equal texts, none of them empty."""
+    return score((text == output) & (text != ""))
 
 
 @metric()
@@ -118,7 +125,7 @@ def all_items(page, rule):
 @metric("check_line_number")
 def check_line_number(text, rules):
     """Lines with a time of day, hh:mm:ss, are as many as expected."""
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"\b([01]\d|2[0-3]):[0-5]\d:[0-5]\d\b"))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"([01]\d|2[0-3]):[0-5]\d:([0-5]\d|60)"))
     return score(F.size(lines) == int(rules["expected"]))
 
 
@@ -177,23 +184,60 @@ def check_json_settings(text, rules):
     return score(R.subset(wanted, F.from_json(text, "map<string,string>")))
 
 
+FAILED = "__EVALUATION_FAILED__"
+
+
 @metric("check_direct_json_object")
-def check_direct_json_object(text, rules):
-    """The expected fields are equal, or with ``expect_in_result`` contained, in the JSON object."""
-    fields = F.from_json(text, "map<string,string>")
-    test = text.isNotNull() & ~text.contains("__EVALUATION_FAILED__")
-    for k, v in rules["expected"].items():
-        value = F.try_element_at(fields, F.lit(k))
-        if isinstance(v, list):
-            items = F.from_json(value, "array<string>")
-            order = F.array_sort if rules.get("ignore_list_order") else (lambda x: x)
-            hit = reduce(or_, [value.contains(str(x)) for x in v], F.lit(False)) if rules.get("expect_in_result") else order(items) == order(_array(list(map(str, v))))
+def check_direct_json_object(result, rules):
+    """The expected fields are equal in the JSON object, or with ``expect_in_result`` occur in it.
+
+    Single quotes of the result count as double ones. Fields are compared as JSON values;
+    an absent one equals null only. An option ``ignore_list_order`` among the expected
+    fields, or of the rules, compares sorted lists. An expected value that is the mark of
+    a failed evaluation scores 0.
+    """
+    body = T.stripped(F.replace(result, F.lit("'"), F.lit('"')))
+    expected = rules.get("expected", {})
+    if FAILED in [v for v in expected.values() if isinstance(v, str)]:
+        return F.lit(0.0)
+    inside, unordered = rules.get("expect_in_result", False), rules.get("ignore_list_order", expected.get("ignore_list_order", False))
+    test = F.try_parse_json(body).isNotNull()
+    for key, wanted in expected.items():
+        raw = _member(body, key)
+        if inside:  # one of several values, or a part of a text or a member of a list
+            items, text = F.from_json(raw, "array<string>"), F.when(~raw.startswith("["), F.get_json_object(body, f"$['{key}']"))
+            found = lambda x, alone: F.coalesce(F.array_contains(items, x), F.lit(False)) | F.coalesce(alone, F.lit(False))  # noqa: E731, B023
+            hits = [found(x, text == x) for x in wanted] if isinstance(wanted, list) else [found(str(wanted), text.contains(str(wanted)))]
+            test = test & reduce(or_, hits, F.lit(False))
+        elif unordered and isinstance(wanted, list):
+            own = F.array_sort(F.transform(F.from_json(raw, "array<string>"), T.stripped))
+            test = test & F.coalesce(own == F.array_sort(_array([x if isinstance(x, str) else _json(x) for x in wanted])), F.lit(False))
         else:
-            hit = value.contains(str(v)) if rules.get("expect_in_result") else value == str(v)
-        test = test & hit
+            test = test & _json_form(F.coalesce(raw, F.lit("null"))).eqNullSafe(_json_form(_column_json(wanted)))
     return score(test)
 
 
+def _json(value) -> str:
+    import json
+
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
+def _column_json(value) -> Column:
+    return F.to_json(F.to_variant_object(value)) if isinstance(value, Column) else F.lit(_json(value))
+
+
+def _json_form(text: Column) -> Column:
+    """JSON text in one spelling."""
+    return F.to_json(F.try_parse_json(text))
+
+
+def _member(body: Column, key: str) -> Column:
+    """The field of a JSON object, as JSON text; null if it is absent."""
+    fields = F.from_json(F.to_json(F.try_parse_json(body)), "map<string,variant>")
+    return F.to_json(F.try_element_at(fields, F.lit(key)))
+
+
 @metric("check_json_keybindings")
 def check_json_keybindings(text, rules):
     """The expected binding is one of the JSON array; a first comment line is passed over."""
@@ -242,8 +286,29 @@ def is_expected_tabs(urls, rule):
 
 
 @metric("is_expected_bookmarks")
-def is_expected_bookmarks(names, rule):
-    return score(F.array_sort(F.array_distinct(names)) == F.array_sort(F.array_distinct(_array(rule["names"]))))
+def is_expected_bookmarks(roots, rule):
+    """Names of folders or urls on the bookmark bar, or urls in its folder of liked authors, of the JSON text of bookmarks.
+
+    Of liked authors' urls each place of the rule may have several spellings, one of which counts.
+    """
+    item = "struct<name:string,type:string,url:string"
+    bar = F.from_json(F.get_json_object(roots, "$.bookmark_bar.children"), f"array<{item},children:array<{item}>>>>")
+    of = lambda items, kind, field: F.transform(F.filter(items, lambda x: x["type"] == kind), lambda x: x[field])
+    same = lambda a, b: F.array_sort(F.array_distinct(a)) == F.array_sort(F.array_distinct(_array(b)))
+    if rule["type"] == "bookmark_bar_folders_names":
+        return score(same(of(bar, "folder", "name"), rule["names"]))
+    if rule["type"] == "bookmark_bar_websites_urls":
+        return score(same(of(bar, "url", "url"), rule["urls"]))
+    if rule["type"] == "liked_authors_websites_urls":
+        folder = F.get(F.filter(bar, lambda x: (x["type"] == "folder") & (x["name"] == "Liked Authors")), F.lit(0))
+        urls = of(folder["children"], "url", "url")
+        choices = [[u] if isinstance(u, str) else list(u) for u in rule["urls"]]
+        each = [F.arrays_overlap(urls, _array(c)) for c in choices]
+        known = F.forall(urls, lambda u: F.array_contains(_array([u for c in choices for u in c]), u))
+        # One spelling of each place, and no two of one place.
+        lone = [F.size(F.array_intersect(urls, _array(c))) == 1 for c in choices]
+        return score(reduce(lambda a, b: a & b, [*each, *lone], known))
+    raise TypeError(f"no bookmarks of type {rule['type']}")
 
 
 @metric("is_cookie_deleted")
@@ -270,8 +335,9 @@ def check_enabled_experiments(experiments, rule):
 
 
 @metric("check_font_size")
-def check_font_size(size, rule):
-    value = size.try_cast("double")
+def check_font_size(sizes, rule):
+    """The default size of a struct of font sizes, or a single size."""
+    value = sizes["default_font_size"].cast("string").try_cast("double")
     return score((value > rule["min"]) & (value < rule["max"]) if rule["type"] == "range" else value == rule["value"])
 
 
@@ -309,10 +375,14 @@ def is_in_vm_clickboard(config, output):
 
 @metric("is_vlc_playing")
 def is_vlc_playing(xml, rule):
-    name = F.xpath_string(xml, F.lit("//information/category[@name='meta']/info[@name='filename']"))
-    url = F.xpath_string(xml, F.lit("//information/category[@name='meta']/info[@name='url']"))
-    wanted = rule.get("file_name") or rule["url"]
-    return score((F.xpath_string(xml, F.lit("/root/state")) == "playing") & (name.endswith(wanted) | url.contains(wanted)))
+    """The status says playing, and the first place that names the file, or the one of the url, fits."""
+    at = lambda name: F.nullif(F.xpath_string(xml, F.lit(f"/root/information/category[@name='meta']/info[@name='{name}']")), F.lit(""))
+    playing = F.xpath_string(xml, F.lit("/root/state")) == "playing"
+    if rule["type"] == "file_name":
+        return score(playing & F.coalesce(*map(at, ("filename", "title", "uri", "location", "name"))).endswith(rule["file_name"]))
+    if rule["type"] == "url":
+        return score(playing & F.coalesce(*map(at, ("url", "uri", "location", "title", "filename"))).contains(rule["url"]))
+    raise TypeError(f"no playing state of type {rule['type']}")
 
 
 @metric("is_vlc_fullscreen")
@@ -434,20 +504,28 @@ def compare_docx_lines(a, b):
 
 @metric("compare_docx_files")
 def compare_docx_files(a, b, ignore_blanks=True, ignore_case=False, ignore_order=False, content_only=False, fuzzy_match=False, delete_empty_lines=False):
-    """Paragraphs of two documents, as arrays, under the chosen normal forms."""
+    """Paragraphs of two documents, as arrays, under the chosen normal forms.
+
+    Order is dropped before case. Blanks are ignored over the joined text; else there must
+    be as many paragraphs, which are compared, or with ``fuzzy_match`` averaged, one by one.
+    """
+    low = F.lower if ignore_case else (lambda x: x)
+
     def form(x):
-        if delete_empty_lines:
-            x = F.filter(x, lambda p: T.stripped(p) != "")
-        if ignore_case:
-            x = F.transform(x, F.lower)
-        return F.array_sort(x) if ignore_order else x
+        x = F.array_sort(x) if ignore_order else x
+        return F.filter(x, lambda p: T.stripped(p) != "") if delete_empty_lines else x
 
     a, b = form(a), form(b)
-    if content_only or fuzzy_match:
-        return F.coalesce(T.indel_ratio(T.squeezed(F.array_join(a, " ")), T.squeezed(F.array_join(b, " "))), F.lit(0.0))
+    one = lambda x: low(T.squeezed(F.array_join(x, "\n")))
+    if content_only or (ignore_blanks and fuzzy_match):
+        return F.when(a.isNull() | b.isNull(), 0.0).otherwise(T.indel_ratio(one(a), one(b)))
     if ignore_blanks:
-        return score(T.squeezed(F.array_join(a, "\n")) == T.squeezed(F.array_join(b, "\n")))
-    return score(a == b)
+        return score(one(a) == one(b))
+    if fuzzy_match:
+        ratios = T.indel_ratios(F.transform(a, low), F.transform(b, low))
+        mean = F.when(F.size(a) == 0, 1.0).otherwise(F.aggregate(ratios, F.lit(0.0), lambda x, y: x + y) / F.size(a))
+        return F.coalesce(F.when(F.size(a) == F.size(b), mean), F.lit(0.0))
+    return score(F.transform(a, low) == F.transform(b, low))
 
 
 @metric("compare_init_lines")

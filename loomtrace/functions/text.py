@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
 
 def stripped(text: Column) -> Column:
@@ -49,6 +49,12 @@ def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
 
+@F.pandas_udf(ArrayType(DoubleType()))
+def indel_ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    """``indel`` of the items of two arrays in turn, as far as both go."""
+    return pd.Series([None if x is None or y is None else [indel(p or "", q or "") for p, q in zip(x, y)] for x, y in zip(a, b, strict=True)])
+
+
 @F.pandas_udf(DoubleType())
 def line_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The matching-blocks ratio of two texts over their lines."""
@@ -68,11 +74,12 @@ def fenced_code(answer: Column) -> Column:
 
 
 def json_of_answer(answer: Column) -> Column:
-    """The JSON object in an answer, as text: the whole of it, a fenced one, or the first with one level of nesting; else null."""
+    """The first JSON value of an answer, as text: the whole of it, else the first object that reads in a fence or in backticks, else in the text with one level of nesting; else null."""
     whole = stripped(answer)
-    is_object = lambda x: F.when(F.try_parse_json(x).isNotNull() & x.startswith("{"), x)
-    tries = [whole, *(stripped(F.regexp_extract(answer, p, 1)) for p in (r"(?s)```json\s*(\{.*?\})\s*```", r"(?s)```\w*\s*(\{.*?\})\s*```", r"(?s)(\{(?:[^{}]|\{[^{}]*\})*\})"))]
-    return F.coalesce(*map(is_object, tries))
+    reads = lambda x: F.try_parse_json(x).isNotNull()
+    first = lambda p: F.get(F.filter(F.transform(F.regexp_extract_all(answer, F.lit(p), F.lit(1)), stripped), reads), F.lit(0))
+    places = (r"(?is)```json\s*(\{.*?\})\s*```", r"(?s)```\s*(\{.*?\})\s*```", r"(?s)`(\{.*?\})`", r"(\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\})")
+    return F.coalesce(F.when(reads(whole), whole), *map(first, places))
 
 
 def sections(answer: Column) -> tuple[Column, Column]:

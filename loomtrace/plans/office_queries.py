@@ -55,8 +55,8 @@ def action_forms(spark, sf_dir):
 
 
 @query("q_smart_resize", """WITH s AS (SELECT event_id, (event_id % 1900 + 10)::DOUBLE AS h, (user_id * 37 % 2500 + 30)::DOUBLE AS w FROM events), r AS (SELECT *, round_even(h / 28, 0) * 28 AS h0, round_even(w / 28, 0) * 28 AS w0 FROM s)
-SELECT event_id, CASE WHEN h0 * w0 > 1003520 THEN floor(h / sqrt(h * w / 1003520) / 28) * 28 WHEN h0 * w0 < 3136 THEN ceil(h * sqrt(3136.0::DOUBLE / (h * w)) / 28) * 28 ELSE h0 END::BIGINT AS height,
-  CASE WHEN h0 * w0 > 1003520 THEN floor(w / sqrt(h * w / 1003520) / 28) * 28 WHEN h0 * w0 < 3136 THEN ceil(w * sqrt(3136.0::DOUBLE / (h * w)) / 28) * 28 ELSE w0 END::BIGINT AS width FROM r""")
+SELECT event_id, CASE WHEN least(h, w) < 2 OR greatest(h, w) / least(h, w) > 200 THEN NULL WHEN h0 * w0 > 1003520 THEN floor(h / sqrt(h * w / 1003520) / 28) * 28 WHEN h0 * w0 < 3136 THEN ceil(h * sqrt(3136.0::DOUBLE / (h * w)) / 28) * 28 ELSE h0 END::BIGINT AS height,
+  CASE WHEN least(h, w) < 2 OR greatest(h, w) / least(h, w) > 200 THEN NULL WHEN h0 * w0 > 1003520 THEN floor(w / sqrt(h * w / 1003520) / 28) * 28 WHEN h0 * w0 < 3136 THEN ceil(w * sqrt(3136.0::DOUBLE / (h * w)) / 28) * 28 ELSE w0 END::BIGINT AS width FROM r""")
 def smart_resize(spark, sf_dir):
     size = G.resized(F.col("event_id") % 1900 + 10, F.col("user_id") * 37 % 2500 + 30)
     return table(spark, sf_dir, "events").select("event_id", size["height"].alias("height"), size["width"].alias("width"))

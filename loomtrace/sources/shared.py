@@ -8,7 +8,10 @@ from pyspark.sql import SparkSession
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Sets a checkpoint folder where neither ``spark.checkpoint.dir`` nor the session has one, as in tests."""
+    """Sets the folder of ``spark.checkpoint.dir`` where the session has none; a temporary one on one machine only, as in tests."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomtrace-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loomtrace-"))

@@ -119,3 +119,47 @@ def test_pictures():
     cost, steps = images.warped_distance(np.eye(4), np.eye(4)[[0, 0, 1, 2, 3]])
     assert cost == pytest.approx(0) and steps == 5
     assert images.colour_distance(np.zeros((1, 3)), (255, 255, 255)) == pytest.approx(1)
+
+
+def test_answers_and_calls_take_the_first_that_reads(spark):
+    assert value(spark, text.json_of_answer(F.lit('{bad} then {"a": 1}'))) == '{"a": 1}'
+    assert value(spark, text.json_of_answer(F.lit('```json\n{bad}\n``` ```json\n{"b": 2}\n``` {"a": 1}'))) == '{"b": 2}'
+    assert value(spark, text.json_of_answer(F.lit(' [1, {"a": 2}] '))) == '[1, {"a": 2}]'
+    from loomtrace.functions.actions import tool_call
+
+    thought, name, arguments = tool_call(F.lit('Thought: no\nAction: first\nsecond line\n<tool_call>\n{"name": "go", "arguments": {"x": 1}}\n</tool_call>'))
+    assert [value(spark, c) for c in (thought, name, arguments)] == ["first\nsecond line", "go", '{"x":1}']
+
+
+def test_metrics_that_differed(spark):
+    from loomtrace.functions import landed
+    from loomtrace.functions.metrics import METRICS as M
+
+    one = lambda name, got, *rest, **options: value(spark, M[name](F.lit(got) if isinstance(got, str) or got is None else got, *rest, **options))
+    direct = lambda got, expected, **more: one("check_direct_json_object", got, {"expected": expected, **more})
+    assert direct("{'a': true, 'b': [1, 'x'], 'c': 'y'}", {"a": True, "b": [1, "x"], "c": "y"}) == 1
+    assert direct('{"a": "true"}', {"a": True}) == 0 and direct('{"a": 1}', {"a": 1, "z": None}) == 1 and direct("not", {}) == 0
+    assert direct('{"a": "__EVALUATION_FAILED__"}', {"a": "__EVALUATION_FAILED__"}) == 0 and direct('{"a": "__EVALUATION_FAILED__"}', {"b": None}) == 1
+    assert direct('{"a": ["q", "p"]}', {"a": ["p", "q"], "ignore_list_order": True}) == 0  # the option is a field like the others
+    assert direct('{"a": ["q", "p"], "ignore_list_order": [true]}', {"a": ["p", "q"]}) == 0
+    assert direct('{"a": ["q", "p"], "b": "some text"}', {"a": ["z", "p"], "b": "me te"}, expect_in_result=True) == 1
+    assert direct('{"a": ["q"], "b": "some text"}', {"a": ["z", "p"], "b": "me te"}, expect_in_result=True) == 0
+    assert direct(None, {"a": 1}) == 0
+    assert one("check_line_number", "x12:30:60y\nno\n23:59:59", {"expected": 2}) == 1
+    assert one("compare_terminal_and_txt", "", F.lit("")) == 0 and one("compare_terminal_and_txt", "a", F.lit("a")) == 1
+    assert value(spark, M["check_font_size"](landed.font_sizes(F.lit('{"webkit": {"webprefs": {"default_font_size": 20}}}')), {"type": "value", "value": 20})) == 1
+    bar = '{"bookmark_bar": {"children": [{"type": "folder", "name": "Liked Authors", "children": [{"type": "url", "name": "a", "url": "u1"}, {"type": "url", "name": "b", "url": "v2"}]}, {"type": "url", "name": "c", "url": "w"}]}}'
+    for rule, wanted in (
+        ({"type": "bookmark_bar_folders_names", "names": ["Liked Authors"]}, 1), ({"type": "bookmark_bar_websites_urls", "urls": ["w"]}, 1), ({"type": "bookmark_bar_websites_urls", "urls": ["x"]}, 0),
+        ({"type": "liked_authors_websites_urls", "urls": ["u1", ["v1", "v2"]]}, 1), ({"type": "liked_authors_websites_urls", "urls": ["u1", ["v1"]]}, 0), ({"type": "liked_authors_websites_urls", "urls": ["u1"]}, 0),
+    ):
+        assert one("is_expected_bookmarks", bar, rule) == wanted, rule
+    status = "<root><state>playing</state><information><category name='meta'><info name='{}'>/films/a.mp4</info></category></information></root>"
+    for place in ("filename", "title", "uri", "location", "name"):
+        assert one("is_vlc_playing", status.format(place), {"type": "file_name", "file_name": "a.mp4"}) == 1
+    assert one("is_vlc_playing", status.format("location"), {"type": "url", "url": "films"}) == 1 and one("is_vlc_playing", status.format("other"), {"type": "file_name", "file_name": "a.mp4"}) == 0
+    paragraphs = lambda *x: F.array(*map(F.lit, x))
+    docs = lambda a, b, **o: value(spark, M["compare_docx_files"](paragraphs(*a), paragraphs(*b), **o))
+    assert docs(("ab", "cd"), ("ab", "cx"), ignore_blanks=False, fuzzy_match=True) == 0.75
+    assert docs(("ab", "cd"), ("ab",), ignore_blanks=False, fuzzy_match=True) == 0
+    assert docs(("b", "A"), ("a", "B"), ignore_order=True, ignore_case=True) == 0 and docs(("b", "a"), ("A", "B"), ignore_order=True, ignore_case=True) == 1
