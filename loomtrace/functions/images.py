@@ -41,15 +41,20 @@ def structural_similarity(a: np.ndarray, b: np.ndarray, window: int = 7) -> floa
     """Mean structural similarity of two grey pictures of one size, over square windows; 0 if sizes differ or are too small."""
     if a.shape != b.shape or min(a.shape) < window:
         return 0.0
-    from numpy.lib.stride_tricks import sliding_window_view as views
-
-    x, y = (views(p.astype(float), (window, window)).reshape(-1, window * window) for p in (a, b))
     n = window * window
-    mx, my = x.mean(axis=1), y.mean(axis=1)
-    vx, vy = x.var(axis=1, ddof=1), y.var(axis=1, ddof=1)
-    cov = ((x - mx[:, None]) * (y - my[:, None])).sum(axis=1) / (n - 1)
+
+    def total(p: np.ndarray) -> np.ndarray:
+        """The sums of all windows, from sums of the rectangles that begin at the corner."""
+        sums = np.zeros((p.shape[0] + 1, p.shape[1] + 1))
+        sums[1:, 1:] = p.cumsum(axis=0).cumsum(axis=1)
+        return sums[window:, window:] - sums[:-window, window:] - sums[window:, :-window] + sums[:-window, :-window]
+
+    x, y = a.astype(float), b.astype(float)
+    mx, my = total(x) / n, total(y) / n
+    spread = lambda p, q, mp, mq: (total(p * q) - n * mp * mq) / (n - 1)
     c1, c2 = (0.01 * 255) ** 2, (0.03 * 255) ** 2
-    return float((((2 * mx * my + c1) * (2 * cov + c2)) / ((mx**2 + my**2 + c1) * (vx + vy + c2))).mean())
+    top = (2 * mx * my + c1) * (2 * spread(x, y, mx, my) + c2)
+    return float((top / ((mx**2 + my**2 + c1) * (spread(x, x, mx, mx) + spread(y, y, my, my) + c2))).mean())
 
 
 def perceptual_hash(gray: np.ndarray) -> int:

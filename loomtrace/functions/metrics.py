@@ -9,6 +9,7 @@ from ``operators.compare``; the ones here need only one row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -73,9 +74,11 @@ def is_in_list(result, rules):
 def literal_match(result, expected, type="str", ignore_case=False):  # noqa: A002  (the language's option)
     low = F.lower if ignore_case else (lambda x: x)
     if type == "str":
-        return score(low(result.cast("string")) == low(F.lit(str(expected))))
-    if type == "list":
-        return score(F.transform(result, lambda x: low(x.cast("string"))) == F.transform(_as_array(list(map(str, expected))), low))
+        return score(low(result.cast("string")) == low(expected if isinstance(expected, Column) else F.lit(str(expected))))
+    if type == "list":  # landed lists are JSON text
+        wanted = F.from_json(expected, "array<string>") if isinstance(expected, Column) else _array(list(map(str, expected)))
+        own = F.from_json(result, "array<string>") if isinstance(expected, Column) else F.transform(result, lambda x: x.cast("string"))
+        return score(F.transform(own, low) == F.transform(wanted, low))
     raise ValueError(f"no literal of type {type}")
 
 
@@ -194,9 +197,13 @@ def check_direct_json_object(result, rules):
     Single quotes of the result count as double ones. Fields are compared as JSON values;
     an absent one equals null only. An option ``ignore_list_order`` among the expected
     fields, or of the rules, compares sorted lists. An expected value that is the mark of
-    a failed evaluation scores 0.
+    a failed evaluation scores 0. Landed rules, a Column, are JSON text.
     """
     body = T.stripped(F.replace(result, F.lit("'"), F.lit('"')))
+    if isinstance(rules, Column):
+        expected, fields = (F.from_json(x, "map<string,string>") for x in (F.get_json_object(rules, "$.expected"), body))
+        hit = F.forall(F.map_entries(expected), lambda e: (e["value"] != FAILED) & F.try_element_at(fields, e["key"]).eqNullSafe(e["value"]))
+        return score(F.try_parse_json(body).isNotNull() & hit)
     expected = rules.get("expected", {})
     if FAILED in [v for v in expected.values() if isinstance(v, str)]:
         return F.lit(0.0)
@@ -207,7 +214,8 @@ def check_direct_json_object(result, rules):
         if inside:  # one of several values, or a part of a text or a member of a list
             items, text = F.from_json(raw, "array<string>"), F.when(~raw.startswith("["), F.get_json_object(body, f"$['{key}']"))
             found = lambda x, alone: F.coalesce(F.array_contains(items, x), F.lit(False)) | F.coalesce(alone, F.lit(False))  # noqa: E731, B023
-            hits = [found(x, text == x) for x in wanted] if isinstance(wanted, list) else [found(str(wanted), text.contains(str(wanted)))]
+            one = wanted if isinstance(wanted, Column) else str(wanted)
+            hits = [found(x, text == x) for x in wanted] if isinstance(wanted, list) else [found(one, text.contains(one))]
             test = test & reduce(or_, hits, F.lit(False))
         elif unordered and isinstance(wanted, list):
             own = F.array_sort(F.transform(F.from_json(raw, "array<string>"), T.stripped))
@@ -224,7 +232,12 @@ def _json(value) -> str:
 
 
 def _column_json(value) -> Column:
-    return F.to_json(F.to_variant_object(value)) if isinstance(value, Column) else F.lit(_json(value))
+    """The JSON text of a plain value, of a Column of text or of a list with such Columns."""
+    if isinstance(value, Column):
+        return F.regexp_replace(F.to_json(F.array(value)), r"^\[|\]$", "")
+    if isinstance(value, list) and any(isinstance(x, Column) for x in value):
+        return F.to_json(F.array(*[x if isinstance(x, Column) else F.lit(x) for x in value]))
+    return F.lit(_json(value))
 
 
 def _json_form(text: Column) -> Column:
@@ -457,16 +470,35 @@ def registry_value(xml, rules):
     return score(F.xpath_string(xml, F.lit(rules["xpath"])) == str(rules["expected"]))
 
 
+def css_path(selector: str) -> str:
+    """A selector of tags, attributes with values, descendants and children as an XPath."""
+    steps, path = re.findall(r"(>?)\s*((?:[\w*|-]+)?(?:\[[^\]]*\])*)\s*", selector.strip()), ""
+    for direct, step in steps:
+        if not step:
+            continue
+        tag = re.match(r"[\w*|-]*", step)[0].rsplit("|", 1)[-1]
+        tests = "".join(f"[@*[name()='{name.replace('|', ':')}']='{value}']" if value else f"[@*[name()='{name.replace('|', ':')}']]" for name, value in re.findall(r"""\[\s*([\w|-]+)\s*(?:=\s*["']?([^"'\]]*)["']?)?\s*\]""", step))
+        path += ("/" if direct else "//") + (tag if tag not in ("", "*") else "*") + tests
+    return path
+
+
 @metric("check_accessibility_tree")
 def check_accessibility_tree(xml, rules):
-    """The product over rules of the best text score among the elements that a path selects."""
+    """The product over rules of the best text score among the elements that an XPath, or one of several selectors, gives.
+
+    A text counts as equal, or with ``exact`` off by its likeness. Without an element the score is 0.
+    """
     value = F.lit(1.0)
     for r in rules:
-        texts = F.xpath(xml, F.lit(r["xpath"] + "/text()"))
+        paths = [re.sub(r"@(\w+):([\w-]+)", r"@*[name()='\1:\2']", r["xpath"])] if "xpath" in r else [css_path(s) for s in r["selectors"]]
         if "text" in r:
-            hit = F.coalesce(F.array_contains(texts, r["text"]).cast("double"), F.lit(0.0))
+            texts = F.concat(*[F.xpath(xml, F.lit(p + "/text()")) for p in paths])
+            if r.get("exact", True):
+                hit = F.coalesce(F.array_contains(texts, r["text"]).cast("double"), F.lit(0.0))
+            else:
+                hit = F.coalesce(F.array_max(T.indel_ratios(texts, F.transform(texts, lambda _: F.lit(r["text"])))), F.lit(0.0))  # noqa: B023
         else:
-            hit = F.xpath_boolean(xml, F.lit(r["xpath"])).cast("double")
+            hit = reduce(or_, [F.xpath_boolean(xml, F.lit(p)) for p in paths]).cast("double")
         value = value * hit
     return F.coalesce(value, F.lit(0.0))
 

@@ -2,7 +2,9 @@
 
 An expression composes named functions with ``and``, ``or``, ``not``, comparison and
 arithmetic. It is parsed, never executed: each name is looked up in a table of
-functions that build Columns, and anything else is refused.
+functions that build Columns, and anything else is refused. A getter of the language
+takes ``env`` first: the landed state of an attempt (``plans.getters``). Metrics over
+files take their bytes, the others get a file's text.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import ast
 import operator
 from collections.abc import Callable, Mapping
+from types import MappingProxyType
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from loomtrace.functions.rules import truthy_and, truthy_or
+from loomtrace.plans.getters import GETTERS, Landed, LandedFile
 
 #: The marker of tasks that cannot be done: they succeed if the last action gives up.
 INFEASIBLE = "infeasible"
@@ -29,30 +33,60 @@ class ExpressionError(ValueError):
     """The text is not an expression of the language."""
 
 
-def compile_expression(text: str, functions: Mapping[str, Callable[..., object]]) -> Column:
-    """The Column that an expression stands for; a null result scores 0."""
+def compile_expression(text: str, functions: Mapping[str, Callable[..., object]], env: Landed | None = None) -> Column:
+    """The Column that an expression stands for; a null result scores 0. ``env`` is the landed state that getters read."""
     try:
         body = ast.parse(text.strip(), mode="eval").body
     except SyntaxError as error:
         raise ExpressionError(f"not an expression: {text}") from error
-    value = _build(body, functions)
+    value = _build(body, {**GETTERS, **functions} if env is not None else functions, {"env": env} if env is not None else {})
     return F.coalesce(_column(value).cast("double"), F.lit(0.0))
 
 
-def score_expression(text: str, functions: Mapping[str, Callable[..., object]], last_action: Column) -> Column:
+def score_expression(text: str, functions: Mapping[str, Callable[..., object]], last_action: Column, env: Landed | None = None) -> Column:
     """The score of a task: an expression that names infeasibility asks for the last action ``FAIL``, any other loses by it."""
     failed = F.coalesce(last_action == "FAIL", F.lit(False))
     if INFEASIBLE in text:
         return failed.cast("double")
-    return F.when(failed, 0.0).otherwise(compile_expression(text, functions))
+    return F.when(failed, 0.0).otherwise(compile_expression(text, functions, env))
+
+
+def score_attempts(attempts: DataFrame, evaluators: Mapping[str, str], functions: Mapping[str, Callable[..., object]], env: Landed | None = None) -> DataFrame:
+    """(attempt, task, score, error) of attempts (attempt, task, last_action, texts, files) of tasks whose evaluators are given.
+
+    Tasks with the same text share one branch of the plan, which reads the rows of its
+    tasks only (a partition each where attempts are laid out by task). A text that is no
+    expression of the language scores 0 and says why; attempts of unknown tasks too.
+    """
+    env = env or Landed()
+    tasks: dict[str, list[str]] = {}
+    for task, text in evaluators.items():
+        tasks.setdefault(text, []).append(task)
+    columns = lambda score, error: [F.col("attempt"), F.col("task"), score.alias("score"), F.lit(error).cast("string").alias("error")]
+    known = F.coalesce(F.col("task").isin(list(evaluators)), F.lit(False))
+    scored = attempts.filter(~known).select(*columns(F.lit(0.0), "no such task"))
+    for text, names in sorted(tasks.items()):
+        try:
+            score, error = score_expression(text, functions, F.col("last_action"), env), None
+        except ExpressionError as reason:
+            score, error = F.lit(0.0), str(reason)
+        scored = scored.union(attempts.filter(F.col("task").isin(names)).select(*columns(score, error)))
+    return scored
 
 
 def _column(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def _build(node: ast.AST, functions: Mapping[str, Callable[..., object]]):
-    again = lambda n: _build(n, functions)
+def _argument(function: Callable[..., object], value):
+    """A landed file as what the function takes of it."""
+    if not isinstance(value, LandedFile) or getattr(function, "takes_files", False):
+        return value
+    return value.text
+
+
+def _build(node: ast.AST, functions: Mapping[str, Callable[..., object]], scope: Mapping[str, object] = MappingProxyType({})):
+    again = lambda n: _build(n, functions, scope)
     number = lambda n: _column(again(n)).cast("double")
     if isinstance(node, ast.Constant):
         return node.value
@@ -77,7 +111,14 @@ def _build(node: ast.AST, functions: Mapping[str, Callable[..., object]]):
     if isinstance(node, ast.Call) and isinstance(node.func, ast.Name):
         if node.func.id not in functions:
             raise ExpressionError(f"no such function: {node.func.id}")
-        return functions[node.func.id](*map(again, node.args), **{k.arg: again(k.value) for k in node.keywords})
+        function = functions[node.func.id]
+        take = lambda n: _argument(function, again(n))
+        try:
+            return function(*map(take, node.args), **{k.arg: take(k.value) for k in node.keywords})
+        except (TypeError, KeyError, ValueError, AttributeError) as error:  # wrong arguments
+            raise ExpressionError(f"{node.func.id}: {error}") from error
+    if isinstance(node, ast.Name) and node.id in scope:
+        return scope[node.id]
     raise ExpressionError(f"not allowed: {ast.dump(node)[:80]}")
 
 
