@@ -15,6 +15,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomtrace.llm.scratch import Scratch
+
 # Notices of public licences, as their licensors word them.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -66,18 +68,19 @@ def _templates(spark: SparkSession, templates: Iterable[tuple[str, str]], thresh
 
 
 def _window_templates(spark: SparkSession, templates: Iterable[tuple[str, str]], threshold: float) -> DataFrame:
-    """(template, licence, pattern, needed, most, anchors): what a window has to share, its greatest size, and bigrams of which it has one.
+    """(template, licence, pattern, needed, most, anchors, words): what a window has to share, its greatest size, and bigrams of which it has one.
 
     A window shares ``needed`` = ceil(a * t / (2 - t)) of a bigrams at least, so it has
     one of any a - needed + 1 of them; those with the longest words are the rarest.
+    ``words`` has the longer word of each anchor, which a text with a window holds.
     """
     rows = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(templates)], "template int, licence string, body string")
     rows = rows.withColumn("words", normalised_words(F.col("body"))).withColumn("pattern", bigrams(F.col("words"))).filter(F.size("words") > 1)
     a = F.size("pattern")
-    pairs = F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda x, y: F.struct((-F.length(x) - F.length(y)).alias("rank"), F.xxhash64(x, y).alias("gram")))
+    pairs = F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda x, y: F.struct((-F.length(x) - F.length(y)).alias("rank"), F.xxhash64(x, y).alias("gram"), F.when(F.length(x) < F.length(y), y).otherwise(x).alias("word")))
     rows = rows.withColumn("needed", F.ceil(a * (threshold / (2 - threshold)) - 1e-9).cast("int")).withColumn("most", F.floor(a * ((2 - threshold) / threshold) + 1e-9).cast("int"))
-    ranked = F.transform(F.array_sort(F.array_distinct(pairs)), lambda x: x["gram"])
-    return rows.select("template", "licence", "pattern", "needed", "most", F.slice(ranked, F.lit(1), a - F.col("needed") + 1).alias("anchors"))
+    chosen = F.slice(F.array_sort(F.array_distinct(pairs)), F.lit(1), a - F.col("needed") + 1)
+    return rows.select("template", "licence", "pattern", "needed", "most", F.transform(chosen, lambda x: x["gram"]).alias("anchors"), F.transform(chosen, lambda x: x["word"]).alias("words"))
 
 
 def _windows(rows: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
@@ -90,7 +93,11 @@ def _windows(rows: DataFrame, templates: list[tuple[str, str]], threshold: float
     spark = rows.sparkSession
     listed = _window_templates(spark, templates, threshold)  # of a fixed size: a row a template
     anchors = listed.select(F.flatten(F.collect_list("anchors")).alias("any_anchor"))
-    texts = rows.select("doc_id", "text", F.xxhash64("text").alias("key")).withColumn("words", normalised_words(F.col("text")))
+    # Only texts with an anchor's word are paired to bigrams.
+    held = [r.word for r in listed.select(F.explode("words").alias("word")).distinct().orderBy("word").collect()]
+    listed = listed.drop("words")
+    has_word = F.arrays_overlap(normalised_words(F.col("text")), F.array(*map(F.lit, held)).cast("array<string>"))
+    texts = rows.filter(has_word).select("doc_id", "text", F.xxhash64("text").alias("key")).withColumn("words", normalised_words(F.col("text")))
     pairs = F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda x, y: F.xxhash64(x, y))
     texts = texts.filter(F.size("words") > 1).withColumn("g", pairs).drop("words")
     texts = texts.crossJoin(F.broadcast(anchors)).filter(F.arrays_overlap("g", "any_anchor")).drop("any_anchor")
@@ -166,6 +173,7 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, thre
     grouped = pairs.groupBy("doc_id", "part", "number", "grams").agg(best, F.collect_set("key").alias("keys"))
     columns = ["doc_id", "part", "number", "licence", "template", "dice"]
     grouped = grouped.select("doc_id", "part", "number", "best.licence", (-F.col("best.last")).alias("template"), "best.dice", "keys")
+    grouped = Scratch(spark, "licenses").keep(grouped, "parts")  # the windows' join reads it too
 
     windows = _windows(rows, templates, threshold).withColumn("paragraphs", paragraphs).withColumn("lines", lines)
     ranges = F.concat(_ranges(F.array("text"), "text"), _ranges(F.col("paragraphs"), "paragraph"), _ranges(F.col("lines"), "line"))
