@@ -1,18 +1,34 @@
 """Near-duplicate tasks by the cosine of their embeddings.
 
-Comparison stays within a domain. ``greedy`` takes rows in order and rejects a row
-that is near a row accepted before; only rows that are near some earlier row at all
-can depend on another, so those are settled in rounds of joins and every other row
-is accepted at once.
+Comparison stays within a domain. Stored vectors lie in cells around pivots, and a row
+meets only the cells that the triangle inequality of angles cannot rule out, so no near
+pair is lost. Cells and the rows that meet them are cut into blocks of bounded size,
+each pair of which is one matrix product; a domain with a third of all rows is many
+such tasks. With clustered vectors and a high threshold few cells are met; in the worst
+case the work is that of all blocks, with nothing but near pairs coming out.
+
+``greedy`` takes rows in order and rejects a row that is near a row accepted before;
+only rows that are near some earlier row at all can depend on another, so those are
+settled in rounds of joins and every other row is accepted at once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtrace.sources.shared import ensure_checkpoints
 
+#: Rows of a block, and pivots of all domains together at most: they go to every worker.
+BLOCK, PIVOTS = 2_000, 4_096
+#: Slack of angles for rounding, in radians.
+_SLACK = 1e-6
+
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two arrays up to the shorter one's length; 0 if a norm is 0."""
@@ -22,27 +38,126 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when((norm(a) == 0) | (norm(b) == 0), 0.0).otherwise(dot(a, b) / (norm(a) * norm(b)))
 
 
-def unit(a: Column) -> Column:
-    """The array as doubles of length 1; zeros stay zeros."""
-    norm = F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
-    return F.transform(a, lambda v: F.when(norm > 0, v.cast("double") / norm).otherwise(0.0))
+def _units(values: pd.Series) -> np.ndarray:
+    """Rows of length 1; those of another size than the first are cut or filled with zeros, zeros stay zeros."""
+    width = max((len(v) for v in values), default=0)
+    if all(len(v) == width for v in values):
+        out = np.array(values.tolist(), float).reshape(len(values), width)
+    else:
+        out = np.zeros((len(values), width))
+        for row, v in zip(out, values, strict=True):
+            row[: len(v)] = v
+    norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of all rows, over as many places as both have."""
+    n = min(a.shape[1], b.shape[1])
+    return a[:, :n] @ b[:, :n].T
+
+
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(_product(a, b), -1, 1))
+
+
+def _named(domain: str, n: int) -> pd.Series:
+    """A column of one text, as objects: those turn into one Arrow array, of no rows too."""
+    return pd.Series([domain] * n, dtype=object)
+
+
+def _packed(units: np.ndarray) -> list[bytes]:
+    return [row.tobytes() for row in units]
+
+
+def _unpacked(values: pd.Series) -> np.ndarray:
+    rows = [np.frombuffer(v) for v in values]
+    width = max((len(r) for r in rows), default=0)
+    out = np.zeros((len(rows), width))
+    for row, r in zip(out, rows, strict=True):
+        row[: len(r)] = r
+    return out
 
 
-def _dot(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+def _pivots(store: DataFrame) -> dict[str, np.ndarray]:
+    """Unit vectors of each domain, about one for BLOCK rows and PIVOTS in all at most: the first by a hash of the id."""
+    sizes = store.groupBy("domain").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n"), F.count("*")).first()
+    each = max(BLOCK, -(-(total[0] or 0) // PIVOTS))
+    known = sizes.orderBy(F.desc("n"), "domain").limit(PIVOTS)
+    wanted = known.select("domain", F.greatest(F.lit(1), F.floor(F.col("n") / each)).cast("int").alias("wanted"))
+    # The least hashes among those that are low enough to hold them all but for a chance of none.
+    low = F.xxhash64(F.col("id").cast("string"), F.lit(1)).bitwiseAND(F.lit((1 << 62) - 1)) / F.lit(float(1 << 62))
+    share = F.least(F.lit(1.0), F.lit(4.0) / each + F.lit(40.0) / F.col("n"))
+    drawn = store.join(F.broadcast(known.join(wanted, "domain")), "domain").withColumn("low", low).filter(F.col("low") <= share)
+    listed = drawn.groupBy("domain", "wanted").agg(F.sort_array(F.collect_list(F.struct("low", "embedding"))).alias("rows"))
+    rows = listed.select("domain", F.slice("rows", F.lit(1), F.col("wanted")).alias("rows")).limit(PIVOTS).collect()
+    return {r.domain: _units(pd.Series([x.embedding for x in r.rows])) for r in rows}
 
 
 def near_pairs(rows: DataFrame, store: DataFrame, threshold: float, earlier: bool = False) -> DataFrame:
     """(id, other, domain, similarity) of rows and stored rows of a domain with a cosine of ``threshold`` or more.
 
     ``rows`` and ``store`` have id, domain and embedding. With ``earlier`` a row meets
-    stored rows of lower id only. Vectors are scaled once, before the join.
+    stored rows of lower id only. A vector of zeros is near nothing above 0, a null vector
+    or domain is near nothing. All near pairs are found.
     """
-    left = rows.select("id", "domain", unit(F.col("embedding")).alias("u"))
-    right = store.select(F.col("id").alias("other"), F.col("domain").alias("other_domain"), unit(F.col("embedding")).alias("v"))
-    same = (F.col("domain") == F.col("other_domain")) & ((F.col("other") < F.col("id")) if earlier else F.lit(True))
-    pairs = left.join(right, same).withColumn("similarity", _dot("u", "v"))
-    return pairs.filter(F.col("similarity") >= threshold).select("id", "other", "domain", "similarity")
+    kind = rows.schema["domain"].dataType
+    store, rows = (f.filter("domain is not null and embedding is not null").select("id", F.col("domain").cast("string").alias("domain"), "embedding") for f in (store, rows))
+    pivots, reach = _pivots(store), float(np.arccos(np.clip(threshold, -1, 1))) + _SLACK
+    nowhere = np.zeros((1, 1))
+    key = store.schema["id"].dataType.simpleString()
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Stored rows with the nearest pivot's number and the angle to it."""
+        for batch in batches:
+            for domain, part in batch.groupby("domain"):
+                units = _units(part.embedding)
+                angles = _angles(units, pivots.get(domain, nowhere))
+                cell = angles.argmin(axis=1)
+                yield pd.DataFrame({"other": part.id.to_numpy(), "domain": _named(domain, len(part)), "v": _packed(units), "cell": cell, "angle": angles[np.arange(len(part)), cell]})
+
+    placed = store.mapInPandas(place, f"other {key}, domain string, v binary, cell int, angle double")
+    # What is known of cells: PIVOTS rows at most.
+    cells = placed.groupBy("domain", "cell").agg(F.max("angle").alias("radius"), F.count("*").alias("n"))
+    known = {(r.domain, r.cell): (r.radius, -(-r.n // BLOCK)) for r in cells.collect()}
+    radii = {d: np.array([known.get((d, k), (-np.inf, 0))[0] for k in range(len(p))]) for d, p in pivots.items()}
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows once for each cell that may hold a near one."""
+        for batch in batches:
+            for domain, part in batch.groupby("domain"):
+                if domain not in pivots:
+                    continue
+                units = _units(part.embedding)
+                at, cell = np.nonzero(_angles(units, pivots[domain]) <= radii[domain] + reach)
+                packed = _packed(units)
+                yield pd.DataFrame({"id": part.id.to_numpy()[at], "domain": _named(domain, len(at)), "u": [packed[i] for i in at], "cell": cell.astype(np.int32)})
+
+    met = rows.mapInPandas(meet, f"id {key}, domain string, u binary, cell int")
+    parts = rows.sparkSession.createDataFrame([(d, c, n) for (d, c), (_, n) in known.items()], "domain string, cell int, parts int")
+    block = lambda name: F.pmod(F.xxhash64(name), F.col("parts"))
+    placed = placed.join(F.broadcast(parts), ["domain", "cell"]).withColumn("block", block("other"))
+    # The rows that meet a block are cut too, by as many parts as all rows of the domain would need.
+    asked = rows.groupBy("domain").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("pieces"))
+    placed = placed.join(asked, "domain").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    met = met.join(F.broadcast(parts), ["domain", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    met = met.join(asked, "domain").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")))
+    on = ["domain", "cell", "block", "piece"]
+    placed, met = (frame.select(*[F.col(c).alias(c) for c in (*on, *own)]) for frame, own in ((placed, ("other", "v")), (met, ("id", "u"))))
+
+    def multiply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"id": [], "other": [], "domain": _named("", 0), "similarity": []})
+        cosines = _product(_unpacked(left.u), _unpacked(right.v))
+        near = cosines >= threshold
+        if earlier:
+            near &= left.id.to_numpy()[:, None] > right.other.to_numpy()[None, :]
+        i, j = np.nonzero(near)
+        return pd.DataFrame({"id": left.id.to_numpy()[i], "other": right.other.to_numpy()[j], "domain": _named(left.domain.iloc[0], len(i)), "similarity": cosines[i, j]})
+
+    found = met.groupBy(*on).cogroup(placed.groupBy(*on)).applyInPandas(multiply, f"id {key}, other {key}, domain string, similarity double")
+    return found.select("id", "other", F.col("domain").cast(kind).alias("domain"), "similarity")
 
 
 def nearest(rows: DataFrame, store: DataFrame, threshold: float, earlier: bool = False) -> DataFrame:
@@ -63,18 +178,20 @@ def greedy(rows: DataFrame, threshold: float) -> DataFrame:
     many as the longest chain of near rows, not as many as there are rows.
     """
     ensure_checkpoints(rows.sparkSession)
-    pairs = near_pairs(rows, rows, threshold, earlier=True).select("id", "other").persist()
-    free = rows.select("id", "domain").join(pairs.select("id").distinct(), "id", "left_anti")
-    settled = free.select("id", F.lit(True).alias("accepted"), F.lit(None).cast("long").alias("match"))
-    left = pairs
+    pairs = near_pairs(rows, rows, threshold, earlier=True).select("id", "other").checkpoint()
+    free = rows.select("id").join(pairs.select("id").distinct(), "id", "left_anti")
+    new = free.select("id", F.lit(True).alias("accepted"), F.lit(None).cast("long").alias("match"))
+    settled, left = [new], pairs.withColumn("accepted", F.lit(None).cast("boolean"))
     while not left.isEmpty():
-        known = settled.select(F.col("id").alias("other"), "accepted")
-        state = left.join(known, "other", "left").groupBy("id").agg(
+        # Only what the last round settled is new to the open rows.
+        known = new.select(F.col("id").alias("other"), F.col("accepted").alias("now"))
+        left = left.join(known, "other", "left").select("id", "other", F.coalesce("accepted", "now").alias("accepted")).checkpoint()
+        state = left.groupBy("id").agg(
             F.min(F.when(F.col("accepted"), F.col("other"))).alias("match"), F.count_if(F.col("accepted").isNull()).alias("open"),
             F.min(F.when(F.col("accepted").isNull(), F.col("other"))).alias("first_open"),
         )
         done = state.filter((F.col("open") == 0) | (F.col("match").isNotNull() & (F.col("match") < F.col("first_open"))))
-        settled = settled.union(done.select("id", F.col("match").isNull().alias("accepted"), "match")).checkpoint()
-        left = left.join(settled.select("id"), "id", "left_anti").checkpoint()
-    pairs.unpersist()
-    return rows.select("id", "domain").join(settled, "id")
+        new = done.select("id", F.col("match").isNull().alias("accepted"), "match").checkpoint()
+        settled.append(new)
+        left = left.join(new.select("id"), "id", "left_anti")
+    return rows.select("id", "domain").join(reduce(DataFrame.union, settled), "id")

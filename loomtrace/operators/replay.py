@@ -7,6 +7,8 @@ are never seen. All functions take and give DataFrames and are lazy.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,22 +37,39 @@ def completed_steps(steps: DataFrame) -> DataFrame:
     return rows.withColumn("step", F.row_number().over(whole.orderBy(*ORDER)).cast("long")).withColumn("n_steps", F.count("*").over(whole))
 
 
+#: Steps that one fold goes over.
+FOLD = 64
+
+
 def discounted_returns(steps: DataFrame, gamma: float = 0.9) -> DataFrame:
-    """(worker_id, ep, step, seq, reward, g): G of a step is its reward plus gamma times the next one's G.
+    """(worker_id, ep, step, ts, seq, reward, g): G of a step is its reward plus gamma times the next one's G.
 
-    One fold from the end over the steps of an episode, which is exact for any gamma.
+    Steps of an episode are folded from the end in blocks of FOLD; a block is an affine
+    map of what comes after it, and the blocks' maps are folded in turn. So the work
+    grows with the steps of an episode and not with their square.
     """
-    listed = F.sort_array(F.collect_list(F.struct("ts", "seq", "reward", "done")))
-    episodes = with_episodes(steps).groupBy("worker_id", "ep").agg(listed.alias("steps"), F.max(F.col("done").cast("int")).alias("complete")).filter("complete = 1")
-    start = F.struct(F.lit(0.0).alias("g"), F.array().cast("array<double>").alias("all"))
+    rows = completed_steps(steps).withColumn("block", F.floor((F.col("n_steps") - F.col("step")) / FOLD))  # from the end
+    listed = F.sort_array(F.collect_list(F.struct("step", "ts", "seq", "reward")), asc=False)
+    blocks = rows.groupBy("worker_id", "ep", "block").agg(listed.alias("steps"))
+    reward = lambda x: F.coalesce(x["reward"], F.lit(0.0))
+    maps = blocks.withColumn("factor", F.pow(F.lit(gamma), F.size("steps"))).withColumn("offset", F.aggregate("steps", F.lit(0.0), lambda g, x: reward(x) + F.lit(gamma) * g))
+    # What comes after a block: the maps of the later blocks, whose factors vanish fast.
+    later = Window.partitionBy("worker_id", "ep").orderBy("block")
+    after = F.aggregate(F.collect_list(F.struct("factor", "offset")).over(later.rowsBetween(-_blocks_that_count(gamma), -1)), F.lit(0.0), lambda g, m: m["offset"] + m["factor"] * g)
+    start = lambda g: F.struct(g.alias("g"), F.array().cast("array<double>").alias("all"))
 
     def back(acc: Column, x: Column) -> Column:
-        g = F.coalesce(x["reward"], F.lit(0.0)) + F.lit(gamma) * acc["g"]
-        return F.struct(g.alias("g"), F.concat(F.array(g), acc["all"]).alias("all"))
+        g = reward(x) + F.lit(gamma) * acc["g"]
+        return F.struct(g.alias("g"), F.concat(acc["all"], F.array(g)).alias("all"))
+
+    folded = maps.withColumn("after", after).withColumn("returns", F.aggregate("steps", start(F.col("after")), back)["all"])
+    found = folded.select("worker_id", "ep", F.explode(F.arrays_zip("steps", "returns")).alias("x"))
+    return found.select("worker_id", "ep", F.col("x.steps.step").alias("step"), F.col("x.steps.ts").alias("ts"), F.col("x.steps.seq").alias("seq"), F.col("x.steps.reward").alias("reward"), F.col("x.returns").alias("g"))
+
 
-    folded = episodes.withColumn("returns", F.aggregate(F.reverse("steps"), start, back)["all"])
-    rows = folded.select("worker_id", "ep", F.posexplode(F.arrays_zip("steps", "returns")).alias("at", "x"))
-    return rows.select("worker_id", "ep", (F.col("at") + 1).cast("long").alias("step"), F.col("x.steps.ts").alias("ts"), F.col("x.steps.seq").alias("seq"), F.col("x.steps.reward").alias("reward"), F.col("x.returns").alias("g"))
+def _blocks_that_count(gamma: float) -> int:
+    """Later blocks that reach a double's precision; all of an episode's (2**30) where gamma does not shrink."""
+    return max(1, math.ceil(math.log(1e-25) / math.log(gamma) / FOLD)) if 0 < gamma < 1 else 1 if gamma == 0 else 1 << 30
 
 
 def outcome_only(steps: DataFrame) -> DataFrame:
@@ -97,18 +116,16 @@ def outcome_reward(steps: DataFrame) -> DataFrame:
     return steps.agg(F.coalesce(F.avg(F.when(F.col("done"), F.col("reward"))), F.lit(0.0)).alias("outcome_reward"))
 
 
-def running_reward(steps: DataFrame, keep: float = 0.99, piece: str = "day") -> DataFrame:
+def running_reward(steps: DataFrame, keep: float = 0.99) -> DataFrame:
     """The exponential mean over all done steps in order: x becomes keep * x + (1 - keep) * reward.
 
-    Each step is an affine map; those of one piece of time compose to one map in
-    parallel, and only the pieces' maps are folded in order.
+    A reward counts by ``keep`` to the number of those after it, so only the last ones
+    reach a double's precision: as many are taken, and folded in order.
     """
-    listed = F.sort_array(F.collect_list(F.struct("ts", "seq", "reward")))
-    pieces = steps.filter("done").groupBy(F.date_trunc(piece, "ts").alias("piece")).agg(listed.alias("rows"))
-    fold = F.aggregate("rows", F.lit(0.0), lambda a, x: F.lit(keep) * a + F.lit(1 - keep) * x["reward"])
-    maps = pieces.select("piece", F.pow(F.lit(keep), F.size("rows")).alias("factor"), fold.alias("offset"))
-    ordered = maps.agg(F.sort_array(F.collect_list(F.struct("piece", "factor", "offset"))).alias("maps"))
-    return ordered.select(F.aggregate("maps", F.lit(0.0), lambda a, m: m["factor"] * a + m["offset"]).alias("running_reward"))
+    reach = math.ceil(math.log(1e-20) / math.log(keep)) if 0 < keep < 1 else 1
+    last = steps.filter("done").select("ts", "seq", "reward").orderBy(F.desc("ts"), F.desc("seq")).limit(reach)
+    listed = last.agg(F.sort_array(F.collect_list(F.struct("ts", "seq", "reward"))).alias("rows"))
+    return listed.select(F.aggregate("rows", F.lit(0.0), lambda a, x: F.lit(keep) * a + F.lit(1 - keep) * x["reward"]).alias("running_reward"))
 
 
 def oldest_of_ready_workers(steps: DataFrame, n: int, seed: int = 0) -> DataFrame:

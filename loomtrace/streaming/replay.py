@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,26 +34,30 @@ class EpisodeReturns(StatefulProcessor):
         self.ended = handle.getValueState("ended", "n long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        """The open list is read only when an episode ends, and otherwise added to."""
         frame = pd.concat(list(rows)).sort_values(["ts", "seq"])
-        held = [tuple(r) for r in self.open.get()]
+        seqs, rewards, ends = frame.seq.to_numpy(np.int64), frame.reward.fillna(0.0).to_numpy(float), np.flatnonzero(frame.done.to_numpy(bool))
+        added = lambda low, high: list(zip(seqs[low:high].tolist(), rewards[low:high].tolist(), strict=True))
+        if not len(ends):
+            self.open.appendList(added(0, len(seqs)))
+            return
         ended = int(self.ended.get()[0]) if self.ended.exists() else 0
-        out = []
-        for seq, reward, done in zip(frame.seq, frame.reward, frame.done, strict=True):
-            held.append((int(seq), 0.0 if pd.isna(reward) else float(reward)))
-            if done:
-                g, returns = 0.0, []
-                for _, r in reversed(held):
-                    g = r + self.gamma * g
-                    returns.append(g)
-                out += [(int(key[0]), ended, i + 1, s, v) for i, ((s, _), v) in enumerate(zip(held, reversed(returns), strict=True))]
-                held, ended = [], ended + 1
-        if held:
-            self.open.put(held)
+        out, low = [], 0
+        held = [tuple(r) for r in self.open.get()]
+        for end in ends.tolist():
+            held += added(low, end + 1)
+            g, returns = 0.0, []
+            for _, r in reversed(held):
+                g = r + self.gamma * g
+                returns.append(g)
+            out += [(int(key[0]), ended, i + 1, s, v) for i, ((s, _), v) in enumerate(zip(held, reversed(returns), strict=True))]
+            held, ended, low = [], ended + 1, end + 1
+        if low < len(seqs):
+            self.open.put(added(low, len(seqs)))
         elif self.open.exists():
             self.open.clear()
         self.ended.update((ended,))
-        if out:
-            yield pd.DataFrame(out, columns=["worker_id", "ep", "step", "seq", "g"])
+        yield pd.DataFrame(out, columns=["worker_id", "ep", "step", "seq", "g"])
 
     def close(self) -> None:
         pass
@@ -65,9 +70,11 @@ def stream_returns(steps: DataFrame, gamma: float = 0.9, ttl_ms: int | None = No
 
 
 def replay_available(spark: SparkSession, events: DataFrame, gamma: float = 0.9) -> DataFrame:
-    """What the stream emits for all events there are: the batch is laid out as files, streamed once and read back."""
+    """What the stream emits for all events there are: the batch is laid out as files, streamed once and read back. The files go when the session ends."""
     ensure_checkpoints(spark)
     base = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/loomtrace-stream-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     events.write.parquet(f"{base}/in")
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)

@@ -189,3 +189,45 @@ def test_data_validation_is_a_rule(spark):
     assert {r.pair: r.score for r in sheets.apply_rules(cells, cells, rules, validators).collect()} == {1: 1.0, 2: 0.0, 3: 0.0}
     with pytest.raises(ValueError):
         sheets.apply_rules(cells, cells, rules)
+
+
+def test_near_pairs_of_cells_and_blocks_are_those_of_all_pairs(spark, monkeypatch):
+    import numpy as np
+
+    from loomtrace.operators import dedup
+
+    monkeypatch.setattr(dedup, "BLOCK", 25)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 16))
+    rows = [(i, "hot" if i % 3 else f"d{i % 5}", (centres[rng.integers(12)] + rng.normal(size=16) * 0.35).tolist()) for i in range(400)]
+    rows += [(400, "hot", [0.0] * 16), (401, "hot", rows[1][2]), (402, None, rows[0][2]), (403, "lone", rows[0][2])]
+    frame = spark.createDataFrame(rows, "id long, domain string, embedding array<double>")
+    units = {i: np.array(v) / (np.linalg.norm(v) or 1) for i, _, v in rows}
+    for threshold in (0.9, 0.5, -0.2):
+        wanted = {(a, b) for a, da, _ in rows for b, db, _ in rows if b < a and da is not None and da == db and units[a] @ units[b] >= threshold}
+        got = dedup.near_pairs(frame, frame, threshold, earlier=True).collect()
+        assert len(got) == len(wanted) and {(r.id, r.other) for r in got} == wanted
+    pivots = dedup._pivots(frame.filter("domain is not null"))
+    assert {len(p) for p in pivots.values()} >= {1} and sum(map(len, pivots.values())) < 60
+    assert dedup.near_pairs(frame.limit(0), frame, 0.5).collect() == [] and dedup.near_pairs(frame, frame.limit(0), 0.5).collect() == []
+
+
+def test_returns_of_long_episodes(spark):
+    from loomtrace.operators.replay import discounted_returns, running_reward
+
+    rewards = [((i * 37) % 11) / 7 - 0.5 for i in range(700)]
+    rows = [(1, i, i, "a", r if i % 50 else None, i == 699, False) for i, r in enumerate(rewards)] + [(2, 0, 1000, "a", 3.0, True, False), (2, 1, 1001, "a", 4.0, False, False)]
+    steps = spark.createDataFrame(rows, "worker_id long, ts long, seq long, action string, reward double, done boolean, is_init boolean")
+    for gamma in (0.9, 0.999, 1.0, 0.0):
+        g, wanted = 0.0, {}
+        for i in range(699, -1, -1):
+            g = (rewards[i] if i % 50 else 0.0) + gamma * g
+            wanted[i + 1] = g
+        got = {r.step: r.g for r in discounted_returns(steps.filter("worker_id = 1"), gamma).collect()}
+        assert len(got) == 700 and all(abs(got[k] - v) < 1e-9 for k, v in wanted.items())
+    assert [(r.worker_id, r.step, r.g) for r in discounted_returns(steps.filter("worker_id = 2")).collect()] == [(2, 1, 3.0)]
+    done = steps.selectExpr("ts", "seq", "reward", "true as done").filter("reward is not null")
+    x = 0.0
+    for r in sorted(done.collect()):
+        x = 0.9 * x + 0.1 * r.reward
+    assert abs(running_reward(done, keep=0.9).first()[0] - x) < 1e-12
