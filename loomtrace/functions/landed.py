@@ -53,6 +53,12 @@ def extensions(text: Column, field: tuple[str, ...]) -> Column:
     return F.filter(F.transform(F.map_values(settings), lambda x: F.get_json_object(x, "$." + ".".join(field))), lambda x: x.isNotNull())
 
 
+def preference_line(line: Column) -> Column:
+    """A struct (key, value) of a line ``user_pref("key", value);``; null for other lines."""
+    pattern = r'^user_pref\("((?:[^"\\]|\\.)+)", (.+)\);$'
+    return F.when(line.rlike(pattern), F.struct(F.regexp_extract(line, pattern, 1).alias("key"), F.regexp_extract(line, pattern, 2).alias("value")))
+
+
 def mail_filters(text: Column) -> Column:
     """Filters of a mail client's file: an array of maps, each from one ``name`` line to the line before the next."""
     blocks = F.filter(F.split(text, r"(?m)^(?=name=)"), lambda x: x.startswith("name="))

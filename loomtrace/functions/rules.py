@@ -46,6 +46,41 @@ def cell_range(reference: str) -> tuple[int, int, int, int]:
     return min(r0, r1), min(c0, c1), max(r0, r1), max(c0, c1)
 
 
+def _boxes(ranges: Column) -> Column:
+    """Structs (r0, c0, r1, c1) of a text of ranges such as ``B2:D10 F1``."""
+    column = lambda cell: F.aggregate(F.split(F.upper(F.regexp_extract(cell, r"^\$?([A-Za-z]+)", 1)), ""), F.lit(0), lambda n, c: F.when(c == "", n).otherwise(n * 26 + F.ascii(c) - 64))
+    row = lambda cell: F.regexp_extract(cell, r"(\d+)$", 1).try_cast("int")
+
+    def box(part: Column) -> Column:
+        low, high = F.substring_index(part, ":", 1), F.substring_index(part, ":", -1)
+        return F.struct(F.least(row(low), row(high)).alias("r0"), F.least(column(low), column(high)).alias("c0"), F.greatest(row(low), row(high)).alias("r1"), F.greatest(column(low), column(high)).alias("c1"))
+
+    return F.transform(F.split(F.trim(ranges), r"\s+"), box)
+
+
+def _listed(ranges) -> list[tuple[int, int, int, int]]:
+    return [cell_range(x) for x in (ranges.split() if isinstance(ranges, str) else ranges)]
+
+
+def _covers(boxes: Column, inner) -> Column:
+    """Each of the fixed ranges lies in one of the boxes."""
+    test = F.lit(True)
+    for r0, c0, r1, c1 in _listed(inner):
+        test = test & F.exists(boxes, lambda b: (b["r0"] <= r0) & (b["c0"] <= c0) & (b["r1"] >= r1) & (b["c1"] >= c1))  # noqa: B023
+    return test
+
+
+def _covered(boxes: Column, outer) -> Column:
+    """Each box lies in one of the fixed ranges."""
+    def inside(b: Column) -> Column:
+        test = F.lit(False)
+        for r0, c0, r1, c1 in _listed(outer):
+            test = test | ((b["r0"] >= r0) & (b["c0"] >= c0) & (b["r1"] <= r1) & (b["c1"] <= c1))
+        return test
+
+    return F.forall(boxes, inside)
+
+
 def rule(value: Column, method: str, ref) -> Column:
     """Whether ``value`` satisfies the rule."""
     name, *rest = method.split(".")
@@ -69,10 +104,7 @@ def rule(value: Column, method: str, ref) -> Column:
         x = _number(value)
         found = (x > low if rest[0][0] == "t" else x >= low) & (x < high if rest[0][1] == "t" else x <= high)
     elif method == "spreadsheet_range":
-        inner, outer = ref
-        boxes = [cell_range(x) for x in outer.split()] if isinstance(outer, str) else [cell_range(x) for x in outer]
-        r0, c0, r1, c1 = cell_range(inner)
-        found = F.lit(any(a <= r0 and b <= c0 and r1 <= c and c1 <= d for a, b, c, d in boxes))
+        found = _covers(_boxes(value), ref[0]) & _covered(_boxes(value), ref[1])
     elif method in ("str_list_eq", "str_set_eq"):
         parts = F.transform(F.split(F.regexp_replace(value.cast("string"), r"^[\"']+|[\"']+$", ""), ","), lambda x: F.trim(x))
         wanted = F.array(*map(F.lit, ref))

@@ -20,12 +20,15 @@ def squeezed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def normal_text(text: Column, ignore_blanks: bool = False, ignore_case: bool = False) -> Column:
+    for wanted, form in ((ignore_blanks, squeezed), (ignore_case, F.lower)):
+        text = form(text) if wanted else text
+    return text
+
+
 def same_text(a: Column, b: Column, ignore_blanks: bool = False, ignore_case: bool = False) -> Column:
     """1.0 if two texts are the same, after the chosen normal forms."""
-    for wanted, form in ((ignore_blanks, squeezed), (ignore_case, F.lower)):
-        if wanted:
-            a, b = form(a), form(b)
-    return a.eqNullSafe(b).cast("double")
+    return normal_text(a, ignore_blanks, ignore_case).eqNullSafe(normal_text(b, ignore_blanks, ignore_case)).cast("double")
 
 
 def indel(a: str, b: str) -> float:

@@ -61,15 +61,18 @@ def pending(tasks: DataFrame, memory: DataFrame, key: str) -> DataFrame:
 
 
 def manifest(rows: DataFrame, domain: str, key: str) -> DataFrame:
-    """(domain, ids): the sorted ids of each domain."""
-    return rows.groupBy(domain).agg(F.array_sort(F.collect_list(key)).alias("ids"))
+    """(domain, id): each id of each domain once. A manifest is kept as rows, so that no domain has to fit in one."""
+    return rows.select(domain, F.col(key).alias("id")).distinct()
 
 
-def merge_manifests(old: DataFrame, new: DataFrame, domain: str) -> DataFrame:
-    """Sorted union of the ids of two manifests."""
-    both = old.select(domain, F.col("ids").alias("a")).join(new.select(domain, F.col("ids").alias("b")), domain, "full")
-    empty = F.slice(F.coalesce("a", "b"), 1, 0)
-    return both.select(domain, F.array_sort(F.array_union(F.coalesce("a", empty), F.coalesce("b", empty))).alias("ids"))
+def merge_manifests(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The union of two manifests."""
+    return old.unionByName(new).distinct()
+
+
+def write_manifest(ids: DataFrame, domain: str, path: str) -> None:
+    """A manifest as JSON lines in a folder for each domain, sorted by id from file to file."""
+    ids.repartitionByRange(domain, "id").sortWithinPartitions(domain, "id").write.mode("overwrite").partitionBy(domain).json(path)
 
 
 def task_text(instruction: Column, evaluator: Column) -> Column:

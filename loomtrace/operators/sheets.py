@@ -104,19 +104,17 @@ def apply_rules(cells: DataFrame, properties: DataFrame, rules: list[dict], vali
 
     Rules of type ``data_validation`` (``wanted``) look at ``validators``; a pair without any fails them.
     """
-    verdicts = []
+    verdicts, by_cell = [], []
     for r in rules:
         kind, rest = r["type"], {k: v for k, v in r.items() if k != "type"}
-        if kind == "sheet_name":
-            verdicts.append(sheet_names(cells))
-        elif kind in ("sheet_data", "sheet_print", "sheet_fuzzy"):
-            verdicts.append({"sheet_data": sheet_data, "sheet_print": sheet_print, "sheet_fuzzy": sheet_fuzzy}[kind](cells, **rest))
+        if kind in CELL_RULES and rest.get("how") != "fuzzy_match":
+            by_cell.append((kind, rest))
+        elif kind == "sheet_fuzzy":
+            verdicts.append(sheet_fuzzy(cells, **rest))
         elif kind in PROPERTY_RULES:
             verdicts.append(property_equal(properties, kind, **rest))
         elif kind == "zoom":
             verdicts.append(zoom(properties, **rest))
-        elif kind == "check_cell":
-            verdicts.append(check_cell(cells, **rest))
         elif kind == "data_validation":
             if validators is None:
                 raise ValueError("data_validation needs validators")
@@ -124,9 +122,52 @@ def apply_rules(cells: DataFrame, properties: DataFrame, rules: list[dict], vali
             verdicts.append(found.select("pair", F.coalesce("score", F.lit(0.0)).alias("score")))
         else:
             raise ValueError(f"no such rule: {kind}")
+    if by_cell:
+        verdicts.append(_cell_rules(cells, by_cell))
     return reduce(DataFrame.unionByName, verdicts).groupBy("pair").agg(F.min("score").alias("score"))
 
 
+#: Rules that look at cells; all of a list are told from one grouping of them.
+CELL_RULES = ("sheet_name", "sheet_data", "sheet_print", "sheet_fuzzy", "check_cell")
+
+
+def _same_cell(kind: str, precision: int = 4, ignore_case: bool = False, how: str = "exact_match", **form) -> Column:
+    """Whether both sides of a cell agree under a rule."""
+    if kind == "sheet_data":
+        number = lambda s: F.bround(F.col(f"{s}.number"), precision)
+        text = lambda s: F.when(F.col(f"{s}.number").isNull(), F.col(f"{s}.text"))
+        return _there() & number("a").eqNullSafe(number("b")) & text("a").eqNullSafe(text("b"))
+    if kind == "sheet_print":
+        low = F.lower if ignore_case else (lambda x: x)
+        return _there() & low(F.col("a.text")).eqNullSafe(low(F.col("b.text")))
+    a, b = (fuzzy_value(F.coalesce(F.col(f"{s}.text"), F.lit("")), ignore_case=ignore_case, **form) for s in ("a", "b"))
+    return {"includes": a.contains(b), "included_by": b.contains(a), "exact_match": a == b}[how]
+
+
+def _cell_rules(cells: DataFrame, rules: list[tuple[str, dict]]) -> DataFrame:
+    """(pair, score) of rules over cells: cells are grouped by place, then by sheet, then by pair."""
+    placed = _sides(cells, ["sheet", "row", "col"], ["text", "number"])
+    told, last = [], []
+    for i, (kind, options) in enumerate(rules):
+        if kind in ("sheet_data", "sheet_print", "sheet_fuzzy"):
+            rest = {k: v for k, v in options.items() if k not in ("sheet", "ranges")}
+            here = (F.col("sheet") == options["sheet"]) & _inside(options.get("ranges"))
+            told.append(F.min(F.when(here, F.coalesce(_same_cell(kind, **rest), F.lit(False)).cast("double"))).alias(f"s{i}"))
+            last.append(F.min(f"s{i}"))
+        elif kind == "check_cell":
+            row, col, _, _ = cell_range(options["coordinate"])
+            here = (F.col("sheet") == options["sheet"]) & (F.col("row") == row) & (F.col("col") == col)
+            told.append(F.max(F.when(here, F.col("a.text"))).alias(f"s{i}"))
+            last.append(rule(F.coalesce(F.max(f"s{i}"), F.lit("")), options["method"], options["ref"]).cast("double"))
+        else:
+            told.append((F.max(F.col("a").isNotNull()) & F.max(F.col("b").isNotNull())).cast("double").alias(f"s{i}"))
+            last.append(F.min(f"s{i}"))
+    sheets = placed.groupBy("pair", "sheet").agg(*told)
+    scores = sheets.groupBy("pair").agg(*[c.alias(f"r{i}") for i, c in enumerate(last)])
+    worst = F.array_min(F.array(*[F.col(f"r{i}") for i in range(len(rules))]))
+    return scores.select("pair", worst.alias("score")).filter("score is not null")
+
+
 def conditional_styles(cells: DataFrame, formats: DataFrame) -> DataFrame:
     """Cells with the style that holds: that of the last active format (sheet, r0, c0, r1, c1, priority, low, high, style) whose range and bounds they lie in, else their own."""
     hit = cells.join(formats.withColumnRenamed("style", "format_style"), "sheet", "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtrace.operators import dedup, memory
@@ -17,18 +17,26 @@ def domain_limit(spark, sf_dir):
     return memory.first_n(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], ["doc_id"], 3, 40)
 
 
-@query("q_manifest", "SELECT lang, md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS ids, count(*) AS n FROM documents GROUP BY lang")
+_DIGEST = "sum(('0x' || substr(md5({id}::VARCHAR), 1, 8))::BIGINT)::BIGINT"
+
+
+def _digest(ids: Column) -> Column:
+    """The sum of hashes of ids, which does not depend on their order."""
+    return F.sum(F.conv(F.substring(F.md5(ids.cast("string").cast("binary")), 1, 8), 16, 10).cast("long"))
+
+
+@query("q_manifest", f"SELECT lang, count(DISTINCT doc_id) AS n, min(doc_id) AS low, max(doc_id) AS high, {_DIGEST.format(id='doc_id')} AS ids FROM (SELECT DISTINCT lang, doc_id FROM documents) GROUP BY lang")
 def manifest(spark, sf_dir):
+    """The ids of each language, as their number, their ends and a digest."""
     found = memory.manifest(table(spark, sf_dir, "documents"), "lang", "doc_id")
-    return found.select("lang", F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").cast("binary")).alias("ids"), F.size("ids").cast("long").alias("n"))
+    return found.groupBy("lang").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), _digest(F.col("id")).alias("ids"))
 
 
-@query("q_manifest_merge", """WITH m AS (SELECT lang, list(doc_id) FILTER (doc_id % 2 = 0) AS a, list(doc_id) FILTER (doc_id % 3 = 0) AS b FROM documents GROUP BY lang)
-SELECT lang, len(list_distinct(list_concat(coalesce(a, []), coalesce(b, [])))) AS n, list_min(list_concat(coalesce(a, []), coalesce(b, []))) AS low FROM m WHERE a IS NOT NULL OR b IS NOT NULL""")
+@query("q_manifest_merge", f"SELECT lang, count(*) AS n, min(doc_id) AS low, {_DIGEST.format(id='doc_id')} AS ids FROM (SELECT DISTINCT lang, doc_id FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0) GROUP BY lang")
 def manifest_merge(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    both = memory.merge_manifests(memory.manifest(docs.filter("doc_id % 2 = 0"), "lang", "doc_id"), memory.manifest(docs.filter("doc_id % 3 = 0"), "lang", "doc_id"), "lang")
-    return both.select("lang", F.size("ids").cast("long").alias("n"), F.element_at("ids", 1).alias("low"))
+    both = memory.merge_manifests(memory.manifest(docs.filter("doc_id % 2 = 0"), "lang", "doc_id"), memory.manifest(docs.filter("doc_id % 3 = 0"), "lang", "doc_id"))
+    return both.groupBy("lang").agg(F.count("*").alias("n"), F.min("id").alias("low"), _digest(F.col("id")).alias("ids"))
 
 
 @query("q_upsert_last_wins", """SELECT user_id, event_type, arg_max(event_id, struct_pack(t := ts, e := event_id)) AS event_id, arg_max(value, struct_pack(t := ts, e := event_id)) AS value,
@@ -95,15 +103,8 @@ def results_join(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("long").alias("score")), "doc_id")
 
 
-@query("q_task_text", "SELECT doc_id, md5(trim(substr(text, 1, 80)) || CASE WHEN trim(lang) <> '' AND doc_id % 2 = 0 THEN chr(10) || chr(10) || 'VERIFIER: ' || trim(lang) ELSE '' END) AS body FROM documents")
+@query("q_task_text", "SELECT doc_id, md5(trim(text) || CASE WHEN trim(lang) <> '' AND doc_id % 2 = 0 THEN chr(10) || chr(10) || 'VERIFIER: ' || trim(lang) ELSE '' END) AS body FROM documents")
 def task_text(spark, sf_dir):
-    text = memory.task_text(F.substring("text", 1, 80), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(" "))
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.cast("binary")).alias("body"))
-
-
-@query("q_task_text_whole", "SELECT doc_id, md5(trim(text) || CASE WHEN trim(lang) <> '' AND doc_id % 2 = 0 THEN chr(10) || chr(10) || 'VERIFIER: ' || trim(lang) ELSE '' END) AS body FROM documents")
-def task_text_whole(spark, sf_dir):
-    """The same over whole texts; ``q_task_text`` reads the first 80 characters, as its SQL does."""
     text = memory.task_text(F.col("text"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(" "))
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.cast("binary")).alias("body"))
 

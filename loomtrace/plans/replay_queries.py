@@ -89,11 +89,17 @@ def force_finish(spark, sf_dir):
     return replay.force_finish(_steps(spark, sf_dir), 5).select("seq", "step", "action")
 
 
-@query("q_batch_collate", _EP + "SELECT n_steps, list(event_id ORDER BY event_id) AS seqs, count(*) AS n FROM steps WHERE step = 1 GROUP BY n_steps".replace("list(event_id ORDER BY event_id) AS seqs", "md5(string_agg(event_id::VARCHAR, ',' ORDER BY event_id)) AS seqs"))
+#: Ids of a batch: its rows come from that many on end.
+BATCH = 1_000
+
+
+@query("q_batch_collate", _EP + f"SELECT n_steps, event_id // {BATCH} AS batch, md5(string_agg(event_id::VARCHAR, ',' ORDER BY event_id)) AS seqs, count(*) AS n FROM steps WHERE step = 1 GROUP BY n_steps, batch")
 def batch_collate(spark, sf_dir):
-    """Rows pivoted to one row of columns for each batch."""
+    """Rows pivoted to one row of columns for each batch, of BATCH rows at most."""
     first = replay.completed_steps(_steps(spark, sf_dir)).filter("step = 1")
-    return first.groupBy("n_steps").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list("seq")), lambda x: x.cast("string")), ",").cast("binary")).alias("seqs"), F.count("*").alias("n"))
+    listed = F.transform(F.array_sort(F.collect_list("seq")), lambda x: x.cast("string"))
+    batch = F.floor(F.col("seq") / BATCH).alias("batch")
+    return first.groupBy("n_steps", batch).agg(F.md5(F.array_join(listed, ",").cast("binary")).alias("seqs"), F.count("*").alias("n"))
 
 
 # --- texts of rollouts --------------------------------------------------------

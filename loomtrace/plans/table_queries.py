@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomtrace.functions import landed as L
 from loomtrace.functions import rules as R
 from loomtrace.functions import text as T
+from loomtrace.functions.metrics import METRICS
 from loomtrace.operators import compare as C
 from loomtrace.plans.expression import score_expression, validate_tasks
 from loomtrace.plans.registry import query
@@ -33,10 +35,11 @@ def rule_approx(spark, sf_dir):
     return _items(spark, sf_dir).select("l_orderkey", F.col("l_linenumber").cast("long").alias("line"), near.alias("near"), word.alias("word"))
 
 
-@query("q_rule_range", "SELECT l_orderkey, l_linenumber::BIGINT AS line, l_quantity > 10 AND l_quantity <= 20 AS te, l_quantity >= 10 AND l_quantity < 20 AS et, true AS inside FROM lineitem")
+@query("q_rule_range", "SELECT l_orderkey, l_linenumber::BIGINT AS line, l_quantity > 10 AND l_quantity <= 20 AS te, l_quantity >= 10 AND l_quantity < 20 AS et, l_linenumber BETWEEN 3 AND 5 AND l_quantity BETWEEN 3 AND 40 AS inside FROM lineitem")
 def rule_range(spark, sf_dir):
     q = F.col("l_quantity")
-    inside = R.rule(q, "spreadsheet_range", ("B2:C3", "A1:D9 F1:G2"))
+    cells = F.concat(F.lit("$A$1:"), F.substring(F.lit("ABCDEFG"), F.col("l_linenumber").cast("int"), F.lit(1)), q.cast("int").cast("string"))
+    inside = R.rule(cells, "spreadsheet_range", ("B2:C3", "A1:E40 F1:G2"))
     return _items(spark, sf_dir).select("l_orderkey", F.col("l_linenumber").cast("long").alias("line"), R.rule(q, "range.te", (10, 20)).alias("te"), R.rule(q, "range.et", (10, 20)).alias("et"), inside.alias("inside"))
 
 
@@ -66,14 +69,14 @@ def csv_expect_unexpect(spark, sf_dir):
 
 @query("q_regex_list", "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) SELECT doc_id, CASE WHEN bool_or(regexp_matches(line, '^[A-Z]')) AND NOT bool_or(regexp_matches(line, '[0-9]{3}')) THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM l GROUP BY doc_id")
 def regex_list(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    return lines.groupBy("doc_id").agg(R.expected_records(lambda p: F.col("line").rlike(p), ["^[A-Z]"], ["[0-9]{3}"]).alias("score"))
+    score = METRICS["check_list"](F.col("text"), {"expect": ["^[A-Z]"], "unexpect": ["[0-9]{3}"]})
+    return table(spark, sf_dir, "documents").select("doc_id", score.alias("score"))
 
 
 @query("q_json_path", "SELECT event_id, json_extract_string(props, '$.k') AS k, coalesce(try_cast(json_extract_string(props, '$.k') AS DOUBLE) >= 50, false) AS high FROM events")
 def json_path(spark, sf_dir):
     k = R.json_at(F.col("props"), ["k"])
-    return table(spark, sf_dir, "events").select("event_id", k.alias("k"), R.rule(k, "ge", 50).alias("high"))
+    return table(spark, sf_dir, "events").select("event_id", k.alias("k"), (METRICS["check_json"](F.col("props"), {"expect": [{"key": ["k"], "method": "ge", "ref": 50}]}) == 1).alias("high"))
 
 
 @query("q_json_subset", "SELECT event_id, json_extract_string(props, '$.k') = (event_id % 100)::VARCHAR AS included FROM events")
@@ -117,9 +120,10 @@ def line_count(spark, sf_dir):
 
 @query("q_text_ignore_blanks", "SELECT a.doc_id, (lower(trim(regexp_replace(a.text, '\\s+', ' ', 'g'))) = lower(trim(regexp_replace(b.text, '\\s+', ' ', 'g'))))::DOUBLE AS score FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1")
 def text_ignore_blanks(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("after"))
-    return docs.join(after, "doc_id").select("doc_id", T.same_text(F.col("text"), F.col("after"), ignore_blanks=True, ignore_case=True).alias("score"))
+    """Each document against the next one; what travels is the digest of the normal form, not the text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(T.normal_text(F.col("text"), ignore_blanks=True, ignore_case=True).cast("binary"), 256).alias("form"))
+    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("form").alias("after"))
+    return docs.join(after, "doc_id").select("doc_id", F.col("form").eqNullSafe(F.col("after")).cast("double").alias("score"))
 
 
 @query("q_indel_ratio")
@@ -162,10 +166,10 @@ def config_default_last(spark, sf_dir):
 
 @query("q_pref_last_wins", """SELECT user_id, event_type AS pref, arg_max(event_id, struct_pack(t := ts, e := event_id)) AS value FROM events GROUP BY user_id, event_type""")
 def pref_last_wins(spark, sf_dir):
-    """Lines ``user_pref("key", value);`` of each file: the last one of a key counts."""
-    lines = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.concat(F.lit('user_pref("'), "event_type", F.lit('", '), "event_id", F.lit(");")).alias("line"))
-    parsed = lines.select("user_id", "ts", "event_id", F.regexp_extract("line", r'user_pref\("([^"]+)", (.*)\);', 1).alias("pref"), F.regexp_extract("line", r'user_pref\("([^"]+)", (.*)\);', 2).cast("long").alias("value"))
-    return parsed.groupBy("user_id", "pref").agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"))
+    """Lines ``user_pref("key", value);`` of each user's file: the last one of a key counts."""
+    line = F.concat(F.lit('user_pref("'), "event_type", F.lit('", '), "event_id", F.lit(");"))
+    files = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", L.preference_line(line).alias("pref"))
+    return files.groupBy("user_id", F.col("pref.key").alias("pref")).agg(F.max_by("pref.value", F.struct("ts", "event_id")).cast("long").alias("value"))
 
 
 @query("q_mbox_dedup", "WITH m AS (SELECT conv_id, trim(text) AS mail FROM conversations WHERE turn % 3 <> 2) SELECT conv_id, count(DISTINCT mail) AS mails, md5(string_agg(DISTINCT mail, '|' ORDER BY mail)) AS digest FROM m GROUP BY conv_id")
@@ -221,19 +225,25 @@ def cond_format_range_join(spark, sf_dir):
     return C.in_ranges(cells, F.broadcast(ranges), ["sheet"]).groupBy("row", "col").agg(F.max("rule").alias("style"))
 
 
-@query("q_positional_zip_inner", """WITH p AS (SELECT conv_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM conversations WHERE turn = 0), q AS (SELECT conv_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM conversations WHERE turn = 1)
-SELECT conv_id, count(*) AS compared, count(*) FILTER (p.w <> q.w) AS differing, min((p.w = q.w)::INT)::DOUBLE AS score FROM p JOIN q USING (conv_id, i) GROUP BY conv_id""")
+_TURNS = """WITH w AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM conversations),
+q AS (SELECT conv_id, turn - 1 AS turn, w, i FROM w) """
+
+
+def _turn_words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The words of every turn, and those of the turn after it."""
+    words = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), F.posexplode(F.split("text", " ")).alias("i", "w"))
+    return words, words.withColumn("turn", F.col("turn") - 1)
+
+
+@query("q_positional_zip_inner", _TURNS + "SELECT conv_id, turn::BIGINT AS turn, count(*) AS compared, count(*) FILTER (w.w <> q.w) AS differing, min((w.w = q.w)::INT)::DOUBLE AS score FROM w JOIN q USING (conv_id, turn, i) GROUP BY conv_id, turn")
 def positional_zip_inner(spark, sf_dir):
-    """Words of the first two turns by position, as far as both go."""
-    words = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("i", "w"))
-    return C.positional(words.filter("turn = 0"), words.filter("turn = 1"), ["conv_id"], ["i"], "w", longest=False)
+    """Words of each turn and the next by position, as far as both go."""
+    return C.positional(*_turn_words(spark, sf_dir), ["conv_id", "turn"], ["i"], "w", longest=False)
 
 
-@query("q_positional_full", """WITH p AS (SELECT conv_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM conversations WHERE turn = 0), q AS (SELECT conv_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM conversations WHERE turn = 1)
-SELECT conv_id, count(*) AS compared, count(*) FILTER (p.w IS DISTINCT FROM q.w) AS differing, min((p.w IS NOT DISTINCT FROM q.w)::INT)::DOUBLE AS score FROM p FULL JOIN q USING (conv_id, i) GROUP BY conv_id""")
+@query("q_positional_full", _TURNS + "SELECT conv_id, turn::BIGINT AS turn, count(*) AS compared, count(*) FILTER (w.w IS DISTINCT FROM q.w) AS differing, min((w.w IS NOT DISTINCT FROM q.w)::INT)::DOUBLE AS score FROM w FULL JOIN q USING (conv_id, turn, i) GROUP BY conv_id, turn")
 def positional_full(spark, sf_dir):
-    words = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("i", "w"))
-    return C.positional(words.filter("turn = 0"), words.filter("turn = 1"), ["conv_id"], ["i"], "w")
+    return C.positional(*_turn_words(spark, sf_dir), ["conv_id", "turn"], ["i"], "w")
 
 
 @query("q_set_equality", "SELECT NOT EXISTS ((SELECT lang, source FROM documents WHERE doc_id % 2 = 0 EXCEPT SELECT lang, source FROM documents WHERE doc_id % 2 = 1) UNION ALL (SELECT lang, source FROM documents WHERE doc_id % 2 = 1 EXCEPT SELECT lang, source FROM documents WHERE doc_id % 2 = 0)) AS equal")

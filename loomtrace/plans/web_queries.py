@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomtrace.functions.metrics import METRICS
 from loomtrace.functions import times as D
 from loomtrace.functions import urls as U
 from loomtrace.plans.registry import query
@@ -29,8 +30,8 @@ def url_dash_part(spark, sf_dir):
 
 @query("q_url_pattern_all", "SELECT page_id, (regexp_matches(url, '^https') AND regexp_matches(url, '/en/') AND regexp_matches(url, '\\d+'))::DOUBLE AS score FROM pages")
 def url_pattern_all(spark, sf_dir):
-    patterns = F.array(*map(F.lit, ("^https", "/en/", r"\d+")))
-    return table(spark, sf_dir, "pages").select("page_id", F.forall(patterns, lambda p: F.regexp(F.col("url"), p)).cast("double").alias("score"))
+    score = METRICS["is_expected_url_pattern_match"](F.col("url"), {"expected": ["^https", "/en/", r"\d+"]})
+    return table(spark, sf_dir, "pages").select("page_id", score.alias("score"))
 
 
 @query("q_url_without_query", "SELECT page_id, regexp_replace(url, '\\?[^#]*', '') AS url FROM pages")

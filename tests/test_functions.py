@@ -26,7 +26,9 @@ def test_rules(spark, method, ref, given, wanted):
 
 def test_ranges_and_truth(spark):
     assert rules.cell_range("$B$2:AA10") == (2, 2, 10, 27)
-    assert value(spark, rules.rule(F.lit("x"), "spreadsheet_range", ("B2:C3", ["A1:D9"]))) and not value(spark, rules.rule(F.lit("x"), "spreadsheet_range", ("A1:E3", "A1:D9")))
+    ranged = lambda got, inner, outer: value(spark, rules.rule(F.lit(got), "spreadsheet_range", (inner, outer)))
+    assert ranged("B2:C3", "B2:C3", ["A1:D9"]) and not ranged("A1:E3", "A1:E3", "A1:D9")
+    assert ranged("$A$1:C3 AB10", "B2 AB10", "A1:D9 AA1:AC20") and not ranged("A1:C3", "B2:D3", "A1:D9") and not ranged("x", "A1", "A1:D9")
     assert value(spark, rules.truthy_and(F.lit(0.5), F.lit(0.2))) == 0.2 and value(spark, rules.truthy_or(F.lit(0.0), F.lit(0.2))) == 0.2
     with pytest.raises(ValueError):
         rules.rule(F.lit(1), "like", "x")
