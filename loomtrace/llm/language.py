@@ -38,6 +38,8 @@ ROW_CHARS = 4_000
 BLOCK, LEAD = 1_024, 96
 #: Cost that a text may have beyond its symbols' share before it is in no learned language, in phrases.
 SLACK = 8
+#: Times the usual bits a symbol from which on a text is in no learned language.
+FAR = 2.5
 
 #: What a worker keeps from task to task.
 KEEPS = ("_parser", "_fold_table")
@@ -271,10 +273,11 @@ def _parser(sample: tuple[tuple[str, str], ...]) -> CrossParser:
 
 
 def _limits(sample: tuple[tuple[str, str], ...]) -> np.ndarray:
-    """For each language twice the bits a symbol that any labelled row needs which the automata did not learn.
+    """For each language FAR times the bits a symbol that the median labelled row needs which the automata did not learn.
 
     Every other row of a language is learned, the others are measured beyond SLACK
-    phrases. A language of fewer than eight rows has no limit.
+    phrases; the median does not heed mislabelled rows. A language of fewer than eight
+    rows has no limit.
     """
     langs = sorted({lang for lang, _ in sample})
     rows = {lang: [text for own, text in sample if own == lang] for lang in langs}
@@ -284,7 +287,7 @@ def _limits(sample: tuple[tuple[str, str], ...]) -> np.ndarray:
         parts = [text.encode() for text in rows[lang][1::2]]
         cost, sizes, known = parser.costs(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)]))
         share = (cost[k] - SLACK * parser.bits[k])[known] / sizes[known]
-        out.append(2 * max(share.max(initial=0.0), 1.0) if len(rows[lang]) >= 8 else 1e9)
+        out.append(FAR * max(float(np.median(share)), 1.0) if len(rows[lang]) >= 8 and len(share) else 1e9)
     return np.array(out)
 
 
@@ -316,14 +319,14 @@ def language_id(docs: DataFrame, rows: int = SAMPLE_ROWS, languages: int = LANGU
     return found.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, above: float = 0.0, rows: int = SAMPLE_ROWS, languages: int = LANGUAGES) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language with a score ``above`` that; columns are unchanged.
+def keep_identified(docs: DataFrame, least: float = 0.0, rows: int = SAMPLE_ROWS, languages: int = LANGUAGES) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language with a score of ``least`` or more; columns are unchanged.
 
-    A row goes if its text is null, has no letter, needs as many phrases in two
-    languages, or needs more bits a symbol than labelled text of the language does
-    (``_limits``): text of no learned language. Where no row has a language nothing
-    can be learned and every row with a letter stays. Rows of a repeated id are judged
-    each by its own text, very long ones whole; no row: no row.
+    A row goes if its text is null, has no letter, or needs far more bits a symbol than
+    labelled text of the language does (``_limits``): text of no learned language. Short
+    texts that two languages fit alike have the score 0 and stay. Where no row has a
+    language nothing can be learned and every row with a letter stays. Rows of a repeated
+    id are judged each by its own text, very long ones whole; no row: no row.
     """
     sample = tuple(training_sample(docs, rows, languages))
     if not sample:
@@ -334,6 +337,6 @@ def keep_identified(docs: DataFrame, above: float = 0.0, rows: int = SAMPLE_ROWS
         parser = _parser(sample)
         for batch, data, offsets in slices(batches, "text"):
             langs, scores = parser.predict(data, offsets, limit)
-            yield batch.filter(pc.and_(pc.not_equal(pa.array(langs), UNDETERMINED), pa.array(scores > above)))
+            yield batch.filter(pc.and_(pc.not_equal(pa.array(langs), UNDETERMINED), pa.array(scores >= least)))
 
     return map_batches(docs, scan, docs.schema, KEEPS)

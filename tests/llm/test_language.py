@@ -81,7 +81,14 @@ def test_text_of_no_learned_language_goes(spark):
     both = docs.union(spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(noise)], docs.schema))
     kept = {r.doc_id for r in keep_identified(both).select("doc_id").collect()}
     assert not kept & {10**9 + i for i in range(3)}
-    assert len(kept) >= 0.995 * docs.count()
+    assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text)}
+
+
+def test_texts_that_two_languages_fit_alike_stay(spark):
+    ids = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5][:4]
+    docs = spark.createDataFrame([(i, "alpha beta gamma", "en" if k % 2 else "de") for k, i in enumerate(ids)] + [(100, "beta", None)], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.score for r in language_id(docs).collect()}[100] == 0
+    assert 100 in {r.doc_id for r in keep_identified(docs).collect()}
 
 
 def test_held_out_accuracy(spark, sf_dir):
