@@ -4,7 +4,9 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that the stage befo
 kept; what a stage returns is written as Parquet and reread. All but the last return
 the columns of documents. Stages define each odd case as their operators do: null or
 empty texts fall to the quality and language stages, rows with a null doc_id pass,
-an empty table stays empty.
+an empty table stays empty. Rows that share a doc_id are judged each by its own text,
+ties go as the operators say, very long texts are read whole, and columns with
+clashing names pass through every stage but the last unchanged.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that no language needs fewer phrases for than the others, or that have no letter."""
+    """Drops the documents without a letter and those far from the labelled text of every language."""
     return keep_identified(docs)
 
 
