@@ -134,7 +134,8 @@ def mix(docs: DataFrame, domain: Column, weights: DataFrame, tokens: int | None
     ``n_tokens`` only for the document in which a leaf's prefix ends; a leaf's
     ``taken`` add up to its budget. Documents without a token are never taken. Null
     names count as ``(none)``, null ids as one more id; rows that are alike in id and
-    tokens are taken in any order. No row: no row.
+    tokens are taken in any order. Very long texts count with all their tokens; other
+    columns are not read, whatever their names. No row: no row.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_named(docs, domain), count_tokens(docs["text"]).alias("tokens"))

@@ -194,19 +194,21 @@ def score(docs: DataFrame, forest: Forest) -> DataFrame:
     return map_batches(source, scan, "doc_id long, score double")
 
 
-def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted): fits on ``labels`` (doc_id, quality) and scores every row of ``docs``.
+def quality(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, held_out, score, predicted): fits on at most ``most`` rows of ``labels`` (doc_id, quality) and scores every row of ``docs``.
 
     Equal texts have equal scores. With no labels every score is 0.5. A row with a
-    null doc_id is scored and counts as held out.
+    null doc_id is scored and counts as held out. Rows of a repeated id are scored each by
+    its own text, very long texts whole; no other column is read, whatever its name. Of
+    splits that gain alike the first feature and the least threshold count. No row: no row.
     """
-    scored = score(docs, fit(*training_rows(docs, labels)))
+    scored = score(docs, fit(*training_rows(docs, labels, most)))
     return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score ``least`` or more; columns are unchanged. With no labels all rows stay."""
-    forest = fit(*training_rows(docs, labels))
+def keep_quality(docs: DataFrame, labels: DataFrame, least: float = 0.5, most: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, as ``quality`` does; columns are unchanged. With no labels all rows stay."""
+    forest = fit(*training_rows(docs, labels, most))
 
     def scan(batches: Iterator[pa.RecordBatch]):
         for batch, data, offsets in slices(batches):

@@ -93,7 +93,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     has that record's id and status and the merged headers.
 
     A null kind, url or ts resolves nothing and serves no other; null headers are empty.
-    Repeated rows come out as often as they are there. No row: no row.
+    Repeated rows come out as often as they are there; other columns are not read,
+    whatever their names, and urls and headers of any length are compared whole. No row: no row.
     """
     scratch = Scratch(records.sparkSession, "revisits")
     rows = records.select(

@@ -222,7 +222,9 @@ def round_trips(docs: DataFrame, model: bytes) -> DataFrame:
 
     ``pieces_md5`` is taken over the ids as little-endian 32-bit integers. A null text
     counts as empty. Encoding and decoding meet in one pass, so that ids of the whole
-    corpus need not leave the worker.
+    corpus need not leave the worker. Repeated rows come out as often as they are there,
+    very long texts are encoded whole, and other columns are not read, whatever their
+    names; segmentations of one score go as ``Codec`` says. No row: no row.
     """
     def scan(batches: Iterator[pa.RecordBatch]):
         own = codec(model)

@@ -53,3 +53,46 @@ def test_edge_cases(spark):
     assert quality(docs.limit(0), labels).collect() == []
     assert {r.score for r in quality(docs, labels.limit(0)).collect()} == {0.5}
     assert keep_quality(docs, labels.limit(0)).columns == docs.columns and keep_quality(docs, labels.limit(0)).count() == 5
+
+
+def grown(x, y, trees, depth, rate, smooth, least):
+    """Scores by trees grown with an exhaustive search over all distinct values, a row at a time."""
+    base = (sum(y) + 0.5) / (len(y) + 1)
+    raw = [float(np.log(base / (1 - base)))] * len(y)
+
+    def split(rows, left):
+        g, h = sum(slope[i] for i in rows), sum(bend[i] for i in rows)
+        best = (1e-6, None)
+        for j in range(len(x[0])) if left and len(rows) >= 2 * least else ():
+            for cut in sorted({x[i][j] for i in rows}):
+                low = [i for i in rows if x[i][j] <= cut]
+                if least <= len(low) <= len(rows) - least:
+                    gl, hl = sum(slope[i] for i in low), sum(bend[i] for i in low)
+                    gain = gl**2 / (hl + smooth) + (g - gl) ** 2 / (h - hl + smooth) - g**2 / (h + smooth)
+                    if gain > best[0] + 1e-12:
+                        best = (gain, (j, cut))
+        if best[1] is None:
+            for i in rows:
+                moved[i] = rate * g / (h + smooth)
+            return
+        j, cut = best[1]
+        split([i for i in rows if x[i][j] <= cut], left - 1)
+        split([i for i in rows if x[i][j] > cut], left - 1)
+
+    for _ in range(trees):
+        p = [1 / (1 + np.exp(-r)) for r in raw]
+        slope, bend, moved = [b - a for a, b in zip(p, y, strict=True)], [a * (1 - a) for a in p], [0.0] * len(y)
+        split(list(range(len(y))), depth)
+        raw = [r + m for r, m in zip(raw, moved, strict=True)]
+    return 1 / (1 + np.exp(-np.array(raw)))
+
+
+def test_growing_against_exhaustive_search():
+    rng = np.random.default_rng(12)
+    x = np.round(rng.normal(size=(60, 3)), 2)
+    y = ((x[:, 0] + 0.5 * x[:, 1] ** 2 + rng.normal(size=60) * 0.3) > 0.3).astype(float)
+    options = dict(trees=6, depth=3, rate=0.3, smooth=1.0, least=4)
+    # As many bins as rows, so that every distinct value is an edge.
+    forest = fit(x, y, bins=2000, **options)
+    assert np.allclose(forest.scores(x), grown(x.tolist(), y.tolist(), **options), atol=1e-9)
+    assert ((forest.scores(x) > 0.5) == (y == 1)).mean() > 0.9
