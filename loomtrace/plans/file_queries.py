@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loomtrace.files import build
 from loomtrace.functions.file_metrics import EVALUATOR
 from loomtrace.plans.expression import score_attempts
+from loomtrace.plans import scripts
 from loomtrace.plans.registry import query
 from loomtrace.sources.tables import table
 
@@ -94,3 +95,16 @@ def evaluators(spark, sf_dir):
     attempts = table(spark, sf_dir, "events").select(F.col("event_id").alias("attempt"), F.col("event_type").alias("task"), action.alias("last_action"), texts.alias("texts"), files.alias("files"))
     scored = score_attempts(attempts, EVALUATORS, EVALUATOR)
     return scored.select("attempt", "task", "score", F.col("error").isNotNull().alias("refused"))
+
+
+@query("q_setup_steps", """SELECT page_id AS id, 1 + (page_id % 2)::BIGINT AS steps, (page_id % 5 = 4)::BIGINT AS wrong, CASE WHEN page_id % 5 <> 4 THEN page_id % 7 ELSE 0 END::DOUBLE AS seconds, CASE WHEN page_id % 2 = 1 THEN url END AS tab FROM pages""")
+def setup_steps(spark, sf_dir):
+    """Setup scripts of a task for every page, read into steps: a wait, in some not written right, and in every other one a tab."""
+    wait = F.when(F.col("page_id") % 5 == 4, "_sleep_setup(sec=1)").otherwise(F.concat(F.lit("_sleep_setup(seconds="), F.col("page_id") % 7, F.lit(")")))
+    tab = F.concat(F.lit("_chrome_open_tabs_setup(urls_to_open=['"), "url", F.lit("'])"))
+    tasks = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.array(wait).alias("config"), F.when(F.col("page_id") % 2 == 1, F.array(tab)).alias("postconfig"))
+    steps = scripts.setup_steps(tasks)
+    counts = steps.groupBy("id").agg(F.count("*").alias("steps"), F.count("error").alias("wrong"))
+    waits = scripts.waits(steps.filter("error is null")).groupBy("id").agg(F.sum("seconds").alias("seconds"))
+    found = counts.join(waits, "id", "left").join(scripts.opened_tabs(steps).select("id", F.col("url").alias("tab")), "id", "left")
+    return found.select("id", "steps", "wrong", F.coalesce("seconds", F.lit(0.0)).alias("seconds"), "tab")

@@ -384,3 +384,28 @@ def test_every_evaluator_of_the_corpus_compiles_or_says_why(spark):
 
 def test_names_of_the_language():
     assert len(EVALUATOR) >= 125 and len(GETTERS) >= 50 and all(getattr(f, "takes_files", False) for f in FILE_METRICS.values())
+
+
+def test_setup_scripts_as_steps(spark):
+    from loomtrace.plans import scripts as S
+
+    assert S.read_step("_launch_setup(['a', 'b'], shell=True)") == ("_launch_setup", {"command": '["a", "b"]', "shell": "true"}, None)
+    for script, error in (("_sleep_setup()", "missing seconds"), ("_sleep_setup(seconds=x)", "no literal"), ("fly(1)", "no such function"), ("1 +", "syntax"), ("1", "no call"), ("_open_setup(path='x', y=1)", "unknown y"), ("_sleep_setup(1, 2)", "too many arguments")):
+        assert S.read_step(script)[2] == error, script
+    visits = "[{'url': 'u', 'title': 't', 'visit_time_from_now_in_seconds': 60}]"
+    rows = [(1, [f"_update_browse_history_setup(history={visits})", "_download_setup(files=[{'url': 'a', 'path': 'b'}])"], ["_sleep_setup(seconds=1.5)", "_sleep_setup(2)"]), (2, None, [])]
+    steps = S.setup_steps(spark.createDataFrame(rows, "id long, config array<string>, postconfig array<string>"))
+    assert [(r.id, r.phase, r.seconds) for r in S.waits(steps).orderBy("phase").collect()] == [(1, "config", 0.0), (1, "postconfig", 3.5)]
+    assert [tuple(r) for r in S.downloads(steps).collect()] == [(1, "config", 1, "a", "b")]
+    seen = S.history_rows(steps, F.to_timestamp(F.lit("1970-01-01 00:01:00"))).collect()
+    assert [tuple(r) for r in seen] == [(1, "u", "t", 11_644_473_600_000_000)]
+
+
+def test_catalogue_of_functions(spark):
+    from loomtrace.plans import scripts as S
+
+    catalog = S.function_catalog(spark)
+    kinds = {r.kind: r["count"] for r in catalog.groupBy("kind").count().collect()}
+    assert kinds["setup"] == 20 and kinds["getter"] == len(GETTERS) and kinds["metric"] == len(EVALUATOR)
+    text = {r.kind: r.text for r in S.formatted_catalog(catalog).collect()}["setup"]
+    assert "- _launch_setup(command, shell=None): " in text.split("\n")
