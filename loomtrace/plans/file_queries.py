@@ -62,7 +62,7 @@ def _texts(r) -> tuple[bytes, bytes]:
 
 
 @query("q_document_files", """WITH t AS (SELECT item_id, text, CASE WHEN item_id % 2 = 1 THEN upper(text) ELSE text || ' end' END AS last FROM benchmark),
-f AS (SELECT item_id, text, last, CASE WHEN item_id % 3 <> 0 THEN lower(last) ELSE text END AS other FROM t), n AS (SELECT item_id, trim(regexp_replace(text || ' ' || last, '\s+', ' ', 'g')) AS a, trim(regexp_replace(text || ' ' || other, '\s+', ' ', 'g')) AS b FROM f)
+f AS (SELECT item_id, text, last, CASE WHEN item_id % 3 <> 0 THEN lower(last) ELSE text END AS other FROM t), n AS (SELECT item_id, trim(regexp_replace(text || ' ' || last, '\\s+', ' ', 'g')) AS a, trim(regexp_replace(text || ' ' || other, '\\s+', ' ', 'g')) AS b FROM f)
 SELECT item_id, (a = b)::INT::DOUBLE AS score, (lower(a) = lower(b))::INT::DOUBLE AS folded FROM n""")
 def document_files(spark, sf_dir):
     """Documents of every benchmark text compared without blanks, and without case."""
