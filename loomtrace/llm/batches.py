@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Bytes of text that one step of a kernel works on; one longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Bytes and rows of a batch that goes to a Python worker at most, unless the session asks for fewer.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
+BATCH_BYTES, BATCH_ROWS = 2 << 20, 1_000
 
 
 #: What kernels keep in a worker from task to task, by name.

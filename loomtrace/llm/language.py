@@ -15,6 +15,7 @@ from the state in which that block ended. So phrases are those of the whole text
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 
@@ -94,6 +95,7 @@ class CrossParser:
                 rows.append(text[:left])
                 left -= len(rows[-1])
             table = _parse_table([self.codes[k][np.frombuffer(text, np.uint8)].tolist() for text in rows], len(symbols) + 1, base)
+            gc.collect()  # an automaton's dictionaries go before the next one's come
             self.roots.append(base)
             self.bits.append(math.log2(sum(map(len, rows)) + 2))
             base += len(table)
