@@ -100,7 +100,11 @@ class CrossParser:
             self.bits.append(math.log2(sum(map(len, rows)) + 2))
             base += len(table)
             tables.append(table)
-        self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
+        self.table, at = np.empty(base, np.int32), 0
+        while tables:  # each goes as it is copied, so that the tables are not held twice
+            part = tables.pop(0)
+            self.table[at : at + len(part)] = part
+            at += len(part)
 
     def _walk(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(phrases that end, last state) of walks over symbols[:, start:start + length] of each row; the longest come first."""
