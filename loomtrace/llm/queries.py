@@ -15,6 +15,7 @@ from loomtrace.llm.mixing import mix
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.oracles import REVISITS_SQL, licenses_sql, mixing_sql
 from loomtrace.llm.quality import quality
+from loomtrace.llm.ranked import ranked, ranked_sql
 from loomtrace.llm.revisits import crawl_records, restored
 from loomtrace.llm.sentencepiece import MODEL, load_model, round_trips
 from loomtrace.llm.url_filter import filter_urls, host_and_path
@@ -139,3 +140,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of all documents that are like a licence template."""
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_ranked_search", ranked_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

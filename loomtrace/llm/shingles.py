@@ -25,9 +25,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first): words of text i have hashes[first[i]:first[i + 1]]; A-Z count as a-z."""
-    solid = ~_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first): words of text i have hashes[first[i]:first[i + 1]]; A-Z count as a-z, and ``between`` has the bytes of no word."""
+    solid = ~between[data]
     if not solid.any():
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
     before = np.empty_like(solid)

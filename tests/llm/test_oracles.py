@@ -14,4 +14,4 @@ def test_against_sql(spark, sf_dir, name):
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
