@@ -18,6 +18,7 @@ from loomtrace.llm.quality import quality
 from loomtrace.llm.ranked import ranked, ranked_sql
 from loomtrace.llm.revisits import crawl_records, restored
 from loomtrace.llm.sentencepiece import MODEL, load_model, round_trips
+from loomtrace.llm.toxicity import toxicity
 from loomtrace.llm.url_filter import filter_urls, host_and_path
 from loomtrace.sources.tables import table
 
@@ -146,3 +147,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document by calibrated boosted trees."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

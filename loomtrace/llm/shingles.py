@@ -25,11 +25,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first): words of text i have hashes[first[i]:first[i + 1]]; A-Z count as a-z, and ``between`` has the bytes of no word."""
+def runs(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, lengths) of the words of all texts in order; ``between`` has the bytes of no word."""
     solid = ~between[data]
     if not solid.any():
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     before = np.empty_like(solid)
     before[0], before[1:] = False, solid[:-1]
     inner = offsets[(offsets > 0) & (offsets < len(data))]
@@ -38,7 +38,14 @@ def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -
     after = np.empty_like(solid)
     after[-1], after[:-1] = False, solid[1:]
     after[inner - 1] = False
-    lengths = np.flatnonzero(solid & ~after) + 1 - starts
+    return starts, np.flatnonzero(solid & ~after) + 1 - starts
+
+
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first): words of text i have hashes[first[i]:first[i + 1]]; A-Z count as a-z, and ``between`` has the bytes of no word."""
+    starts, lengths = runs(data, offsets, between)
+    if not len(starts):
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
     low = _LOWER[data]
     hashes = lengths.astype(np.uint64) * _STEP
     # Column by column over the words that are still that long; the few very long
