@@ -25,14 +25,16 @@ from loomtrace.llm.shingles import mix, runs
 
 #: Labelled rows that the classifier is fitted on at most, those with the least hash of doc_id, and entries of its lexicon at most.
 SAMPLE_ROWS, ENTRIES = 20_000, 50_000
-#: Folds of the labelled rows.
-FOLDS = 5
+#: Folds of the labelled rows, and levels of the trees.
+FOLDS, DEPTH = 5, 3
 #: Bytes of the shortest and the longest beginning of a word that is an entry.
 SHORTEST, LONGEST = 4, 12
 #: Words on either side of a lexicon word where a second person counts as near.
 NEAR = 5
+#: Sightings at the usual share of toxic texts that are added to those of every entry.
+PRIOR = 4.0
 #: Log-odds from which a word counts to a tier of the lexicon.
-TIERS = (0.7, 1.5, 2.5, 4.0)
+TIERS = (1.5, 2.25, 3.0, 4.0)
 #: Words that address a reader in English, German, French and Spanish.
 SECOND_PERSON = (
     "you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "deiner", "euch", "euer", "ihr", "tu", "toi", "te",
@@ -172,7 +174,7 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, fold: np.n
     seen = np.concatenate(([0], np.cumsum(second)))
     place = np.arange(len(starts))
     around = seen[np.minimum(place + NEAR + 1, first[owner + 1])] - seen[np.maximum(place - NEAR, first[owner])]
-    near = np.bincount(owner[(weight >= TIERS[1]) & (around > 0)], minlength=n)
+    near = np.bincount(owner[(weight >= TIERS[0]) & (around > 0)], minlength=n)
     letters = _LETTER[data]
     upper = np.bincount(of_byte[_UPPER[data]], minlength=n)
     uppers = np.concatenate(([0], np.cumsum(_UPPER[data])))
@@ -279,12 +281,12 @@ def learn_lexicon(rows: DataFrame, entries: int = ENTRIES) -> Lexicon:
     for f in range(FOLDS + 1):
         rest = [g for g in range(FOLDS) if g != f]
         a, t = amounts[:, rest].sum(axis=1), totals[rest].sum(axis=0)
-        weights[:, f] = np.log((a[:, 1] + 0.5) / (t[1] + 1)) - np.log((a[:, 0] + 0.5) / (t[0] + 1))
-        # An entry that the other folds' toxic texts hardly have is none of theirs.
-        weights[a[:, 1] < 2, f] = 0
+        # The log-odds of a text with the entry to be toxic, against those of any text; few sightings stay near 0.
+        share = (t[1] + 0.5) / (t.sum() + 1)
+        weights[:, f] = np.log((a[:, 1] + PRIOR * share) / (a[:, 0] + PRIOR * (1 - share))) - np.log(share / (1 - share))
     hashes = np.array([r.entry for r in kept], np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return Lexicon(hashes[order], np.maximum(0, weights[order]))
+    return Lexicon(hashes[order], np.where(weights[order] >= TIERS[0], weights[order], 0))
 
 
 @dataclass
@@ -316,8 +318,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS, entries:
     apart = np.zeros(len(y))
     for f in range(FOLDS):
         if (mine := fold == f).any():
-            apart[mine] = fit(x[~mine], y[~mine]).scores(x[mine])
-    return Model(lexicon, fit(x, y), isotonic(apart, y))
+            apart[mine] = fit(x[~mine], y[~mine], depth=DEPTH).scores(x[mine])
+    return Model(lexicon, fit(x, y, depth=DEPTH), isotonic(apart, y))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, least: float = 0.3, most: int = SAMPLE_ROWS) -> DataFrame:
