@@ -12,6 +12,7 @@ from loomtrace.llm.language import language_id
 from loomtrace.llm.licenses import scan
 from loomtrace.llm.media import text_media
 from loomtrace.llm.mixing import mix
+from loomtrace.llm.names import name_join, name_join_sql
 from loomtrace.llm.near_duplicates import near_duplicates
 from loomtrace.llm.oracles import REVISITS_SQL, licenses_sql, mixing_sql
 from loomtrace.llm.quality import quality
@@ -149,6 +150,12 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op11_name_join", name_join_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendors and clients whose names are at most two edits apart."""
+    return name_join(table(spark, sf_dir, "vendors"), table(spark, sf_dir, "clients"))
+
+
 @query("op12_toxicity")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document by calibrated boosted trees."""
