@@ -37,6 +37,7 @@ from loomtrace.files.package import Package, attribute, child, inside, text_of,
 from loomtrace.files.values import fits_rule, records_fit
 from loomtrace.files.workbooks import Book, same_books
 from loomtrace.functions import images as I
+from loomtrace.functions.mail import same_folders
 from loomtrace.functions.metrics import METRICS
 from loomtrace.functions.text import indel
 
@@ -967,22 +968,17 @@ def check_thunderbird_filter(result, rules):
     return records_fit([f for f in filters if "condition" in f], rules)
 
 
-def _mails(data: bytes, ignore_status: bool, ignore_keys: bool, remove_deleted: bool, remove_duplicate: bool) -> list[str]:
-    found = []
-    for mail in _text(data).strip().split("FROM - "):
-        if mail.strip() or (remove_deleted and re.search(r"X-Mozilla-Status: 000[89]", mail)):
-            continue  # only empty parts are messages to the rule that this follows
-        mail = re.sub(r"X-Mozilla-Status\d?:[\s\d]+", "", mail) if ignore_status else mail
-        mail = re.sub(r"X-Mozilla-Keys:[^\n]*?\n(MIME-Version)", r"\1", mail) if ignore_keys else mail
-        found.append("FROM - " + mail.strip())
-    return sorted(set(found) if remove_duplicate else found)
+def check_thunderbird_folder(result=None, expected=None, **options):
+    """1.0 if each mail folder holds the messages of the one expected; files of several names are compared in turn."""
+    one, two = _content(result), _content(expected)
+    if not any(_is_landed(x) and len(x.names) > 1 for x in (result, expected)):
+        return same_folders(one, two, **options)
+    pairs = F.transform(F.arrays_zip(one.alias("a"), two.alias("b")), lambda x: same_folders(x["a"], x["b"], **options))
+    return F.coalesce(F.array_min(pairs), F.lit(0.0))
 
 
-@file_metric()
-def check_thunderbird_folder(result, expected, ignore_status=False, ignore_keys=False, remove_deleted=True, remove_duplicate=True):
-    pairs = list(zip(result, expected, strict=False)) if isinstance(expected, list) else [(result, expected)]
-    form = lambda x: _mails(x, ignore_status, ignore_keys, remove_deleted, remove_duplicate)
-    return all(a is not None and form(a) == form(b) for a, b in pairs)
+check_thunderbird_folder.takes_files = True
+FILE_METRICS["check_thunderbird_folder"] = check_thunderbird_folder
 
 
 @file_metric()

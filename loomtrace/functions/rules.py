@@ -46,16 +46,32 @@ def cell_range(reference: str) -> tuple[int, int, int, int]:
     return min(r0, r1), min(c0, c1), max(r0, r1), max(c0, c1)
 
 
+def _column(letters: Column) -> Column:
+    """The number of a column by its letters, A being 1."""
+    digit = lambda n: F.ascii(F.substring(letters, n, 1)) - 64
+    few = F.when(F.length(letters) == 1, digit(1)).when(F.length(letters) == 2, digit(1) * 26 + digit(2)).when(F.length(letters) == 3, (digit(1) * 26 + digit(2)) * 26 + digit(3))
+    return F.coalesce(few, F.aggregate(F.split(letters, ""), F.lit(0), lambda n, c: F.when(c == "", n).otherwise(n * 26 + F.ascii(c) - 64)))
+
+
+_CELL = r"\$?([A-Za-z]+)\$?(\d+)"
+_RANGE = rf"^\s*{_CELL}(?::{_CELL})?\s*$"
+
+
 def _boxes(ranges: Column) -> Column:
-    """Structs (r0, c0, r1, c1) of a text of ranges such as ``B2:D10 F1``."""
-    column = lambda cell: F.aggregate(F.split(F.upper(F.regexp_extract(cell, r"^\$?([A-Za-z]+)", 1)), ""), F.lit(0), lambda n, c: F.when(c == "", n).otherwise(n * 26 + F.ascii(c) - 64))
-    row = lambda cell: F.regexp_extract(cell, r"(\d+)$", 1).try_cast("int")
+    """Structs (r0, c0, r1, c1) of a text of ranges such as ``B2:D10 F1``; null for what is no range."""
+    parts = F.split(F.trim(ranges), r"\s+")
+
+    # A step's argument is evaluated once however often the step names it, so each is bound by one of its own.
+    def numbers(part: Column) -> Column:
+        tokens = F.when(part.rlike(_RANGE), F.regexp_extract_all(F.upper(part), F.lit("[A-Z]+|[0-9]+"), F.lit(0)))
+        return F.transform(tokens, lambda t: F.when(t < "A", t.try_cast("int")).otherwise(_column(t)))
 
-    def box(part: Column) -> Column:
-        low, high = F.substring_index(part, ":", 1), F.substring_index(part, ":", -1)
-        return F.struct(F.least(row(low), row(high)).alias("r0"), F.least(column(low), column(high)).alias("c0"), F.greatest(row(low), row(high)).alias("r1"), F.greatest(column(low), column(high)).alias("c1"))
+    def box(n: Column) -> Column:
+        last = F.size(n)
+        column, row = F.get(n, last - 2), F.get(n, last - 1)
+        return F.struct(F.least(n[1], row).alias("r0"), F.least(n[0], column).alias("c0"), F.greatest(n[1], row).alias("r1"), F.greatest(n[0], column).alias("c1"))
 
-    return F.transform(F.split(F.trim(ranges), r"\s+"), box)
+    return F.transform(F.transform(parts, numbers), lambda n: F.when(n.isNotNull(), box(n)))
 
 
 def _listed(ranges) -> list[tuple[int, int, int, int]]:
@@ -104,7 +120,8 @@ def rule(value: Column, method: str, ref) -> Column:
         x = _number(value)
         found = (x > low if rest[0][0] == "t" else x >= low) & (x < high if rest[0][1] == "t" else x <= high)
     elif method == "spreadsheet_range":
-        found = _covers(_boxes(value), ref[0]) & _covered(_boxes(value), ref[1])
+        # As the element of an array the boxes are read once for all tests.
+        found = F.transform(F.array(_boxes(value)), lambda boxes: _covers(boxes, ref[0]) & _covered(boxes, ref[1]))[0]
     elif method in ("str_list_eq", "str_set_eq"):
         parts = F.transform(F.split(F.regexp_replace(value.cast("string"), r"^[\"']+|[\"']+$", ""), ","), lambda x: F.trim(x))
         wanted = F.array(*map(F.lit, ref))

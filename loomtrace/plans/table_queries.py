@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomtrace.functions import landed as L
 from loomtrace.functions import rules as R
 from loomtrace.functions import text as T
+from loomtrace.functions.mail import mail_messages
 from loomtrace.functions.metrics import METRICS
 from loomtrace.operators import compare as C
 from loomtrace.plans.expression import score_expression, validate_tasks
@@ -175,10 +176,11 @@ def pref_last_wins(spark, sf_dir):
 @query("q_mbox_dedup", "WITH m AS (SELECT conv_id, trim(text) AS mail FROM conversations WHERE turn % 3 <> 2) SELECT conv_id, count(DISTINCT mail) AS mails, md5(string_agg(DISTINCT mail, '|' ORDER BY mail)) AS digest FROM m GROUP BY conv_id")
 def mbox_dedup(spark, sf_dir):
     """Mails of a folder in one text, without deleted ones, each counted once and in order."""
-    folder = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.collect_list(F.concat(F.lit("FROM - x\n"), F.when(F.col("turn") % 3 == 2, "Status: 0009\n").otherwise("Status: 0001\n"), "text")), "\n").alias("mbox"))
-    mails = F.filter(F.split("mbox", r"(?:^|\n)FROM - [^\n]*\n"), lambda x: (x != "") & ~x.rlike(r"^Status: 000[89]\n"))
-    clean = F.array_sort(F.array_distinct(F.transform(mails, lambda x: F.trim(F.regexp_replace(x, r"^Status: \d+\n", "")))))
-    return folder.filter(F.size(mails) > 0).select("conv_id", F.size(clean).cast("long").alias("mails"), F.md5(F.array_join(clean, "|").cast("binary")).alias("digest"))
+    status = F.when(F.col("turn") % 3 == 2, "000b").otherwise("0001")
+    mail = F.concat(F.lit("From - today\nX-Mozilla-Status: "), status, F.lit("\nX-Mozilla-Keys: a\n\tb\n\n"), "text")
+    folder = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.collect_list(mail), "\n").alias("mbox"))
+    mails = folder.select("conv_id", mail_messages(F.col("mbox"), ignore_status=True, ignore_keys=True).alias("mails"))
+    return mails.filter(F.size("mails") > 0).select("conv_id", F.size("mails").cast("long").alias("mails"), F.md5(F.array_join("mails", "|").cast("binary")).alias("digest"))
 
 
 # --- tables -----------------------------------------------------------------------

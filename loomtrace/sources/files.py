@@ -21,6 +21,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomtrace.operators import memory
+from loomtrace.sources.snapshots import KeyedStore
+
 TASK = "id string, snapshot string, instruction string, source string, config array<string>, related_apps array<string>, trajectory string, evaluator struct<postconfig: array<string>, eval: string>"
 
 
@@ -46,9 +49,14 @@ def read_memory(spark: SparkSession, path: str) -> DataFrame:
     return found.withColumn("solvable", F.when(old, F.lit(False)).otherwise(F.col("solvable"))).withColumn("executable", F.coalesce("executable", "verified")).drop("verified")
 
 
-def write_results(results: DataFrame, path: str) -> None:
-    """Results as JSON lines, the last row of each id only."""
-    results.write.mode("overwrite").json(path)
+def result_store(spark: SparkSession, path: str, order: tuple[str, ...] = ("finished_at",), buckets: int = 64) -> KeyedStore:
+    """Results by id, in versions: the row that is last in ``order`` counts, and what was there before stays unless it is replaced."""
+    return KeyedStore(spark, path, ["id"], order, buckets)
+
+
+def write_results(results: DataFrame, path: str, order: tuple[str, ...] = ("finished_at",)) -> None:
+    """Results as JSON lines in place of those at ``path``: the last row of each id by ``order`` only."""
+    memory.upsert(results, ["id"], list(order)).drop("first_seen").write.mode("overwrite").json(path)
 
 
 def append_steps(steps: DataFrame, path: str) -> None:

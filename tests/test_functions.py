@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomtrace.functions.mail import header, same_folders
 from loomtrace.functions import images, rules, text, times, urls
 from loomtrace.functions.metrics import METRICS
 from loomtrace.plans.expression import ExpressionError, called_names, compile_expression, score_expression
@@ -165,3 +166,24 @@ def test_metrics_that_differed(spark):
     assert docs(("ab", "cd"), ("ab", "cx"), ignore_blanks=False, fuzzy_match=True) == 0.75
     assert docs(("ab", "cd"), ("ab",), ignore_blanks=False, fuzzy_match=True) == 0
     assert docs(("b", "A"), ("a", "B"), ignore_order=True, ignore_case=True) == 0 and docs(("b", "a"), ("A", "B"), ignore_order=True, ignore_case=True) == 1
+
+
+def test_ranges_that_are_none(spark):
+    for got in ("A1B2", "1A", "", " ", "A", "7", "A1:", "A1:B", None):
+        assert value(spark, rules.rule(F.lit(got), "spreadsheet_range", ([], "A1:Z99"))) is False or got in ("", " ")
+    assert value(spark, rules.rule(F.lit("$b$10:a1 aaa3"), "spreadsheet_range", (["B2", "A10", "AAA3"], "A1:AAZ10")))
+
+
+def test_mail_folders(spark):
+    mail = lambda status, body, keys="": f"From - Mon\r\nX-Mozilla-Status: {status}\r\nX-Mozilla-Status2: 00800000\r\nX-Mozilla-Keys: {keys}\r\n more\r\nSubject: hi\r\n there\r\n\r\n{body}\r\n"
+    same = lambda a, b, **o: value(spark, same_folders(F.lit(a.encode()), F.lit(b.encode() if b is not None else None), **o))
+    assert same(mail("0001", "one"), mail("0001", "two")) == 0.0 and same(mail("0001", "one"), mail("0001", "one")) == 1.0
+    # Deleted ones do not count, nor do order and repetition, nor what the options leave out.
+    assert same(mail("0009", "gone") + mail("0001", "b") + mail("0001", "a"), mail("0001", "a") + mail("0001", "b") + mail("0001", "a")) == 1.0
+    assert same(mail("0009", "gone"), "", remove_deleted=True) == 1.0 and same(mail("0009", "gone"), "", remove_deleted=False) == 0.0
+    assert same(mail("0001", "a") * 2, mail("0001", "a"), remove_duplicate=False) == 0.0
+    assert same(mail("0001", "a"), mail("0011", "a")) == 0.0 and same(mail("0001", "a"), mail("0011", "a"), ignore_status=True) == 1.0
+    assert same(mail("0001", "a", "x"), mail("0001", "a", "y")) == 0.0 and same(mail("0001", "a", "x"), mail("0001", "a", "y"), ignore_keys=True) == 1.0
+    # A status in a body is no header, and a folder that is missing is like none.
+    assert same("From - x\nA: b\n\nX-Mozilla-Status: 0009\n", "") == 0.0 and same("", None) == 0.0
+    assert value(spark, header(F.lit(mail("0001", "a").replace("\r\n", "\n")), "subject")) == "hi there"
