@@ -9,7 +9,7 @@ from loomtrace.sources.shared import new_folder
 from loomtrace.sources.snapshots import KeyedStore
 from loomtrace.sources.tables import table
 
-_LAST = "SELECT client_id, max(struct_pack(v := valid_at, s := seq, c := change_id, o := op, a := source, g := segment, t := city, b := balance)) AS x FROM client_changes GROUP BY client_id"
+_LAST = "SELECT client_id, max(struct_pack(k := coalesce(valid_at, TIMESTAMP '1900-01-01'), s := seq, c := change_id, o := op, a := source, g := segment, t := city, b := balance, v := valid_at)) AS x FROM client_changes GROUP BY client_id"
 
 
 @query("q_store_upsert", f"SELECT client_id, x.c AS change_id, x.v AS valid_at, x.g AS segment, x.t AS city, x.b AS balance FROM ({_LAST}) WHERE x.o IS DISTINCT FROM 'D'")
