@@ -1,11 +1,13 @@
 """Near-duplicate tasks by the cosine of their embeddings.
 
-Comparison stays within a domain. Stored vectors lie in cells around pivots, and a row
-meets only the cells that the triangle inequality of angles cannot rule out, so no near
-pair is lost. Cells and the rows that meet them are cut into blocks of bounded size,
-each pair of which is one matrix product; a domain with a third of all rows is many
-such tasks. With clustered vectors and a high threshold few cells are met; in the worst
-case the work is that of all blocks, with nothing but near pairs coming out.
+Comparison stays within a domain. The stored vectors of a domain lie in cells around
+pivots, one cell for BLOCK of them and CELLS at most, and a row meets only the cells that
+the triangle inequality of angles cannot rule out, so no near pair is lost. A domain of
+up to BLOCK vectors is one cell without a pivot. Cells and the rows that meet them are cut
+into blocks of bounded size, each pair of which is one matrix product; a vector is copied
+once for each block that meets its own cell, so once where a cell and what meets it are small.
+Pivots, cells and counts are tables; nothing of them goes to the driver or into a broadcast
+that their number would make large.
 
 ``greedy`` takes rows in order and rejects a row that is near a row accepted before;
 only rows that are near some earlier row at all can depend on another, so those are
@@ -14,7 +16,6 @@ settled in rounds of joins and every other row is accepted at once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 
 from loomtrace.sources.shared import ensure_checkpoints
 
-#: Rows of a block, and pivots of all domains together at most: they go to every worker.
-BLOCK, PIVOTS = 2_000, 4_096
+#: Vectors of a block, cells of a domain at most, and rows that one task assigns to cells.
+BLOCK, CELLS, SALT = 4_096, 256, 20_000
+#: Rows of a product that is held at once.
+STRIPE = 1_024
 #: Slack of angles for rounding, in radians.
 _SLACK = 1e-6
 
@@ -61,38 +64,116 @@ def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(_product(a, b), -1, 1))
 
 
-def _named(domain: str, n: int) -> pd.Series:
-    """A column of one text, as objects: those turn into one Arrow array, of no rows too."""
-    return pd.Series([domain] * n, dtype=object)
+def _texts(values, n: int) -> pd.Series:
+    """A column of texts, as objects: those turn into one Arrow array, of no rows too."""
+    return pd.Series([values] * n if isinstance(values, str) else values, dtype=object)
 
 
-def _packed(units: np.ndarray) -> list[bytes]:
-    return [row.tobytes() for row in units]
+def vectors(rows: DataFrame) -> DataFrame:
+    """(id, domain, embedding) of the rows that have a domain and a vector, the domain as text."""
+    return rows.filter("domain is not null and embedding is not null").select("id", F.col("domain").cast("string").alias("domain"), "embedding")
 
 
-def _unpacked(values: pd.Series) -> np.ndarray:
-    rows = [np.frombuffer(v) for v in values]
-    width = max((len(r) for r in rows), default=0)
-    out = np.zeros((len(rows), width))
-    for row, r in zip(out, rows, strict=True):
-        row[: len(r)] = r
-    return out
-
-
-def _pivots(store: DataFrame) -> dict[str, np.ndarray]:
-    """Unit vectors of each domain, about one for BLOCK rows and PIVOTS in all at most: the first by a hash of the id."""
-    sizes = store.groupBy("domain").agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n"), F.count("*")).first()
-    each = max(BLOCK, -(-(total[0] or 0) // PIVOTS))
-    known = sizes.orderBy(F.desc("n"), "domain").limit(PIVOTS)
-    wanted = known.select("domain", F.greatest(F.lit(1), F.floor(F.col("n") / each)).cast("int").alias("wanted"))
+def pivots_of(store: DataFrame) -> DataFrame:
+    """(domain, cell, pivot): about one stored vector in BLOCK of each domain that has more, CELLS at most, the first by a hash of the id."""
+    sizes = store.groupBy("domain").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK)
+    sizes = sizes.withColumn("wanted", F.least(F.lit(CELLS), F.ceil(F.col("n") / BLOCK)).cast("int"))
     # The least hashes among those that are low enough to hold them all but for a chance of none.
     low = F.xxhash64(F.col("id").cast("string"), F.lit(1)).bitwiseAND(F.lit((1 << 62) - 1)) / F.lit(float(1 << 62))
-    share = F.least(F.lit(1.0), F.lit(4.0) / each + F.lit(40.0) / F.col("n"))
-    drawn = store.join(F.broadcast(known.join(wanted, "domain")), "domain").withColumn("low", low).filter(F.col("low") <= share)
+    drawn = store.join(sizes, "domain").withColumn("low", low).filter(F.col("low") <= (F.col("wanted") * 4 + 40) / F.col("n"))
+    # At most a few times CELLS rows of a domain meet here, whatever its size.
     listed = drawn.groupBy("domain", "wanted").agg(F.sort_array(F.collect_list(F.struct("low", "embedding"))).alias("rows"))
-    rows = listed.select("domain", F.slice("rows", F.lit(1), F.col("wanted")).alias("rows")).limit(PIVOTS).collect()
-    return {r.domain: _units(pd.Series([x.embedding for x in r.rows])) for r in rows}
+    rows = listed.select("domain", F.posexplode(F.slice("rows", F.lit(1), F.col("wanted"))).alias("cell", "row"))
+    return rows.select("domain", "cell", F.col("row.embedding").alias("pivot"))
+
+
+def _with_pivots(rows: DataFrame, pivots: DataFrame, function, schema: str) -> DataFrame:
+    """Runs a function of (rows, pivots) of a domain over salted parts of the rows of each domain that has pivots."""
+    known = pivots.groupBy("domain").agg(F.count("*").alias("n_cells"))
+    salts = rows.join(known, "domain").groupBy("domain").agg(F.ceil(F.count("*") / SALT).cast("long").alias("salts"))
+    salted = rows.join(salts, "domain").withColumn("salt", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(2)), F.col("salts"))).drop("salts")
+    copies = pivots.join(salts, "domain").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts")
+    return salted.groupBy("domain", "salt").cogroup(copies.groupBy("domain", "salt")).applyInPandas(function, schema)
+
+
+def place(store: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(other, domain, v, cell, angle): stored rows with the nearest pivot of their domain and the angle to it; cell 0 at a right angle without one."""
+    key, vector = (store.schema[c].dataType.simpleString() for c in ("id", "embedding"))
+
+    def assign(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({"other": left.id, "domain": _texts(left.domain.tolist(), len(left)), "v": left.embedding, "cell": np.zeros(len(left), np.int32), "angle": np.full(len(left), np.pi / 2)})
+        if len(left) and len(right):
+            right = right.sort_values("cell")
+            angles = _angles(_units(left.embedding), _units(right["pivot"]))
+            nearest_ = angles.argmin(axis=1)
+            out["cell"], out["angle"] = right.cell.to_numpy()[nearest_].astype(np.int32), angles[np.arange(len(left)), nearest_]
+        return out
+
+    near = _with_pivots(store, pivots, assign, f"other {key}, domain string, v {vector}, cell int, angle double")
+    # A domain without a pivot needs no product.
+    rest = store.join(pivots.select("domain").distinct(), "domain", "left_anti")
+    return near.unionByName(rest.select(F.col("id").alias("other"), "domain", F.col("embedding").alias("v"), F.lit(0).alias("cell"), F.lit(np.pi / 2).alias("angle")))
+
+
+def cells_of(placed: DataFrame) -> DataFrame:
+    """(domain, cell, radius, n) of placed rows."""
+    return placed.groupBy("domain", "cell").agg(F.max("angle").alias("radius"), F.count("*").alias("n"))
+
+
+def meet(rows: DataFrame, pivots: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
+    """(id, domain, u, cell): rows once for each cell that may hold a near vector; all of a domain's cells where it has no pivot."""
+    key, vector = (rows.schema[c].dataType.simpleString() for c in ("id", "embedding"))
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + _SLACK
+
+    def choose(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"id": left.id[:0], "domain": _texts([], 0), "u": left.embedding[:0], "cell": np.zeros(0, np.int32)})
+        angles = _angles(_units(left.embedding), _units(right["pivot"]))
+        at, cell = np.nonzero(angles <= right.radius.to_numpy()[None, :] + reach)
+        picked = left.iloc[at]
+        return pd.DataFrame({"id": picked.id.to_numpy(), "domain": _texts(picked.domain.tolist(), len(at)), "u": picked.embedding.to_numpy(), "cell": right.cell.to_numpy()[cell].astype(np.int32)})
+
+    around = pivots.join(cells.select("domain", "cell", "radius"), ["domain", "cell"])
+    near = _with_pivots(rows, around, choose, f"id {key}, domain string, u {vector}, cell int")
+    rest = rows.join(pivots.select("domain").distinct(), "domain", "left_anti").join(cells.select("domain", "cell").filter("cell = 0"), "domain")
+    return near.unionByName(rest.select("id", "domain", F.col("embedding").alias("u"), "cell"))
+
+
+def pairs_of(met: DataFrame, placed: DataFrame, threshold: float, earlier: bool = False) -> DataFrame:
+    """(id, other, domain, similarity) of rows and the placed rows of the cells that they meet, a block by a block at a time."""
+    key = placed.schema["other"].dataType.simpleString()
+    sizes = placed.groupBy("domain", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = sizes.join(met.groupBy("domain", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("pieces")), ["domain", "cell"])
+    part = lambda name, of: F.pmod(F.xxhash64(F.col(name).cast("string"), F.lit(3)), F.col(of))
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+    placed = placed.join(sizes, ["domain", "cell"]).withColumn("block", part("other", "blocks")).withColumn("piece", every("pieces"))
+    met = met.join(sizes, ["domain", "cell"]).withColumn("piece", part("id", "pieces")).withColumn("block", every("blocks"))
+    # Small cells share groups, so that a group is worth a task's while however many domains there are.
+    small = (F.col("blocks") == 1) & (F.col("pieces") == 1)
+    group = F.when(small, F.pmod(F.xxhash64("domain", "cell"), F.lit(int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4))).otherwise(F.xxhash64("domain", "cell", "block", "piece"))
+    own = ["domain", "cell", "block", "piece"]
+    left, right = met.select(group.alias("g"), *own, "id", "u"), placed.select(group.alias("g"), *own, "other", "v")
+
+    def multiply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        ids, others, domains, cosines = [], [], [], []
+        stored = {k: v for k, v in right.groupby(own, sort=False)} if len(right) else {}
+        for k, asked in left.groupby(own, sort=False) if len(left) else ():
+            if k not in stored:
+                continue
+            a, b, other = _units(asked.u), _units(stored[k].v), stored[k].other.to_numpy()
+            for low in range(0, len(a), STRIPE):
+                mine = asked.id.to_numpy()[low : low + STRIPE]
+                found = _product(a[low : low + STRIPE], b)
+                near = found >= threshold
+                if earlier:
+                    near &= mine[:, None] > other[None, :]
+                i, j = np.nonzero(near)
+                ids.append(mine[i]), others.append(other[j]), cosines.append(found[i, j]), domains.extend([k[0]] * len(i))
+        if not domains:
+            return pd.DataFrame({"id": left.id[:0], "other": right.other[:0], "domain": _texts([], 0), "similarity": np.zeros(0)})
+        return pd.DataFrame({"id": np.concatenate(ids), "other": np.concatenate(others), "domain": _texts(domains, 0), "similarity": np.concatenate(cosines)})
+
+    return left.groupBy("g").cogroup(right.groupBy("g")).applyInPandas(multiply, f"id {key}, other {key}, domain string, similarity double")
 
 
 def near_pairs(rows: DataFrame, store: DataFrame, threshold: float, earlier: bool = False) -> DataFrame:
@@ -100,63 +181,15 @@ def near_pairs(rows: DataFrame, store: DataFrame, threshold: float, earlier: boo
 
     ``rows`` and ``store`` have id, domain and embedding. With ``earlier`` a row meets
     stored rows of lower id only. A vector of zeros is near nothing above 0, a null vector
-    or domain is near nothing. All near pairs are found.
+    or domain is near nothing. All near pairs are found, of however many domains.
     """
     kind = rows.schema["domain"].dataType
-    store, rows = (f.filter("domain is not null and embedding is not null").select("id", F.col("domain").cast("string").alias("domain"), "embedding") for f in (store, rows))
-    pivots, reach = _pivots(store), float(np.arccos(np.clip(threshold, -1, 1))) + _SLACK
-    nowhere = np.zeros((1, 1))
-    key = store.schema["id"].dataType.simpleString()
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Stored rows with the nearest pivot's number and the angle to it."""
-        for batch in batches:
-            for domain, part in batch.groupby("domain"):
-                units = _units(part.embedding)
-                angles = _angles(units, pivots.get(domain, nowhere))
-                cell = angles.argmin(axis=1)
-                yield pd.DataFrame({"other": part.id.to_numpy(), "domain": _named(domain, len(part)), "v": _packed(units), "cell": cell, "angle": angles[np.arange(len(part)), cell]})
-
-    placed = store.mapInPandas(place, f"other {key}, domain string, v binary, cell int, angle double")
-    # What is known of cells: PIVOTS rows at most.
-    cells = placed.groupBy("domain", "cell").agg(F.max("angle").alias("radius"), F.count("*").alias("n"))
-    known = {(r.domain, r.cell): (r.radius, -(-r.n // BLOCK)) for r in cells.collect()}
-    radii = {d: np.array([known.get((d, k), (-np.inf, 0))[0] for k in range(len(p))]) for d, p in pivots.items()}
-
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows once for each cell that may hold a near one."""
-        for batch in batches:
-            for domain, part in batch.groupby("domain"):
-                if domain not in pivots:
-                    continue
-                units = _units(part.embedding)
-                at, cell = np.nonzero(_angles(units, pivots[domain]) <= radii[domain] + reach)
-                packed = _packed(units)
-                yield pd.DataFrame({"id": part.id.to_numpy()[at], "domain": _named(domain, len(at)), "u": [packed[i] for i in at], "cell": cell.astype(np.int32)})
-
-    met = rows.mapInPandas(meet, f"id {key}, domain string, u binary, cell int")
-    parts = rows.sparkSession.createDataFrame([(d, c, n) for (d, c), (_, n) in known.items()], "domain string, cell int, parts int")
-    block = lambda name: F.pmod(F.xxhash64(name), F.col("parts"))
-    placed = placed.join(F.broadcast(parts), ["domain", "cell"]).withColumn("block", block("other"))
-    # The rows that meet a block are cut too, by as many parts as all rows of the domain would need.
-    asked = rows.groupBy("domain").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("pieces"))
-    placed = placed.join(asked, "domain").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-    met = met.join(F.broadcast(parts), ["domain", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    met = met.join(asked, "domain").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")))
-    on = ["domain", "cell", "block", "piece"]
-    placed, met = (frame.select(*[F.col(c).alias(c) for c in (*on, *own)]) for frame, own in ((placed, ("other", "v")), (met, ("id", "u"))))
-
-    def multiply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "other": [], "domain": _named("", 0), "similarity": []})
-        cosines = _product(_unpacked(left.u), _unpacked(right.v))
-        near = cosines >= threshold
-        if earlier:
-            near &= left.id.to_numpy()[:, None] > right.other.to_numpy()[None, :]
-        i, j = np.nonzero(near)
-        return pd.DataFrame({"id": left.id.to_numpy()[i], "other": right.other.to_numpy()[j], "domain": _named(left.domain.iloc[0], len(i)), "similarity": cosines[i, j]})
-
-    found = met.groupBy(*on).cogroup(placed.groupBy(*on)).applyInPandas(multiply, f"id {key}, other {key}, domain string, similarity double")
+    ensure_checkpoints(rows.sparkSession)
+    store, rows = vectors(store), vectors(rows)
+    pivots = pivots_of(store).checkpoint()
+    placed = place(store, pivots)
+    met = meet(rows, pivots, cells_of(placed), threshold)
+    found = pairs_of(met, placed, threshold, earlier)
     return found.select("id", "other", F.col("domain").cast(kind).alias("domain"), "similarity")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomtrace.operators.vector_index import VectorIndex
+from loomtrace.plans.memory_queries import NEAR, _tasks
 from loomtrace.plans.registry import query
 from loomtrace.sources.shared import new_folder
 from loomtrace.sources.snapshots import KeyedStore
@@ -30,3 +32,14 @@ def store_version(spark, sf_dir):
     first = store.upsert(changes.filter("change_id % 2 = 0"))
     store.upsert(changes)
     return store.read(first).select("client_id", "change_id", "valid_at")
+
+
+@query("q_vector_index", f"""WITH v AS (SELECT vec_id AS id, label AS domain, embedding::DOUBLE[] AS e FROM embeddings)
+SELECT a.id, b.id AS other, a.domain, round(list_cosine_similarity(a.e, b.e), 6) AS similarity FROM v a JOIN v b ON a.domain = b.domain AND a.id % 4 = 3 AND b.id % 4 <> 3 WHERE list_cosine_similarity(a.e, b.e) >= {NEAR}""")
+def vector_index(spark, sf_dir):
+    """The stored vectors near to every fourth one, after a kept index took the others in three inserts, one of them twice."""
+    tasks = _tasks(spark, sf_dir)
+    index = VectorIndex(spark, new_folder(spark, "vectors"), parts=16)
+    for turn in (0, 1, 2, 1):
+        index.insert(tasks.filter(F.pmod("id", F.lit(4)) == turn))
+    return index.near(tasks.filter(F.pmod("id", F.lit(4)) == 3), NEAR).select("id", "other", "domain", F.round("similarity", 6).alias("similarity"))

@@ -197,6 +197,8 @@ def test_near_pairs_of_cells_and_blocks_are_those_of_all_pairs(spark, monkeypatc
     from loomtrace.operators import dedup
 
     monkeypatch.setattr(dedup, "BLOCK", 25)
+    monkeypatch.setattr(dedup, "SALT", 60)
+    monkeypatch.setattr(dedup, "STRIPE", 7)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))
     rows = [(i, "hot" if i % 3 else f"d{i % 5}", (centres[rng.integers(12)] + rng.normal(size=16) * 0.35).tolist()) for i in range(400)]
@@ -207,11 +209,19 @@ def test_near_pairs_of_cells_and_blocks_are_those_of_all_pairs(spark, monkeypatc
         wanted = {(a, b) for a, da, _ in rows for b, db, _ in rows if b < a and da is not None and da == db and units[a] @ units[b] >= threshold}
         got = dedup.near_pairs(frame, frame, threshold, earlier=True).collect()
         assert len(got) == len(wanted) and {(r.id, r.other) for r in got} == wanted
-    pivots = dedup._pivots(frame.filter("domain is not null"))
-    assert {len(p) for p in pivots.values()} >= {1} and sum(map(len, pivots.values())) < 60
+    pivots = dedup.pivots_of(dedup.vectors(frame)).groupBy("domain").count().collect()
+    assert {r.domain: r["count"] for r in pivots}["hot"] == 11 and all(r["count"] > 1 for r in pivots)
     assert dedup.near_pairs(frame.limit(0), frame, 0.5).collect() == [] and dedup.near_pairs(frame, frame.limit(0), 0.5).collect() == []
 
 
+def test_near_pairs_of_many_domains(spark):
+    from loomtrace.operators import dedup
+
+    frame = spark.range(10_000).selectExpr("id", "concat('d', id div 2) as domain", "array(1.0, id % 2 * 0.1) as embedding")
+    found = dedup.near_pairs(frame, frame, 0.9, earlier=True).collect()
+    assert len(found) == 5_000 and all(r.id == r.other + 1 and r.domain == f"d{r.other // 2}" for r in found)
+
+
 def test_returns_of_long_episodes(spark):
     from loomtrace.operators.replay import discounted_returns, running_reward
 
