@@ -20,7 +20,7 @@ from loomtrace.llm.ranked import ranked, ranked_sql
 from loomtrace.llm.revisits import crawl_records, restored
 from loomtrace.llm.sentencepiece import MODEL, load_model, round_trips
 from loomtrace.llm.toxicity import toxicity
-from loomtrace.llm.url_filter import filter_urls, host_and_path
+from loomtrace.llm.url_filter import filter_urls
 from loomtrace.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,17 +81,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The rules that op7 judges urls by: host, path, verdict.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
-#: Words of hosts whose pages are the list of the query: urls of gambling, pills and advertising.
-LISTED_HOSTS = "casino|bets|pills|ads"
+#: What the title of a page has whose url is on the list of the query: three signs of noise in a row. It is a mark of the page, not of its host.
+NOISY_TITLE = "<title>[^<]*[*#%$]{3}"
 
 _OP7_SQL = f"""
-WITH q AS (SELECT page_id,
+WITH q AS (SELECT page_id, html,
     translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path,
     list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS params
   FROM pages),
-parsed AS (SELECT page_id, host, path, CASE WHEN host <> '' THEN regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '') || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical FROM q),
-listed AS (SELECT DISTINCT canonical FROM parsed WHERE canonical IS NOT NULL AND regexp_matches(host, '{LISTED_HOSTS}')),
+parsed AS (SELECT page_id, html, host, path, CASE WHEN host <> '' THEN regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '') || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical FROM q),
+listed AS (SELECT DISTINCT canonical FROM parsed WHERE canonical IS NOT NULL AND regexp_matches(html, '{NOISY_TITLE}')),
 rules(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 fits AS (
   SELECT host, path, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS verdict
@@ -104,9 +104,9 @@ FROM parsed LEFT JOIN fits USING (host, path) LEFT JOIN listed l USING (canonica
 
 @query("op7_url_filter", _OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The verdict on every page's url by the rules, else by the list: the pages of all hosts that LISTED_HOSTS names."""
+    """The verdict on every page's url by the rules, else by the list: the urls of all pages with a noisy title."""
     pages = table(spark, sf_dir, "pages")
-    listed = pages.filter(host_and_path(F.col("url"))[0].rlike(LISTED_HOSTS)).select("url")
+    listed = pages.filter(F.col("html").rlike(NOISY_TITLE)).select("url")
     return filter_urls(pages, spark.createDataFrame(URL_RULES, "host string, path string, verdict string"), listed)
 
 
