@@ -86,8 +86,13 @@ def budgets(leaves: DataFrame, weights: DataFrame, tokens: int, epochs: int) ->
     return leaves.select(*LEVELS, "supply").join(parent, list(LEVELS))
 
 
-def _order_key(doc_id: Column, seed: int, epoch: Column) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+def _order_key(seed: int, epoch: Column) -> Column:
+    """Where a row stands in an epoch of its leaf: by its id and its text, so that rows without an id, or of one, are not all in one place."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("digest")).cast("binary"))
+
+
+def _digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")).alias("digest")
 
 
 def _plan(rows: DataFrame, weights: DataFrame, tokens: int | None, share: float, seed: int, epochs: int, scratch: Scratch) -> DataFrame:
@@ -99,7 +104,7 @@ def _plan(rows: DataFrame, weights: DataFrame, tokens: int | None, share: float,
     plan = plan.withColumn("whole", F.when(F.col("supply") > 0, F.expr("budget div supply")).otherwise(F.lit(0)).cast("int"))
     plan = plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("supply"))
     near = _with_plan(rows, plan.filter("rest > 0"))
-    near = near.withColumn("bucket", F.substring(_order_key(F.col("doc_id"), seed, F.col("whole")), 1, BUCKET_DIGITS))
+    near = near.withColumn("bucket", F.substring(_order_key(seed, F.col("whole")), 1, BUCKET_DIGITS))
     sums = near.groupBy(*LEVELS, "bucket", "rest").agg(F.sum("tokens").alias("held"))
     running = F.sum("held").over(Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cuts = sums.withColumn("upto", running).filter((F.col("upto") - F.col("held") < F.col("rest")) & (F.col("upto") >= F.col("rest")))
@@ -118,7 +123,7 @@ def _named(docs: DataFrame, domain: Column) -> list[Column]:
 
 def _prefix(rows: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     """Rows of the last, partial epoch: those of buckets before the cut, whole, and those of the cut with ``taken`` tokens each."""
-    key = _order_key(F.col("doc_id"), seed, F.col("whole"))
+    key = _order_key(seed, F.col("whole"))
     rows = rows.filter("rest > 0").withColumn("order_key", key)
     bucket = F.substring("order_key", 1, BUCKET_DIGITS)
     order = Window.partitionBy(*LEVELS).orderBy("order_key", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -134,11 +139,11 @@ def mix(docs: DataFrame, domain: Column, weights: DataFrame, tokens: int | None
     ``n_tokens`` only for the document in which a leaf's prefix ends; a leaf's
     ``taken`` add up to its budget. Documents without a token are never taken. Null
     names count as ``(none)``, null ids as one more id; rows that are alike in id and
-    tokens are taken in any order. Very long texts count with all their tokens; other
+    text are taken in any order. Very long texts count with all their tokens; other
     columns are not read, whatever their names. No row: no row.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_named(docs, domain), count_tokens(docs["text"]).alias("tokens"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_named(docs, domain), count_tokens(docs["text"]).alias("tokens"), _digest(docs["text"]))
     rows = scratch.keep(rows, "tokens")
     plan = _plan(rows, weights, tokens, share, seed, epochs, scratch)
     scratch.only(rows, plan)
@@ -154,7 +159,7 @@ def mixed_documents(docs: DataFrame, domain: Column, weights: DataFrame, tokens:
     """The rows of ``docs`` that a mix of one epoch takes; columns are unchanged. Texts move only where a leaf's prefix ends."""
     scratch = Scratch(docs.sparkSession, "mixing")
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_named(docs, domain), count_tokens(docs["text"]).alias("tokens"), own)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_named(docs, domain), count_tokens(docs["text"]).alias("tokens"), _digest(docs["text"]), own)
     plan = _plan(scratch.keep(rows.drop("row"), "tokens"), weights, tokens, share, seed, 1, scratch)
     scratch.only(plan)
     planned = _with_plan(rows, plan).filter("tokens > 0")

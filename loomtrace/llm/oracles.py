@@ -68,7 +68,7 @@ def _share(source: str, keys: list[str], weight: str, parent: str | None) -> str
 def mixing_sql(share: float, seed: int, epochs: int) -> str:
     """The mix of op4: the weights are those of ``queries.MIX_WEIGHTS``."""
     return f"""
-WITH t AS (SELECT doc_id, coalesce(['web', 'news', 'books', 'forums'][try_cast(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % 4 + 1], 'other') AS domain, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+WITH t AS (SELECT doc_id, coalesce(['web', 'news', 'books', 'forums'][try_cast(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % 4 + 1], 'other') AS domain, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source, md5(coalesce(text, '')) AS digest,
     len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens FROM documents),
 leaves AS (SELECT domain, lang, source, sum(tokens)::HUGEINT AS supply, sum(tokens)::HUGEINT * {epochs} AS cap,
     CASE domain WHEN 'web' THEN 4 WHEN 'news' THEN 2 WHEN 'books' THEN 3 ELSE 1 END AS w1, CASE WHEN domain = 'other' THEN 1 WHEN lang = 'en' THEN 4 WHEN lang IN ('de', 'fr') THEN 2 ELSE 1 END AS w2, 1 AS w3 FROM t GROUP BY domain, lang, source),
@@ -77,7 +77,7 @@ one AS {_share("leaves", ["domain"], "w1", None)},
 two AS {_share("leaves", ["domain", "lang"], "w2", "one")},
 three AS {_share("leaves", ["domain", "lang", "source"], "w3", "two")},
 plan AS (SELECT domain, lang, source, (budget // supply)::INT AS whole, (budget % supply)::BIGINT AS rest FROM three JOIN leaves USING (domain, lang, source) WHERE supply > 0),
-d AS (SELECT t.*, whole, rest, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{seed}:' || whole || ':' || coalesce(doc_id::VARCHAR, 'null')), doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - tokens AS start FROM t JOIN plan USING (domain, lang, source) WHERE tokens > 0)
+d AS (SELECT t.*, whole, rest, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{seed}:' || whole || ':' || coalesce(doc_id::VARCHAR, 'null') || ':' || digest), doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - tokens AS start FROM t JOIN plan USING (domain, lang, source) WHERE tokens > 0)
 SELECT doc_id, domain, lang, source, unnest(range(whole))::INT AS epoch, tokens AS n_tokens, tokens AS taken FROM d
 UNION ALL SELECT doc_id, domain, lang, source, whole, tokens, least(tokens, rest - start)::BIGINT FROM d WHERE start < rest
 """

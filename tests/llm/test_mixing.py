@@ -34,10 +34,10 @@ def share_out(budget, children):
 
 
 def brute(rows, weights, tokens, seed, epochs):
-    """rows: (doc_id, domain, lang, source, tokens)."""
+    """rows: (doc_id, domain, lang, source, tokens, text)."""
     weight = {tuple(x for x in w[:3] if x is not None): w[3] for w in weights}
     supply = Counter()
-    for _, d, l, s, n in rows:
+    for _, d, l, s, n, _ in rows:
         supply[d, l, s] += n
     w = lambda path: weight.get(path, 1)
     caps = {p: n * epochs if all(w(p[:i]) for i in (1, 2, 3)) else 0 for p, n in supply.items()}
@@ -58,7 +58,7 @@ def brute(rows, weights, tokens, seed, epochs):
             continue
         whole, rest = divmod(budget, supply[leaf])
         out += [(r[0], *leaf, e, r[4], r[4]) for r in own for e in range(whole)]
-        key = lambda r: (hashlib.md5(f"{seed}:{whole}:{'null' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] or 0, r[4])  # noqa: E731, B023
+        key = lambda r: (hashlib.md5(f"{seed}:{whole}:{'null' if r[0] is None else r[0]}:{hashlib.md5((r[5] or '').encode()).hexdigest()}".encode()).hexdigest(), r[0] or 0, r[4])  # noqa: E731, B023
         for r in sorted(own, key=key):
             if rest > 0:
                 out.append((r[0], *leaf, whole, r[4], min(rest, r[4])))
@@ -73,7 +73,7 @@ def tokens_of(text):
 def test_documents_against_brute_force(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     weights = spark.createDataFrame(MIX_WEIGHTS, WEIGHTS_SCHEMA)
-    rows = [(r.doc_id, r.domain, r.lang, r.source, tokens_of(r.text)) for r in docs.withColumn("domain", domain_of(F.col("source"))).collect()]
+    rows = [(r.doc_id, r.domain, r.lang, r.source, tokens_of(r.text), r.text) for r in docs.withColumn("domain", domain_of(F.col("source"))).collect()]
     total = sum(r[4] for r in rows)
     for share, epochs in ((0.5, 4), (0.9, 1), (9.0, 3)):
         got = sorted((tuple(r) for r in mix(docs, domain_of(docs["source"]), weights, share=share, seed=17, epochs=epochs).collect()), key=str)
@@ -91,7 +91,7 @@ def test_shortages_nulls_ties_and_clashing_names(spark):
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, d string, tokens string")
     weights = [("a", None, None, 3), ("c", None, None, 1), ("c", "en", None, 2), ("c", "de", None, 1), ("d", None, None, 0), ("a", "en", "x", 5), ("a", "en", "y", 0)]
     frame = spark.createDataFrame(weights, WEIGHTS_SCHEMA)
-    plain = [(i, d, l or NAMELESS, s or NAMELESS, n) for i, d, l, s, n in rows]
+    plain = [(i, d, l or NAMELESS, s or NAMELESS, n, t[1]) for (i, d, l, s, n), t in zip(rows, data, strict=True)]
     for tokens, epochs in ((1, 1), (3001, 1), (9000, 2), (10**7, 3), (0, 1)):
         got = sorted((tuple(r) for r in mix(docs, docs["d"], frame, tokens=tokens, seed=3, epochs=epochs).collect()), key=str)
         assert got == brute(plain, weights, tokens, 3, epochs)[0], (tokens, epochs)
@@ -100,3 +100,15 @@ def test_shortages_nulls_ties_and_clashing_names(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in brute(plain, weights, 3001, 3, 1)[0])
     assert mix(docs.limit(0), F.col("d"), frame).collect() == [] and mixed_documents(docs.limit(0), F.col("d"), frame).collect() == []
     assert mix(docs, docs["d"], frame.limit(0), tokens=100, epochs=1).agg(F.sum("taken")).first()[0] == 100
+
+
+def test_rows_without_an_id_are_not_in_one_bucket(spark):
+    """Of many rows without an id, or of one, few meet where a leaf's prefix ends."""
+    from loomtrace.llm import mixing
+
+    rows = [(None if i % 2 else 7, f"text {i}", "en", "s") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("tokens", F.lit(2)).withColumn("domain", F.lit("d"))
+    keyed = docs.select("doc_id", mixing._digest(F.col("text"))).select(F.substring(mixing._order_key(3, F.lit(0)), 1, mixing.BUCKET_DIGITS).alias("bucket"))
+    assert keyed.groupBy("bucket").count().agg(F.max("count")).first()[0] < 30
+    got = mix(docs.drop("tokens"), F.lit("d"), spark.createDataFrame([], WEIGHTS_SCHEMA), tokens=3001, seed=3, epochs=1)
+    assert got.agg(F.sum("taken")).first()[0] == 3001 and got.count() == 1501
