@@ -27,14 +27,15 @@ from pyspark.sql import functions as F
 
 from loomtrace.llm.batches import kept, map_batches, slices
 
-#: Labelled rows of a language that are learned from at most, bytes of them, and languages.
+#: Labelled rows of a language that are learned from at most, and bytes of them.
 SAMPLE_ROWS = 64
 SAMPLE_BYTES = 48_000
-LANGUAGES = 100
 #: Bytes that the tables of all languages may take in a worker; with many languages each learns from less.
 TABLE_BYTES = 256 << 20
 #: Rows longer than this are learned from only where a language has no others.
 ROW_CHARS = 4_000
+#: Rounds in which blocks that are out of step are walked again side by side, before one after the other.
+ROUNDS = 4
 #: Symbols of a block, and symbols before it that are walked to fall in step.
 BLOCK, LEAD = 1_024, 96
 #: Cost that a text may have beyond its symbols' share before it is in no learned language, in phrases.
@@ -54,36 +55,36 @@ def held_out(doc_id: Column, of: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % of == remainder, F.lit(True))
 
 
-def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, languages: int = LANGUAGES) -> list[tuple[str, str]]:
-    """(lang, text) of at most ``rows`` rows of each of the ``languages`` that most rows have, the same for the same rows.
+def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, row_chars: int = ROW_CHARS) -> list[tuple[str, str]]:
+    """(lang, text) of at most ``rows`` rows of each language, the same for the same rows.
 
     Learned from are rows with a language whose crc32(doc_id) mod 5 is not 0. Each
     language's rows fall into ``rows`` cells by a hash of the id; a cell gives one row,
-    that with the least hashes of id and text. So what comes to the driver is bounded by
-    ``rows * languages * SAMPLE_BYTES`` characters, whatever ids are repeated. Equal
-    counts go by name.
+    that with the least hashes of id and text, of up to ``row_chars`` characters if it has one.
+    A row gives its first ``sample_bytes`` characters at most, so what comes to the driver is
+    ``rows * sample_bytes`` for each language, whatever ids are repeated.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), 5, 0))
-    known = known.withColumn("place", F.xxhash64("doc_id")).withColumn("hash", F.xxhash64("text")).withColumn("long", F.length("text") > ROW_CHARS)
-    cells = known.groupBy("lang", F.pmod("place", F.lit(rows)).alias("cell")).agg(F.min(F.struct("long", "place", "hash")).alias("least"), F.count("*").alias("rows"))
-    ranked = cells.groupBy("lang").agg(F.sum("rows").alias("rows"), F.collect_list("least").alias("least"))
-    chosen = ranked.orderBy(F.desc("rows"), "lang").limit(languages).collect()
+    known = known.withColumn("place", F.xxhash64("doc_id")).withColumn("hash", F.xxhash64("text")).withColumn("long", F.length("text") > row_chars)
+    cells = known.groupBy("lang", F.pmod("place", F.lit(rows)).alias("cell")).agg(F.min(F.struct("long", "place", "hash")).alias("least"))
+    chosen = [(r.lang, r.least.place, r.least.hash) for r in cells.collect()]
     if not chosen:
         return []
-    keys = docs.sparkSession.createDataFrame([(r.lang, x.place, x.hash) for r in chosen for x in r.least], "lang string, place long, hash long")
-    texts = known.join(F.broadcast(keys), ["lang", "place", "hash"]).groupBy("lang", "place", "hash").agg(F.min(F.substring("text", 1, SAMPLE_BYTES)).alias("text"))
+    # ``rows`` keys of a language at most.
+    keys = docs.sparkSession.createDataFrame(chosen, "lang string, place long, hash long")
+    texts = known.join(F.broadcast(keys), ["lang", "place", "hash"]).groupBy("lang", "place", "hash").agg(F.min(F.substring("text", 1, sample_bytes)).alias("text"))
     return [(r.lang, r.text) for r in texts.orderBy("lang", "place", "hash").collect()]
 
 
 class CrossParser:
     """The automata of all languages as one table; made from (lang, text) rows, the same for the same rows."""
 
-    def __init__(self, sample: tuple[tuple[str, str], ...]):
+    def __init__(self, sample: tuple[tuple[str, str], ...], sample_bytes: int = SAMPLE_BYTES, table_bytes: int = TABLE_BYTES):
         self.langs = sorted({lang for lang, _ in sample})
         learned = {lang: [_fold(text) for own, text in sample if own == lang] for lang in self.langs}
         # A state has one cell for each symbol of its language; a byte has two states at most.
-        most = {lang: min(SAMPLE_BYTES, TABLE_BYTES // len(self.langs) // (8 * (len(set(b"".join(texts))) + 1))) for lang, texts in learned.items()}
+        most = {lang: min(sample_bytes, table_bytes // len(self.langs) // (8 * (len(set(b"".join(texts))) + 1))) for lang, texts in learned.items()}
         self.codes = np.zeros((len(self.langs), 256), np.uint8)
         tables, self.bits, self.roots, base = [], [], [], 0
         for k, lang in enumerate(self.langs):
@@ -136,7 +137,7 @@ class CrossParser:
         order = np.argsort(-lengths, kind="stable")
         count, end = np.empty(begin.shape, np.int64), np.empty(begin.shape, np.int64)
         count[:, order], end[:, order] = self._walk(symbols, starts[order], lengths[order], begin[:, order])
-        while len(later):  # blocks that did not begin as the one before ended
+        for _ in range(ROUNDS):  # blocks that did not begin as the one before ended
             lang, at = np.nonzero(begin[:, later] != end[:, later - 1])
             if not len(at):
                 break
@@ -147,12 +148,47 @@ class CrossParser:
             flat = symbols.reshape(1, -1)
             counted, ended = self._walk(flat, lang * symbols.shape[1] + starts[at], lengths[at], begin[lang, at][None, :])
             count[lang, at], end[lang, at] = counted[0], ended[0]
+        else:
+            self._settle(data, symbols, starts, lengths, number, begin, end, count)
         last = np.append(owner[1:] != owner[:-1], True)
         count += (end != roots) & last  # the phrase that the text's end cuts off
         for k in range(len(self.langs)):
             out[k] = np.bincount(owner, weights=count[k], minlength=len(n_blocks)).astype(np.int64)
         return out
 
+    def _settle(self, data: np.ndarray, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, number: np.ndarray, begin: np.ndarray, end: np.ndarray, count: np.ndarray) -> None:
+        """Walks the blocks that are still out of step in their order, each once.
+
+        Texts that never fall in step repeat themselves, and so do their blocks: a block
+        that was walked from the same state before is not walked again.
+        """
+        known: dict[tuple[int, bytes, int], tuple[int, int]] = {}
+        for lang in range(len(self.langs)):
+            wrong = np.flatnonzero((begin[lang, 1:] != end[lang, :-1]) & (number[1:] > 0)) + 1
+            done = 0
+            for first in wrong.tolist():
+                at = first
+                # From the first wrong block on, for as long as the one before ends in another state than this one began in.
+                while at >= done and at < len(number) and number[at] > 0 and begin[lang, at] != end[lang, at - 1]:
+                    state = int(end[lang, at - 1])
+                    low, high = int(starts[at]), int(starts[at] + lengths[at])
+                    key = (lang, data[low:high].tobytes(), state)
+                    if key not in known:
+                        known[key] = self._walk_one(symbols[lang, low:high].tolist(), state)
+                    begin[lang, at] = state
+                    count[lang, at], end[lang, at] = known[key]
+                    at += 1
+                done = max(done, at)
+
+    def _walk_one(self, symbols: list[int], state: int) -> tuple[int, int]:
+        """(phrases that end, last state) of one block."""
+        ended, step = 0, self.table.item
+        for symbol in symbols:
+            packed = step(state + symbol)
+            ended += packed & 3
+            state = packed >> 2
+        return ended, state
+
     def costs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bits that each language needs for each text, symbols of each text, whether it has a letter) of texts as UTF-8."""
         folded, at = _encode(data, offsets)
@@ -274,11 +310,11 @@ def _parse_table(rows: list[list[int]], width: int, base: int) -> np.ndarray:
 
 
 @kept
-def _parser(sample: tuple[tuple[str, str], ...]) -> CrossParser:
-    return CrossParser(sample)
+def _parser(sample: tuple[tuple[str, str], ...], sample_bytes: int, table_bytes: int) -> CrossParser:
+    return CrossParser(sample, sample_bytes, table_bytes)
 
 
-def _limits(sample: tuple[tuple[str, str], ...]) -> np.ndarray:
+def _limits(sample: tuple[tuple[str, str], ...], sample_bytes: int, table_bytes: int) -> np.ndarray:
     """For each language FAR times the bits a symbol that the median labelled row needs which the automata did not learn.
 
     Every other row of a language is learned, the others are measured beyond SLACK
@@ -287,7 +323,7 @@ def _limits(sample: tuple[tuple[str, str], ...]) -> np.ndarray:
     """
     langs = sorted({lang for lang, _ in sample})
     rows = {lang: [text for own, text in sample if own == lang] for lang in langs}
-    parser = CrossParser(tuple((lang, text) for lang in langs for text in rows[lang][::2]))
+    parser = CrossParser(tuple((lang, text) for lang in langs for text in rows[lang][::2]), sample_bytes, table_bytes)
     out = []
     for k, lang in enumerate(langs):
         parts = [text.encode() for text in rows[lang][1::2]]
@@ -297,7 +333,7 @@ def _limits(sample: tuple[tuple[str, str], ...]) -> np.ndarray:
     return np.array(out)
 
 
-def identify(docs: DataFrame, sample: list[tuple[str, str]]) -> DataFrame:
+def identify(docs: DataFrame, sample: list[tuple[str, str]], sample_bytes: int = SAMPLE_BYTES, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """(doc_id, lang_pred, score) for every row of ``docs`` (doc_id, text; other columns are not read).
 
     ``score`` is the share of the runner-up's cost that the winner saves, 0 to 1.
@@ -310,7 +346,7 @@ def identify(docs: DataFrame, sample: list[tuple[str, str]]) -> DataFrame:
     rows = tuple(sample)
 
     def scan(batches: Iterator[pa.RecordBatch]):
-        parser = _parser(rows)
+        parser = _parser(rows, sample_bytes, table_bytes)
         for batch, data, offsets in slices(batches):
             langs, scores = parser.predict(data, offsets)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
@@ -319,13 +355,13 @@ def identify(docs: DataFrame, sample: list[tuple[str, str]]) -> DataFrame:
     return map_batches(source, scan, "doc_id long, lang_pred string, score double", KEEPS)
 
 
-def language_id(docs: DataFrame, rows: int = SAMPLE_ROWS, languages: int = LANGUAGES) -> DataFrame:
+def language_id(docs: DataFrame, rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, row_chars: int = ROW_CHARS, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learns from ``docs`` (doc_id, text, lang) as ``training_sample`` does and predicts every row of it as ``identify`` does."""
-    found = identify(docs, training_sample(docs, rows, languages))
+    found = identify(docs, training_sample(docs, rows, sample_bytes, row_chars), sample_bytes, table_bytes)
     return found.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.0, rows: int = SAMPLE_ROWS, languages: int = LANGUAGES) -> DataFrame:
+def keep_identified(docs: DataFrame, least: float = 0.0, rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, row_chars: int = ROW_CHARS, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language with a score of ``least`` or more; columns are unchanged.
 
     A row goes if its text is null, has no letter, or needs far more bits a symbol than
@@ -334,13 +370,13 @@ def keep_identified(docs: DataFrame, least: float = 0.0, rows: int = SAMPLE_ROWS
     language nothing can be learned and every row with a letter stays. Rows of a repeated
     id are judged each by its own text, very long ones whole; no row: no row.
     """
-    sample = tuple(training_sample(docs, rows, languages))
+    sample = tuple(training_sample(docs, rows, sample_bytes, row_chars))
     if not sample:
         return docs.filter(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
-    limit = _limits(sample)
+    limit = _limits(sample, sample_bytes, table_bytes)
 
     def scan(batches: Iterator[pa.RecordBatch]):
-        parser = _parser(sample)
+        parser = _parser(sample, sample_bytes, table_bytes)
         for batch, data, offsets in slices(batches, "text"):
             langs, scores = parser.predict(data, offsets, limit)
             yield batch.filter(pc.and_(pc.not_equal(pa.array(langs), UNDETERMINED), pa.array(scores >= least)))

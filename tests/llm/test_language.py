@@ -1,6 +1,7 @@
 """Language identification: phrases against brute force, held-out accuracy, edge cases."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -54,6 +55,19 @@ def test_blocks_that_do_not_fall_in_step():
     check_phrases((("x", passage), ("y", "a" * 3000), ("z", "ab" * 700)), texts)
 
 
+def test_long_periodic_texts_take_time_in_proportion():
+    rnd = random.Random(7)
+    parser = CrossParser((("x", "a" * 5000 + "b" + "ab " * 900), ("y", "".join(rnd.choice("abc ") for _ in range(4000)))))
+    for piece in ("a", "ab ", "aab"):
+        seconds = {}
+        for size in (1 << 20, 1 << 22):
+            start = time.perf_counter()
+            found = parser.phrases(*language._encode(*encoded([piece * (size // len(piece))])))
+            seconds[size] = time.perf_counter() - start
+            assert (found > 0).all()
+        assert seconds[1 << 22] < 8 * seconds[1 << 20] + 2 and seconds[1 << 22] < 60, seconds
+
+
 def test_alphabets_of_many_letters():
     rnd = random.Random(5)
     letters = {"x": [chr(0x4E00 + i) for i in range(400)], "y": [chr(0x5E00 + i) for i in range(400)]}
@@ -67,10 +81,12 @@ def test_alphabets_of_many_letters():
 def test_a_repeated_id_and_many_languages_give_a_bounded_sample(spark):
     rows = [(1, f"text {i} of one id", "en") for i in range(5000)] + [(i, f"word {i}", f"l{i % 300}") for i in range(2, 3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    sample = training_sample(docs, rows=4, languages=20)
+    sample = training_sample(docs, rows=4)
     counts = {lang: sum(own == lang for own, _ in sample) for lang, _ in sample}
-    assert len(counts) == 20 and max(counts.values()) <= 4 and counts["en"] == 1
-    assert sample == training_sample(docs.repartition(7), rows=4, languages=20)
+    # No language is left out.
+    assert len(counts) == 301 and max(counts.values()) <= 4 and counts["en"] == 1
+    assert max(len(text) for _, text in training_sample(docs, sample_bytes=3)) == 3
+    assert sample == training_sample(docs.repartition(7), rows=4)
 
 
 def test_text_of_no_learned_language_goes(spark):
