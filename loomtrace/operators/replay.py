@@ -8,7 +8,10 @@ are never seen. All functions take and give DataFrames and are lazy.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +58,10 @@ def discounted_returns(steps: DataFrame, gamma: float = 0.9) -> DataFrame:
     maps = blocks.withColumn("factor", F.pow(F.lit(gamma), F.size("steps"))).withColumn("offset", F.aggregate("steps", F.lit(0.0), lambda g, x: reward(x) + F.lit(gamma) * g))
     # What comes after a block: the maps of the later blocks, whose factors vanish fast.
     later = Window.partitionBy("worker_id", "ep").orderBy("block")
-    after = F.aggregate(F.collect_list(F.struct("factor", "offset")).over(later.rowsBetween(-_blocks_that_count(gamma), -1)), F.lit(0.0), lambda g, m: m["offset"] + m["factor"] * g)
+    if gamma == 1:  # nothing shrinks: a sum of all later blocks, without gathering them
+        after = F.coalesce(F.sum("offset").over(later.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    else:
+        after = F.aggregate(F.collect_list(F.struct("factor", "offset")).over(later.rowsBetween(-_blocks_that_count(gamma), -1)), F.lit(0.0), lambda g, m: m["offset"] + m["factor"] * g)
     start = lambda g: F.struct(g.alias("g"), F.array().cast("array<double>").alias("all"))
 
     def back(acc: Column, x: Column) -> Column:
@@ -68,7 +74,7 @@ def discounted_returns(steps: DataFrame, gamma: float = 0.9) -> DataFrame:
 
 
 def _blocks_that_count(gamma: float) -> int:
-    """Later blocks that reach a double's precision; all of an episode's (2**30) where gamma does not shrink."""
+    """Later blocks that reach a double's precision; all of an episode's (2**30) where gamma is above 1."""
     return max(1, math.ceil(math.log(1e-25) / math.log(gamma) / FOLD)) if 0 < gamma < 1 else 1 if gamma == 0 else 1 << 30
 
 
@@ -116,16 +122,37 @@ def outcome_reward(steps: DataFrame) -> DataFrame:
     return steps.agg(F.coalesce(F.avg(F.when(F.col("done"), F.col("reward"))), F.lit(0.0)).alias("outcome_reward"))
 
 
-def running_reward(steps: DataFrame, keep: float = 0.99) -> DataFrame:
-    """The exponential mean over all done steps in order: x becomes keep * x + (1 - keep) * reward.
+def exponential_map(rows: DataFrame, keep: float = 0.99) -> tuple[int, float]:
+    """(n, value) of all rewards in order of ts and seq: x becomes keep ** n * x + value. A null reward counts as 0.
 
-    A reward counts by ``keep`` to the number of those after it, so only the last ones
-    reach a double's precision: as many are taken, and folded in order.
+    Each range of the order is folded where it lies, so that one row of it, its first
+    place with its map, is all that meets; maps are put one after the other.
     """
-    reach = math.ceil(math.log(1e-20) / math.log(keep)) if 0 < keep < 1 else 1
-    last = steps.filter("done").select("ts", "seq", "reward").orderBy(F.desc("ts"), F.desc("seq")).limit(reach)
-    listed = last.agg(F.sort_array(F.collect_list(F.struct("ts", "seq", "reward"))).alias("rows"))
-    return listed.select(F.aggregate("rows", F.lit(0.0), lambda a, x: F.lit(keep) * a + F.lit(1 - keep) * x["reward"]).alias("running_reward"))
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first, n, value = None, 0, 0.0
+        for batch in batches:
+            if not len(batch):
+                continue
+            first = first or (batch.ts.iloc[0], batch.seq.iloc[0])
+            rewards = batch.reward.fillna(0.0).to_numpy(float)
+            value = keep ** len(rewards) * value + (1 - keep) * float(keep ** np.arange(len(rewards) - 1, -1, -1) @ rewards)
+            n += len(rewards)
+        if first:
+            yield pd.DataFrame({"ts": [first[0]], "seq": [first[1]], "n": [n], "value": [value]})
+
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("ts", "seq"))
+    dealt = rows.select("ts", "seq", "reward").repartitionByRange("ts", "seq").sortWithinPartitions("ts", "seq")
+    total, value = 0, 0.0
+    for r in sorted(dealt.mapInPandas(fold, f"{kinds}, n long, value double").collect(), key=lambda r: (r.ts, r.seq)):
+        total, value = total + r.n, keep**r.n * value + r.value
+    return total, value
+
+
+def running_reward(steps: DataFrame, keep: float = 0.99) -> DataFrame:
+    """The exponential mean over all done steps in order: x, 0 at first, becomes keep * x + (1 - keep) * reward."""
+    value = exponential_map(steps.filter("done"), keep)[1]
+    return steps.sparkSession.createDataFrame([(value,)], "running_reward double")
 
 
 def oldest_of_ready_workers(steps: DataFrame, n: int, seed: int = 0) -> DataFrame:

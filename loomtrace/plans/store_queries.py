@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from loomtrace.operators.vector_index import VectorIndex
 from loomtrace.plans.memory_queries import NEAR, _tasks
-from loomtrace.plans.registry import query
+from loomtrace.plans.registry import ORACLES, query
+from loomtrace.plans.replay_queries import CAPACITY, GAMMA, _steps
 from loomtrace.sources.shared import new_folder
 from loomtrace.sources.snapshots import KeyedStore
 from loomtrace.sources.tables import table
@@ -43,3 +44,28 @@ def vector_index(spark, sf_dir):
     for turn in (0, 1, 2, 1):
         index.insert(tasks.filter(F.pmod("id", F.lit(4)) == turn))
     return index.near(tasks.filter(F.pmod("id", F.lit(4)) == 3), NEAR).select("id", "other", "domain", F.round("similarity", 6).alias("similarity"))
+
+
+@query("q_worker_log", ORACLES["q_discounted_returns"])
+def worker_log(spark, sf_dir):
+    """Returns of all events that a stream of a log of workers emits, after a streaming sink wrote the log."""
+    from loomtrace.streaming.replay import replay_from_log
+
+    return replay_from_log(spark, table(spark, sf_dir, "events"), GAMMA)
+
+
+@query("q_stream_ring", ORACLES["q_ring_last_n"])
+def stream_ring(spark, sf_dir):
+    """What the streaming buffer's ring holds after all completed steps came in four triggers."""
+    from loomtrace.streaming.replay import buffer_available
+
+    return buffer_available(spark, _steps(spark, sf_dir), CAPACITY, 0.99).read().select("worker_id", "ep", "step", "seq")
+
+
+@query("q_stream_mean", ORACLES["q_running_reward_ema"])
+def stream_mean(spark, sf_dir):
+    """The running reward that the streaming buffer has after all completed steps came in four triggers."""
+    from loomtrace.streaming.replay import buffer_available
+
+    value = buffer_available(spark, _steps(spark, sf_dir), CAPACITY, 0.99).running_reward()
+    return spark.createDataFrame([(round(value, 6),)], "running_reward double")

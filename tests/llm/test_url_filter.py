@@ -1,8 +1,7 @@
 """URL filters against direct evaluation of the rules, and the Bloom filter's one-sided errors."""
 
-import re
-
 import random
+import re
 
 from pyspark.sql import functions as F
 
