@@ -73,6 +73,35 @@ def lists_match(a: Column, b: Column, same) -> Column:
     return (F.size(a) == F.size(b)) & F.forall(a, lambda x: F.exists(b, lambda y: same(x, y)))
 
 
+#: A range's tiles are a power of this long and wide, the greatest that is no longer or wider than it.
+TILE = 8
+
+
+def _level(length: Column) -> Column:
+    """How often a length can be divided by TILE."""
+    return F.floor(F.log(float(TILE), length.cast("double")) + 1e-9).cast("int")
+
+
 def in_ranges(cells: DataFrame, ranges: DataFrame, on: list[str]) -> DataFrame:
-    """Cells (row, col) joined to the ranges (r0, c0, r1, c1) that hold them, by equality of ``on`` and then by the bounds."""
-    return cells.join(ranges, on).filter("row between r0 and r1 and col between c0 and c1")
+    """Cells (row, col) with the ranges (r0, c0, r1, c1) that hold them, by equality of ``on``; each pair once.
+
+    A range lies in at most TILE + 1 tiles of its size each way. Cells look into the one
+    tile of each size that ranges of their sheet have, so that a cell meets the ranges
+    about it and no others. Ranges without a bound, or that end before they begin, hold nothing.
+    """
+    sized = ranges.filter("r1 >= r0 and c1 >= c0").withColumn("_lr", _level(F.col("r1") - F.col("r0") + 1)).withColumn("_lc", _level(F.col("c1") - F.col("c0") + 1))
+    tile = lambda at, level: F.floor(F.col(at) / F.pow(F.lit(float(TILE)), F.col(level))).cast("long")
+    spread = lambda low, high, level: F.explode(F.sequence(tile(low, level), tile(high, level)))
+    tiled = sized.withColumn("_tr", spread("r0", "r1", "_lr")).withColumn("_tc", spread("c0", "c1", "_lc"))
+    # A few sizes for each sheet.
+    sizes = sized.select(*on, "_lr", "_lc").distinct()
+    probes = cells.join(sizes, on).withColumn("_tr", tile("row", "_lr")).withColumn("_tc", tile("col", "_lc"))
+    keys = [*on, "_lr", "_lc", "_tr", "_tc"]
+    return probes.join(tiled, keys).filter("row between r0 and r1 and col between c0 and c1").drop("_lr", "_lc", "_tr", "_tc")
+
+
+def last_range(cells: DataFrame, ranges: DataFrame, on: list[str], order: list[str], values: list[str]) -> DataFrame:
+    """Cells that some range holds with ``values`` of the range that is last in ``order`` among those."""
+    names = list(cells.columns)
+    best = in_ranges(cells, ranges, on).groupBy(*names).agg(F.max(F.struct(*order, *[v for v in values if v not in order])).alias("_best"))
+    return best.select(*names, *[F.col(f"_best.`{v}`").alias(v) for v in values])

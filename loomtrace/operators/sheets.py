@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loomtrace.functions.rules import cell_range, rule
 from loomtrace.functions.text import indel_ratio
-from loomtrace.operators.compare import fuzzy_value
+from loomtrace.operators.compare import fuzzy_value, in_ranges
 
 #: Rule types that compare all properties of one kind.
 PROPERTY_RULES = ("sparkline", "chart", "style", "freeze", "row_props", "col_props", "filter", "pivot_table")
@@ -170,8 +170,9 @@ def _cell_rules(cells: DataFrame, rules: list[tuple[str, dict]]) -> DataFrame:
 
 def conditional_styles(cells: DataFrame, formats: DataFrame) -> DataFrame:
     """Cells with the style that holds: that of the last active format (sheet, r0, c0, r1, c1, priority, low, high, style) whose range and bounds they lie in, else their own."""
-    hit = cells.join(formats.withColumnRenamed("style", "format_style"), "sheet", "left")
-    active = F.col("row").between(F.col("r0"), F.col("r1")) & F.col("col").between(F.col("c0"), F.col("c1")) & F.col("number").between(F.least("low", "high"), F.greatest("low", "high"))
-    best = F.max_by(F.when(active, F.col("format_style")), F.when(active, F.col("priority")))
     keys = ["pair", "side", "sheet", "row", "col"]
-    return hit.groupBy(*keys).agg(F.coalesce(best, F.first("style")).alias("style"))
+    hits = in_ranges(cells.select(*keys, "number"), formats.withColumnRenamed("style", "format_style"), ["sheet"])
+    hits = hits.filter(F.col("number").between(F.least("low", "high"), F.greatest("low", "high")))
+    best = hits.groupBy(*keys).agg(F.max_by("format_style", "priority").alias("format_style"))
+    own = cells.groupBy(*keys).agg(F.first("style").alias("own_style"))
+    return own.join(best, keys, "left").select(*keys, F.coalesce("format_style", "own_style").alias("style"))

@@ -227,6 +227,20 @@ def cond_format_range_join(spark, sf_dir):
     return C.in_ranges(cells, F.broadcast(ranges), ["sheet"]).groupBy("row", "col").agg(F.max("rule").alias("style"))
 
 
+@query("q_rectangle_join", """WITH r AS (SELECT c_custkey AS rule, c_custkey * 7919 % 4000 AS r0, c_custkey * 104729 % 60 AS c0, CASE WHEN c_custkey % 50 = 0 THEN 900 ELSE c_custkey % 23 END AS h, CASE WHEN c_custkey % 40 = 0 THEN 50 ELSE c_custkey % 5 END AS w FROM customer),
+c AS (SELECT l_orderkey, l_linenumber, l_orderkey % 4000 AS "row", l_partkey % 60 AS col FROM lineitem)
+SELECT l_orderkey, l_linenumber::BIGINT AS line, max(rule) AS rule, count(*) AS hits FROM c JOIN r ON "row" BETWEEN r0 AND r0 + h AND col BETWEEN c0 AND c0 + w GROUP BY ALL""")
+def rectangle_join(spark, sf_dir):
+    """Cells of one sheet and the ranges that hold them: how many, and the last rule."""
+    k = F.col("c_custkey")
+    height, width = F.when(k % 50 == 0, 900).otherwise(k % 23), F.when(k % 40 == 0, 50).otherwise(k % 5)
+    ranges = table(spark, sf_dir, "customer").select(F.lit("S").alias("sheet"), k.alias("rule"), (k * 7919 % 4000).alias("r0"), (k * 104729 % 60).alias("c0"), height.alias("h"), width.alias("w"))
+    ranges = ranges.withColumn("r1", F.col("r0") + F.col("h")).withColumn("c1", F.col("c0") + F.col("w")).drop("h", "w")
+    cells = _items(spark, sf_dir).select(F.lit("S").alias("sheet"), "l_orderkey", F.col("l_linenumber").cast("long").alias("line"), (F.col("l_orderkey") % 4000).alias("row"), (F.col("l_partkey") % 60).alias("col"))
+    hits = C.in_ranges(cells, ranges, ["sheet"])
+    return hits.groupBy("l_orderkey", "line").agg(F.max("rule").alias("rule"), F.count("*").alias("hits"))
+
+
 _TURNS = """WITH w AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM conversations),
 q AS (SELECT conv_id, turn - 1 AS turn, w, i FROM w) """
 

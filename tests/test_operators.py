@@ -241,3 +241,21 @@ def test_returns_of_long_episodes(spark):
     for r in sorted(done.collect()):
         x = 0.9 * x + 0.1 * r.reward
     assert abs(running_reward(done, keep=0.9).first()[0] - x) < 1e-12
+
+
+def test_ranges_by_tiles_against_all_pairs(spark):
+    import numpy as np
+
+    from loomtrace.operators.compare import in_ranges, last_range
+
+    rng = np.random.default_rng(2)
+    ranges = [(str(s), n, int(r), int(c), int(r + h - 1), int(c + w - 1)) for n, (s, r, c, h, w) in enumerate(zip(rng.integers(0, 2, 400), rng.integers(1, 5000, 400), rng.integers(1, 300, 400), 8 ** rng.uniform(0, 4.2, 400), 8 ** rng.uniform(0, 2.5, 400), strict=True))]
+    ranges += [("0", 900, 10, 10, 9, 20), ("0", 901, None, 1, 5, 5), ("0", 902, 1, 1, 1_048_576, 16_384), ("0", 902, 1, 1, 1_048_576, 16_384), ("0", 903, 8, 8, 8, 8)]
+    cells = [(str(s), int(r), int(c)) for s, r, c in zip(rng.integers(0, 3, 600), rng.integers(1, 5200, 600), rng.integers(1, 320, 600), strict=True)] + [("0", 8, 8)]
+    cells = sorted(set(cells))
+    wanted = sorted((s, r, c, n) for s, r, c in cells for t, n, r0, c0, r1, c1 in ranges if s == t and r0 is not None and r0 <= r <= r1 and c0 <= c <= c1)
+    left = spark.createDataFrame(cells, "sheet string, row long, col long")
+    right = spark.createDataFrame(ranges, "sheet string, rule long, r0 long, c0 long, r1 long, c1 long")
+    assert sorted((x.sheet, x.row, x.col, x.rule) for x in in_ranges(left, right, ["sheet"]).collect()) == wanted
+    last = {(x.sheet, x.row, x.col): x.rule for x in last_range(left, right, ["sheet"], ["rule"], ["rule"]).collect()}
+    assert last == {(s, r, c): max(n for *k, n in wanted if tuple(k) == (s, r, c)) for s, r, c, _ in wanted}
