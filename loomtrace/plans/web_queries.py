@@ -68,3 +68,18 @@ def time_relative(spark, sf_dir):
 def chrome_epoch(spark, sf_dir):
     micros = D.to_browser_time(F.col("ts").cast("timestamp"))
     return table(spark, sf_dir, "events").select("event_id", micros.alias("micros"), D.browser_time(micros).alias("visited"))
+
+
+@query("q_json_canonical", """WITH c AS (SELECT click_id, props::JSON AS p FROM clicks WHERE json_valid(props)),
+k AS (SELECT click_id, json_extract(p, '$.k')::VARCHAR AS k, json_extract(p, '$.device.os')::VARCHAR AS os, json_extract(p, '$.device.ver')::VARCHAR AS ver, json_type(p, '$.device') AS dt, json_type(p, '$.tags') AS tt, json_type(p, '$.items') AS it,
+  list_sort(CASE WHEN json_type(p, '$.tags') = 'ARRAY' THEN json_extract(p, '$.tags[*]')::VARCHAR[] END) AS tags,
+  list_sort(CASE WHEN json_type(p, '$.items') = 'ARRAY' THEN list_transform(json_extract(p, '$.items[*]'), lambda x: json_extract(x, '$.sku')::VARCHAR || ':' || json_extract(x, '$.qty')::VARCHAR) END) AS items FROM c)
+SELECT min(click_id) AS first_click, count(*) AS clicks FROM k GROUP BY k, os, ver, dt, tt, it, tags, items""")
+def json_canonical(spark, sf_dir):
+    """Clicks whose properties are one value, lists in any order: the first click of each and how many."""
+    from loomtrace.functions.json_hash import json_hash
+
+    # Equal texts are read once.
+    texts = table(spark, sf_dir, "clicks").groupBy("props").agg(F.min("click_id").alias("first_click"), F.count("*").alias("clicks"))
+    rows = texts.withColumn("value", json_hash(F.col("props"), ignore_order=True)).filter("value is not null")
+    return rows.groupBy("value").agg(F.min("first_click").alias("first_click"), F.sum("clicks").alias("clicks")).drop("value")
