@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Second-level names under which registries give out domains.
-TWO_PART_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "gov.uk", "org.uk")
+from loomtrace.functions.suffixes import suffix_labels
 
 
 def _host(url: Column) -> Column:
@@ -19,10 +18,9 @@ def with_scheme(url: Column) -> Column:
 
 
 def registered_name(host: Column) -> Column:
-    """A host without its public suffix (the last label, or two of a known pair), and without a ``www`` that is all its subdomain."""
-    cut = F.when(F.substring_index(host, ".", -2).isin(*TWO_PART_SUFFIXES), F.lit(2)).otherwise(F.lit(1))
+    """A host without its public suffix, and without a ``www`` that is all its subdomain; a host that is a suffix stays."""
     labels = F.split(host, r"\.")
-    kept = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - cut, F.lit(1)))
+    kept = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - suffix_labels(labels), F.lit(1)))
     lone = (F.size(kept) == 2) & (F.get(kept, F.lit(0)) == "www")
     return F.array_join(F.when(lone, F.slice(kept, 2, 1)).otherwise(kept), ".")
 

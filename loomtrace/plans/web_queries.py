@@ -83,3 +83,16 @@ def json_canonical(spark, sf_dir):
     texts = table(spark, sf_dir, "clicks").groupBy("props").agg(F.min("click_id").alias("first_click"), F.count("*").alias("clicks"))
     rows = texts.withColumn("value", json_hash(F.col("props"), ignore_order=True)).filter("value is not null")
     return rows.groupBy("value").agg(F.min("first_click").alias("first_click"), F.sum("clicks").alias("clicks")).drop("value")
+
+
+@query("q_public_suffix", """WITH h AS (SELECT page_id, lower(regexp_extract(url, '://([^/?#:]*)', 1)) AS host FROM pages)
+SELECT CASE WHEN regexp_matches(host, '\\.example\\.(com|net|org)$') THEN regexp_extract(host, '(example\\.[a-z]+)$', 1) END AS domain, CASE WHEN host <> '' THEN regexp_extract(host, '([^.]*)$', 1) END AS suffix, count(*) AS pages, count(DISTINCT host) AS hosts FROM h GROUP BY ALL""")
+def public_suffix(spark, sf_dir):
+    """Pages and hosts of each registrable domain, with its suffix by a join with the table of rules."""
+    from loomtrace.functions.suffixes import SUFFIX_RULES, registrable_domain, with_suffix
+
+    host = F.lower(F.regexp_extract("url", r"://([^/?#:]*)", 1))
+    pages = table(spark, sf_dir, "pages").select("page_id", host.alias("host"))
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string")
+    rows = with_suffix(pages, rules).withColumn("domain", registrable_domain(F.col("host")))
+    return rows.groupBy("domain", "suffix").agg(F.count("*").alias("pages"), F.countDistinct("host").alias("hosts"))
