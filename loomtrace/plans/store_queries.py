@@ -8,6 +8,7 @@ from loomtrace.operators.vector_index import VectorIndex
 from loomtrace.plans.memory_queries import NEAR, _tasks
 from loomtrace.plans.registry import ORACLES, query
 from loomtrace.plans.replay_queries import CAPACITY, GAMMA, _steps
+from loomtrace.plans.synthesis import SynthesisLoop
 from loomtrace.sources.shared import new_folder
 from loomtrace.sources.snapshots import KeyedStore
 from loomtrace.sources.tables import table
@@ -69,3 +70,15 @@ def stream_mean(spark, sf_dir):
 
     value = buffer_available(spark, _steps(spark, sf_dir), CAPACITY, 0.99).running_reward()
     return spark.createDataFrame([(round(value, 6),)], "running_reward double")
+
+
+@query("q_synthesis_rounds", """WITH c AS (SELECT vec_id AS id, label AS domain, vec_id % 3 AS round FROM embeddings WHERE vec_id % 3 < 2 AND vec_id % 7 <> 0)
+SELECT id, domain, round::INT AS round FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY round, id) AS n FROM c) WHERE n <= 30""")
+def synthesis_rounds(spark, sf_dir):
+    """Tasks that two rounds take for a quota of thirty a domain, from candidates of which every seventh is not valid and none is near another."""
+    tasks = _tasks(spark, sf_dir)
+    quotas = tasks.select("domain").distinct().withColumn("quota", F.lit(30).cast("long"))
+    propose = lambda short, number: tasks.filter(F.pmod("id", F.lit(3)) == number).join(short, "domain", "left_semi")
+    loop = SynthesisLoop(spark, new_folder(spark, "synthesis"), quotas, propose, F.pmod(F.col("id"), F.lit(7)) != 0, threshold=1.01)
+    loop.run(most=2)
+    return loop.tasks.read().select("id", "domain", "round")
