@@ -92,7 +92,8 @@ def _windows(rows: DataFrame, templates: list[tuple[str, str]], threshold: float
     """
     spark = rows.sparkSession
     listed = _window_templates(spark, templates, threshold)  # of a fixed size: a row a template
-    anchors = listed.select(F.flatten(F.collect_list("anchors")).alias("any_anchor"))
+    anchored = listed.select(F.explode("anchors").alias("gram"), "template").groupBy("gram").agg(F.collect_set("template").alias("held_by"))
+    anchors = anchored.agg(F.map_from_entries(F.collect_list(F.struct("gram", "held_by"))).alias("by_anchor")).withColumn("one", F.lit(1))
     # Only texts with an anchor's word are paired to bigrams.
     held = [r.word for r in listed.select(F.explode("words").alias("word")).distinct().orderBy("word").collect()]
     listed = listed.drop("words")
@@ -100,8 +101,10 @@ def _windows(rows: DataFrame, templates: list[tuple[str, str]], threshold: float
     texts = rows.filter(has_word).select("doc_id", "text", F.xxhash64("text").alias("key")).withColumn("words", normalised_words(F.col("text")))
     pairs = F.zip_with(F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda x, y: F.xxhash64(x, y))
     texts = texts.filter(F.size("words") > 1).withColumn("g", pairs).drop("words")
-    texts = texts.crossJoin(F.broadcast(anchors)).filter(F.arrays_overlap("g", "any_anchor")).drop("any_anchor")
-    near = texts.crossJoin(F.broadcast(listed)).filter(F.arrays_overlap("g", "anchors"))
+    # The one row of anchors tells which templates a text may hold, and only those are joined to it.
+    texts = texts.withColumn("one", F.lit(1)).join(F.broadcast(anchors), "one").withColumn("hits", F.array_intersect("g", F.map_keys("by_anchor"))).filter(F.size("hits") > 0)
+    held_by = F.array_distinct(F.flatten(F.transform("hits", lambda x: F.element_at("by_anchor", x))))
+    near = texts.withColumn("template", F.explode(held_by)).drop("one", "by_anchor", "hits").join(F.broadcast(listed), "template")
     near = near.filter(F.size(F.array_intersect("g", "pattern")) >= F.col("needed")).drop("anchors")
     at = F.filter(F.transform("g", lambda x, i: F.when(F.array_contains("pattern", x), i)), lambda i: i.isNotNull())
     near = near.withColumn("at", at)
