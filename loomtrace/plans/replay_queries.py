@@ -93,13 +93,13 @@ def force_finish(spark, sf_dir):
 BATCH = 1_000
 
 
-@query("q_batch_collate", _EP + f"SELECT n_steps, event_id // {BATCH} AS batch, md5(string_agg(event_id::VARCHAR, ',' ORDER BY event_id)) AS seqs, count(*) AS n FROM steps WHERE step = 1 GROUP BY n_steps, batch")
+@query("q_batch_collate", _EP + f"SELECT n_steps, event_id // {BATCH} AS batch, md5(string_agg(event_id::VARCHAR, ',' ORDER BY event_id)) AS seqs, count(*) AS n FROM steps GROUP BY n_steps, batch")
 def batch_collate(spark, sf_dir):
     """Rows pivoted to one row of columns for each batch, of BATCH rows at most."""
-    first = replay.completed_steps(_steps(spark, sf_dir)).filter("step = 1")
+    steps = replay.completed_steps(_steps(spark, sf_dir))
     listed = F.transform(F.array_sort(F.collect_list("seq")), lambda x: x.cast("string"))
     batch = F.floor(F.col("seq") / BATCH).alias("batch")
-    return first.groupBy("n_steps", batch).agg(F.md5(F.array_join(listed, ",").cast("binary")).alias("seqs"), F.count("*").alias("n"))
+    return steps.groupBy("n_steps", batch).agg(F.md5(F.array_join(listed, ",").cast("binary")).alias("seqs"), F.count("*").alias("n"))
 
 
 # --- texts of rollouts --------------------------------------------------------
@@ -115,11 +115,12 @@ def prompt_cumulative(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(before.cast("binary")).alias("prompt"))
 
 
-@query("q_history_window", "SELECT conv_id, turn, coalesce(string_agg(role || ':' || length(text), '|') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '') AS history FROM conversations")
+@query("q_history_window", "SELECT conv_id, turn, md5(coalesce(string_agg(role || ':' || text, '|') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '')) AS history FROM conversations")
 def history_window(spark, sf_dir):
     """The last two turns before each turn."""
-    item = F.concat("role", F.lit(":"), F.length("text"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(F.collect_list(item).over(_turns().rowsBetween(-2, -1)), "|").alias("history"))
+    item = F.concat("role", F.lit(":"), "text")
+    history = F.array_join(F.collect_list(item).over(_turns().rowsBetween(-2, -1)), "|")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(history.cast("binary")).alias("history"))
 
 
 @query("q_vision_tag_replace", """WITH t AS (SELECT conv_id, turn, '<|vision_start|>' || role || chr(10) || turn || '<|vision_end|>' || text || '<|vision_start|>x<|vision_end|>' AS s FROM conversations)
