@@ -82,3 +82,12 @@ def synthesis_rounds(spark, sf_dir):
     loop = SynthesisLoop(spark, new_folder(spark, "synthesis"), quotas, propose, F.pmod(F.col("id"), F.lit(7)) != 0, threshold=1.01)
     loop.run(most=2)
     return loop.tasks.read().select("id", "domain", "round")
+
+
+@query("q_session_timers", ORACLES["q_session_inactivity"])
+def session_timers(spark, sf_dir):
+    """Sessions that end six hours after the last request of a worker, by timers of a stream of all events."""
+    from loomtrace.streaming.sessions import sessions_available
+
+    requests = table(spark, sf_dir, "events").select(F.col("user_id").alias("worker_id"), "ts")
+    return sessions_available(spark, requests, 6 * 3600).withColumnRenamed("worker_id", "user_id")
