@@ -2,7 +2,8 @@
 
 The state of a worker is its open sessions, more than one where rows came out of order: rows
 between two of them join both. A session leaves when the watermark passes its end, so what leaves
-is what the batch's session windows give, for all rows that the watermark lets in.
+is what the batch's session windows give, for all rows that the watermark lets in. A worker has one
+timer, for the first of its sessions to end; what it wakes takes out all that are over.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,8 @@ from loomtrace.sources.shared import new_folder
 from loomtrace.streaming.replay import state_in_rocksdb
 
 SESSIONS = "worker_id long, started_us long, released_us long, requests long"
-OPEN = "started long, last long, requests long"
+#: The open sessions of a worker in one row, so that they are read and put at one go.
+OPEN = "started array<long>, last array<long>, requests array<long>"
 
 
 def joined(spans: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
@@ -33,6 +36,13 @@ def joined(spans: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int,
     return out
 
 
+def spans_of(times: np.ndarray, gap: int) -> list[tuple[int, int, int]]:
+    """The spans of single requests, put together as ``joined`` does."""
+    times = np.sort(times)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(times) >= gap) + 1, [len(times)]]) if len(times) else np.zeros(1, int)
+    return [(int(times[a]), int(times[b - 1]), int(b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
 class Inactivity(StatefulProcessor):
     """Emits sessions whose worker was silent for ``gap_us`` microseconds."""
 
@@ -41,36 +51,45 @@ class Inactivity(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", OPEN)
+        self.open = handle.getValueState("open", OPEN)
 
     def _held(self) -> list[tuple[int, int, int]]:
-        return [tuple(int(x) for x in r) for r in self.open.get()] if self.open.exists() else []
+        held = self.open.get()
+        return list(zip(*held, strict=True)) if held is not None else []
 
     def _keep(self, spans: list[tuple[int, int, int]]) -> None:
-        self.open.put(spans) if spans else self.open.clear()
+        self.open.update(tuple(list(c) for c in zip(*spans, strict=True))) if spans else self.open.clear()
 
     def _due(self, span: tuple[int, int, int]) -> int:
         """The millisecond by which a session is over."""
         return math.ceil((span[1] + self.gap) / 1000)
 
+    def _wake(self, spans: list[tuple[int, int, int]]) -> int | None:
+        """When the first of the open sessions is over: a worker has this one timer, however many sessions are open."""
+        return min((self._due(s) for s in spans), default=None)
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         before = self._held()
-        times = [int(t) for frame in rows for t in frame.us]
-        after = joined(before + [(t, t, 1) for t in times], self.gap)
-        wanted = {self._due(s) for s in after}
-        for at in {self._due(s) for s in before} - wanted:
-            self.handle.deleteTimer(at)
-        for at in wanted - {self._due(s) for s in before}:
-            self.handle.registerTimer(at)
+        times = np.concatenate([frame.us.to_numpy(np.int64) for frame in rows])
+        after = joined(before + spans_of(times, self.gap), self.gap)
+        old, new = self._wake(before), self._wake(after)
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(new)
         self._keep(after)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        # No row that the watermark lets in can reach a session that is over by it, so all of those leave at once.
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         held = self._held()
         over = [s for s in held if self._due(s) <= now]
-        self._keep([s for s in held if self._due(s) > now])
+        left = [s for s in held if self._due(s) > now]
         if over:
+            self._keep(left)
+            if left:
+                self.handle.registerTimer(self._wake(left))
             yield pd.DataFrame({"worker_id": [int(key[0])] * len(over), "started_us": [s[0] for s in over], "released_us": [s[1] + self.gap for s in over], "requests": [s[2] for s in over]})
 
     def close(self) -> None:

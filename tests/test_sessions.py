@@ -1,10 +1,13 @@
 """Sessions by timers: spans put together, and the stream in triggers against the batch's session windows."""
 
 import datetime
+from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from loomtrace.streaming.sessions import joined, sessions_available, stream_sessions
+from loomtrace.streaming.sessions import Inactivity, joined, sessions_available, spans_of, stream_sessions
 from loomtrace.streaming.replay import state_in_rocksdb
 
 
@@ -31,3 +34,49 @@ def test_all_events_against_session_windows(spark, sf_dir):
     wanted = events.groupBy("worker_id", F.session_window("ts", "6 hours").alias("s")).agg(F.count("*").alias("n"))
     wanted = {(r.worker_id, r.s.start, r.s.end, r.n) for r in wanted.collect()}
     assert {tuple(r) for r in sessions_available(spark, events, 6 * 3600).collect()} == wanted
+
+
+class _Held:
+    """The open sessions and timers of one worker, with a count of what is asked of them."""
+
+    def __init__(self):
+        self.row, self.timers, self.asked = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.asked += 1
+        return self.row
+
+    def update(self, row):
+        self.asked += 1
+        self.row = row
+
+    def clear(self):
+        self.row = None
+
+    def registerTimer(self, at):
+        self.asked += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_a_worker_has_one_timer_whatever_it_holds():
+    held, gap = _Held(), 10_000
+    processor = Inactivity(gap)
+    processor.init(held)
+    times = [i * 20_000 for i in reversed(range(500))]
+    assert spans_of(np.array(times), gap) == joined([(t, t, 1) for t in times], gap) and spans_of(np.array([], int), gap) == []
+    list(processor.handleInputRows((1,), iter([pd.DataFrame({"us": times[:300]}), pd.DataFrame({"us": times[300:]})]), None))
+    assert held.timers == {10} and len(held.row[0]) == 500
+    out = []
+    for watermark in (5_000, 20_000):
+        while held.timers and min(held.timers) <= watermark:
+            at = min(held.timers)
+            out += list(processor.handleExpiredTimer((1,), SimpleNamespace(getCurrentWatermarkInMs=lambda w=watermark: w), SimpleNamespace(getExpiryTimeInMs=lambda a=at: a)))
+            held.timers.remove(at)
+        assert len(held.timers) == bool(held.row)
+    assert sorted(pd.concat(out).started_us.tolist()) == sorted(times) and held.asked < 12
