@@ -100,8 +100,47 @@ def in_ranges(cells: DataFrame, ranges: DataFrame, on: list[str]) -> DataFrame:
     return probes.join(tiled, keys).filter("row between r0 and r1 and col between c0 and c1").drop("_lr", "_lc", "_tr", "_tc")
 
 
+def _spans(low: Column, high: Column) -> Column:
+    """[(level, at)]: the fewest stretches of 2 ** level, from a multiple of it on, that make up low to high without overlap."""
+    low, high = low.cast("long"), high.cast("long")
+
+    def at_level(level: Column) -> Column:
+        size = F.pow(F.lit(2.0), level).cast("long")
+        first, end = F.call_function("shiftright", low + size - 1, level), F.call_function("shiftright", high + 1, level)
+        odd = lambda x: (first < end) & (x.bitwiseAND(F.lit(1)) == 1)
+        span = lambda at: F.struct(level.alias("level"), at.alias("at"))
+        return F.array(F.when(odd(first), span(first)), F.when(odd(end), span(end - 1)))
+
+    levels = F.sequence(F.lit(0), (F.log2((high - low + 1).cast("double")) + 1e-9).cast("int"))
+    return F.filter(F.flatten(F.transform(levels, at_level)), lambda x: x.isNotNull())
+
+
+def range_totals(cells: DataFrame, ranges: DataFrame, on: list[str], value: str) -> DataFrame:
+    """Cells (row, col) that some range holds, with ``hits``, how many do, and ``last``, the greatest ``value`` of those.
+
+    A range is cut into stretches of powers of two each way, and those that ranges share are
+    added up before any cell meets them. A place looks up the stretches of each size about it,
+    so the work grows with cells and ranges and not with their pairs. Cells at one place and
+    ranges with the same bounds are each taken once.
+    """
+    bounds = ["r0", "c0", "r1", "c1"]
+    once = ranges.filter("r1 >= r0 and c1 >= c0").groupBy(*on, *bounds).agg(F.count("*").alias("hits"), F.max(value).alias("last"))
+    rows = once.withColumn("_r", F.explode(_spans(F.col("r0"), F.col("r1"))))
+    parts = rows.withColumn("_c", F.explode(_spans(F.col("c0"), F.col("c1"))))
+    keys = [*on, "_lr", "_lc", "_tr", "_tc"]
+    parts = parts.select(*on, F.col("_r.level").alias("_lr"), F.col("_c.level").alias("_lc"), F.col("_r.at").alias("_tr"), F.col("_c.at").alias("_tc"), "hits", "last")
+    parts = parts.groupBy(*keys).agg(F.sum("hits").alias("hits"), F.max("last").alias("last"))
+    sizes = parts.select(*on, "_lr", "_lc").distinct()
+    tile = lambda at, level: F.call_function("shiftright", F.col(at).cast("long"), F.col(level))
+    places = cells.select(*on, "row", "col").distinct()
+    probes = places.join(sizes, on).withColumn("_tr", tile("row", "_lr")).withColumn("_tc", tile("col", "_lc"))
+    totals = probes.join(parts, keys).groupBy(*on, "row", "col").agg(F.sum("hits").alias("hits"), F.max("last").alias("last"))
+    return cells.join(totals, [*on, "row", "col"])
+
+
 def last_range(cells: DataFrame, ranges: DataFrame, on: list[str], order: list[str], values: list[str]) -> DataFrame:
     """Cells that some range holds with ``values`` of the range that is last in ``order`` among those."""
     names = list(cells.columns)
-    best = in_ranges(cells, ranges, on).groupBy(*names).agg(F.max(F.struct(*order, *[v for v in values if v not in order])).alias("_best"))
-    return best.select(*names, *[F.col(f"_best.`{v}`").alias(v) for v in values])
+    ranked = ranges.select(*on, "r0", "c0", "r1", "c1", F.struct(*order, *[v for v in values if v not in order]).alias("_best"))
+    best = range_totals(cells.distinct(), ranked, on, "_best")
+    return best.select(*names, *[F.col(f"last.`{v}`").alias(v) for v in values])

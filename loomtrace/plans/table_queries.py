@@ -237,8 +237,8 @@ def rectangle_join(spark, sf_dir):
     ranges = table(spark, sf_dir, "customer").select(F.lit("S").alias("sheet"), k.alias("rule"), (k * 7919 % 4000).alias("r0"), (k * 104729 % 60).alias("c0"), height.alias("h"), width.alias("w"))
     ranges = ranges.withColumn("r1", F.col("r0") + F.col("h")).withColumn("c1", F.col("c0") + F.col("w")).drop("h", "w")
     cells = _items(spark, sf_dir).select(F.lit("S").alias("sheet"), "l_orderkey", F.col("l_linenumber").cast("long").alias("line"), (F.col("l_orderkey") % 4000).alias("row"), (F.col("l_partkey") % 60).alias("col"))
-    hits = C.in_ranges(cells, ranges, ["sheet"])
-    return hits.groupBy("l_orderkey", "line").agg(F.max("rule").alias("rule"), F.count("*").alias("hits"))
+    held = C.range_totals(cells, ranges, ["sheet"], "rule")
+    return held.groupBy("l_orderkey", "line").agg(F.max("last").alias("rule"), F.sum("hits").alias("hits"))
 
 
 _TURNS = """WITH w AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM conversations),

@@ -259,3 +259,30 @@ def test_ranges_by_tiles_against_all_pairs(spark):
     assert sorted((x.sheet, x.row, x.col, x.rule) for x in in_ranges(left, right, ["sheet"]).collect()) == wanted
     last = {(x.sheet, x.row, x.col): x.rule for x in last_range(left, right, ["sheet"], ["rule"], ["rule"]).collect()}
     assert last == {(s, r, c): max(n for *k, n in wanted if tuple(k) == (s, r, c)) for s, r, c, _ in wanted}
+
+
+def test_range_totals_without_the_pairs(spark):
+    """Counts and last rules of cells and ranges against all pairs, and of two thousand million pairs that are not made."""
+    from collections import Counter
+
+    import numpy as np
+
+    from loomtrace.operators.compare import range_totals
+
+    rng = np.random.default_rng(3)
+    ranges = [("a", n, int(r), int(c), int(r + h), int(c + w)) for n, (r, c, h, w) in enumerate(zip(rng.integers(-40, 60, 300), rng.integers(-9, 30, 300), rng.integers(-3, 70, 300), rng.integers(-1, 20, 300), strict=True))]
+    ranges += [ranges[0]] * 2 + [("b", 5, None, 1, 5, 5), ("a", 900, 0, 0, 2**40, 16_384), (None, 901, 0, 0, 9, 9)]
+    cells = [(i, "ab"[i % 7 == 0], int(r), int(c)) for i, (r, c) in enumerate(zip(rng.integers(-60, 150, 500), rng.integers(-12, 60, 500), strict=True))] + [(900, "a", None, 3), (901, "a", 5, 5), (902, "a", 5, 5)]
+    hits, last = Counter(), {}
+    for i, s, r, c in cells:
+        for t, n, r0, c0, r1, c1 in ranges:
+            if s == t and None not in (r, r0) and r0 <= r <= r1 and c0 <= c <= c1:
+                hits[i], last[i] = hits[i] + 1, max(n, last.get(i, n))
+    left = spark.createDataFrame(cells, "id long, sheet string, row long, col int")
+    right = spark.createDataFrame(ranges, "sheet string, rule long, r0 long, c0 long, r1 long, c1 long")
+    found = {x.id: (x.hits, x["last"]) for x in range_totals(left, right, ["sheet"], "rule").collect()}
+    assert found == {i: (n, last[i]) for i, n in hits.items()}
+    all_cells = spark.range(100_000).selectExpr("'s' as sheet", "id % 900 + 60 as row", "id % 101 as col")
+    all_ranges = spark.range(20_000).selectExpr("'s' as sheet", "id as rule", "id % 50 as r0", "-(id % 40) as c0", "id + 1000 as r1", "id % 13 + 100 as c1")
+    totals = range_totals(all_cells, all_ranges, ["sheet"], "rule").groupBy("hits", "last").count().collect()
+    assert [tuple(r) for r in totals] == [(20_000, 19_999, 100_000)]
