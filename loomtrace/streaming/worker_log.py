@@ -4,12 +4,15 @@ A log is a folder with a folder for each worker, which holds segments: Parquet f
 are read in the order of their names. The source's offset is the last segment taken of
 each worker; a trigger takes ``segments`` more of each at most. The sink puts one segment
 for each worker of a batch, under the batch's number, so a batch that is repeated after a
-failure replaces nothing and adds nothing.
+failure replaces nothing and adds nothing. A task has ``OPEN`` segments open at most: rows that
+come in the order of their workers fill one after the other, as ``write_worker_log`` sorts them,
+and a worker that comes again in others gets its pieces put together at the end.
 
 Options: ``path``, a folder that the driver and all executors see; ``worker``, the column
 of the worker (worker_id); ``order``, columns by which the sink sorts a segment; ``segments`` of a worker in a trigger (all); ``groups``, the
 partitions of a trigger (8); ``reader`` and ``writer``, names of the query where several
-read or write one log, for each of which the log keeps what it has planned or committed.
+read or write one log, for each of which the log keeps what it has planned or committed;
+``batch``, the number under which a write that is no stream puts its segments (0).
 """
 
 from __future__ import annotations
@@ -26,9 +29,12 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamArrowWriter, DataSourceStreamReader, InputPartition, WriterCommitMessage
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, DataSourceStreamReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+#: Segments that a task has open at once.
+OPEN = 16
 #: The folder of rows without a worker; all others begin with ``w=``.
 _NOBODY = "nobody"
 
@@ -76,6 +82,9 @@ class WorkerLog(DataSource):
     def streamWriter(self, schema: StructType, overwrite: bool) -> DataSourceStreamArrowWriter:
         return _Writer(dict(self.options))
 
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return _BatchWriter(dict(self.options))
+
 
 class _Reader(DataSourceStreamReader):
     def __init__(self, schema: StructType, options: dict[str, str]):
@@ -147,6 +156,7 @@ class _Writer(DataSourceStreamArrowWriter):
         stage = f"{path}/_staged/{uuid.uuid4().hex}"
         files.create_dir(stage)
         open_: dict[str, pq.ParquetWriter] = {}
+        pieces: dict[str, list[str]] = {}
         try:
             for batch in iterator:
                 workers = batch.column(batch.schema.get_field_index(self.worker))
@@ -154,15 +164,22 @@ class _Writer(DataSourceStreamArrowWriter):
                     mask = pc.is_null(workers) if worker is None else pc.fill_null(pc.equal(workers, worker), False)
                     folder = folder_of(worker)
                     if folder not in open_:
-                        open_[folder] = pq.ParquetWriter(f"{stage}/{folder}.parquet", batch.schema, filesystem=files)
+                        if len(open_) >= OPEN:
+                            open_.pop(next(iter(open_))).close()
+                        mine = pieces.setdefault(folder, [])
+                        mine.append(f"{stage}/more/{len(mine)}-{folder}.parquet" if mine else f"{stage}/{folder}.parquet")
+                        if len(mine) == 2:
+                            files.create_dir(f"{stage}/more")
+                        open_[folder] = pq.ParquetWriter(mine[-1], batch.schema, filesystem=files)
                     open_[folder].write_batch(batch.filter(mask))
         finally:
             for writer in open_.values():
                 writer.close()
-        for folder in open_ if self.order else ():  # what a worker did in one trigger is sorted in one piece
-            rows = pq.read_table(f"{stage}/{folder}.parquet", filesystem=files).sort_by(self.order)
-            pq.write_table(rows, f"{stage}/{folder}.parquet", filesystem=files)
-        return Staged(tuple((folder, f"{stage}/{folder}.parquet") for folder in open_))
+        for folder, mine in pieces.items():  # what a worker did in one trigger is sorted in one piece
+            if self.order or len(mine) > 1:
+                rows = pa.concat_tables([pq.read_table(p, filesystem=files, partitioning=None) for p in mine])
+                pq.write_table(rows.sort_by(self.order) if self.order else rows, mine[0], filesystem=files)
+        return Staged(tuple((folder, mine[0]) for folder, mine in pieces.items()))
 
     def commit(self, messages: list[Staged | None], batchId: int) -> None:
         files, path = _store(self.uri)
@@ -189,6 +206,22 @@ class _Writer(DataSourceStreamArrowWriter):
                 files.delete_dir(stage)
 
 
+class _BatchWriter(DataSourceArrowWriter):
+    """The sink of one batch of a stream that hands its batches on as frames."""
+
+    def __init__(self, options: dict[str, str]):
+        self.sink, self.batch = _Writer(options), int(options.get("batch", 0))
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
+        return self.sink.write(iterator)
+
+    def commit(self, messages: list[Staged | None]) -> None:
+        self.sink.commit(messages, self.batch)
+
+    def abort(self, messages: list[Staged | None]) -> None:
+        self.sink.abort(messages, self.batch)
+
+
 def read_worker_log(spark: SparkSession, path: str, schema: str | StructType, **options: object) -> DataFrame:
     """A stream of the rows of a log, each worker's in order."""
     spark.dataSource.register(WorkerLog)
@@ -198,5 +231,11 @@ def read_worker_log(spark: SparkSession, path: str, schema: str | StructType, **
 def write_worker_log(rows: DataFrame, path: str, checkpoint: str, worker: str = "worker_id", **options: object):
     """Starts a query that appends a stream's rows to a log; a worker's rows of a trigger are one segment, in the order of ``ts`` and ``seq`` if it has them."""
     rows.sparkSession.dataSource.register(WorkerLog)
-    order = ",".join(c for c in ("ts", "seq") if c in rows.columns)
-    return rows.repartition(worker).writeStream.format("worker_log").options(path=path, worker=worker, order=order, **options).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    order = [F.asc_nulls_last(c) for c in ("ts", "seq") if c in rows.columns]
+
+    def put(batch: DataFrame, number: int) -> None:
+        # A stream cannot be sorted, its batches can: a task then has one worker after the other.
+        ordered = batch.repartition(worker).sortWithinPartitions(worker, *order)
+        ordered.write.format("worker_log").options(path=path, worker=worker, batch=number, **options).mode("append").save()
+
+    return rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -75,3 +75,33 @@ def test_a_batch_is_committed_once(tmp_path):
     assert names == [f"{f}/{n:012d}-writer-000000.parquet" for f in (folder_of(None), folder_of("a")) for n in (0, 1)]
     assert pa.parquet.read_table(tmp_path / "log" / names[-1]).column("x").to_pylist() == [1, 3]
     assert WorkerLog.name() == "worker_log" and list((tmp_path / "log" / "_staged").iterdir()) == []
+
+
+def test_few_segments_are_open_at_once(tmp_path, monkeypatch):
+    """Two hundred workers by turns in four batches, in order and out of it, with a writer that counts what is open."""
+    from loomtrace.streaming import worker_log
+
+    now, most = set(), []
+
+    class Counted(pa.parquet.ParquetWriter):
+        def __init__(self, *args, **kwargs):
+            super().__init__(*args, **kwargs)
+            now.add(self)
+            most.append(len(now))
+
+        def close(self):
+            now.discard(self)
+            super().close()
+
+    monkeypatch.setattr(worker_log.pq, "ParquetWriter", Counted)
+    batches = [pa.RecordBatch.from_pylist([{"worker_id": i or None, "seq": 10 - n} for i in range(200)]) for n in range(4)]
+    ordered = pa.Table.from_batches(batches).sort_by("worker_id").to_batches(max_chunksize=90)
+    for number, (rows, order) in enumerate([(batches, "seq"), (ordered, ""), (batches, "")]):
+        writer = _Writer({"path": str(tmp_path / "log"), "order": order})
+        writer.commit([writer.write(iter(rows))], number)
+    assert not now and max(most) <= worker_log.OPEN + 1
+    for i in range(200):
+        found = sorted((tmp_path / "log" / folder_of(i or None)).iterdir())
+        values = [pa.parquet.read_table(f, partitioning=None).column("seq").to_pylist() for f in found]
+        assert len(found) == 3 and values[0] == [7, 8, 9, 10] and [sorted(v) for v in values] == [[7, 8, 9, 10]] * 3
+    assert list((tmp_path / "log" / "_staged").iterdir()) == []
