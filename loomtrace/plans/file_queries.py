@@ -16,15 +16,20 @@ from loomtrace.plans.registry import query
 from loomtrace.sources.tables import table
 
 
+#: Tasks for each core where files are made and read: a row is small and takes milliseconds.
+FILE_TASKS = 4
+
+
 def _made(rows: DataFrame, key: str, make: Callable[[object], tuple[bytes, bytes]]) -> DataFrame:
-    """(key, result, expected): two files for each row."""
+    """(key, result, expected): two files for each row, made and read in tasks for all cores, however few files and splits the rows come in."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             files = [make(r) for r in batch.itertuples(index=False)]
             yield pd.DataFrame({key: batch[key].to_numpy(), "result": [a for a, _ in files], "expected": [b for _, b in files]})
 
-    return rows.mapInPandas(scan, f"{key} long, result binary, expected binary")
+    parts = FILE_TASKS * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(parts, key).mapInPandas(scan, f"{key} long, result binary, expected binary")
 
 
 def _books(r) -> tuple[bytes, bytes]:

@@ -409,3 +409,13 @@ def test_catalogue_of_functions(spark):
     assert kinds["setup"] == 20 and kinds["getter"] == len(GETTERS) and kinds["metric"] == len(EVALUATOR)
     text = {r.kind: r.text for r in S.formatted_catalog(catalog).collect()}["setup"]
     assert "- _launch_setup(command, shell=None): " in text.split("\n")
+
+
+def test_made_files_are_read_in_tasks_for_all_cores(spark):
+    from pyspark.sql import functions as F
+
+    from loomtrace.plans.file_queries import _decks, _made
+
+    rows = spark.range(40).coalesce(1).selectExpr("id as s_suppkey", "'S' || id as s_name", "id % 5 as s_nationkey")
+    made = _made(rows, "s_suppkey", _decks).withColumn("task", F.spark_partition_id()).select("s_suppkey", "task").collect()
+    assert sorted(r.s_suppkey for r in made) == list(range(40)) and len({r.task for r in made}) >= spark.sparkContext.defaultParallelism
