@@ -33,7 +33,10 @@ def same_underline(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), a == b).otherwise(~F.coalesce(F.coalesce(a, b) == "true", F.lit(False)))
 
 
-def _both(rows: DataFrame, at: list[str], values: list[str]) -> DataFrame:
+def _both(rows: DataFrame, at: list[str], values: list[str], partitions: int | None = None) -> DataFrame:
+    """Both sides at each position; with ``partitions`` all of a pair is sorted in one of so many, and nothing of it is dealt again."""
+    if partitions is not None:
+        rows = rows.select("pair", "side", *at, *values).repartition(partitions, "pair")
     side = lambda s: F.max(F.when(F.col("side") == s, F.struct(*values)))
     return rows.groupBy("pair", *at).agg(side("result").alias("a"), side("expected").alias("b"))
 
@@ -67,11 +70,13 @@ def _placed_tests(on, tolerance: float) -> list[Column]:
     return [test for name, test in tests.items() if on(name)]
 
 
-def compare_decks(shapes: DataFrame, runs: DataFrame, slides: DataFrame, table_runs: DataFrame, tolerance: float = 0.005, **options: bool) -> DataFrame:
+def compare_decks(shapes: DataFrame, runs: DataFrame, slides: DataFrame, table_runs: DataFrame, tolerance: float = 0.005, partitions: int | None = None, **options: bool) -> DataFrame:
     """(pair, score): 1 if slides, shapes, paragraphs and runs of two decks agree in all that is looked at (``ON`` by default).
 
     Without ``examine_number_of_slides`` only slides that both decks have are looked
-    at. Runs of tables are compared whatever is switched off, but for their colour.
+    at. Runs of tables are compared whatever is switched off, but for their colour. A task sorts
+    the rows of its pairs; ``partitions`` says how many such tasks there are, so that a caller can
+    let them grow with the table (the session's number by default, whatever the table's size).
     """
     unknown = sorted(set(options) - {*ON, *OFF})
     if unknown:
@@ -86,11 +91,11 @@ def compare_decks(shapes: DataFrame, runs: DataFrame, slides: DataFrame, table_r
     tests = [F.col("a.background").eqNullSafe(F.col("b.background"))] if on("examine_background_color") else []
     if on("examine_note"):
         tests.append(bare(F.col("a.notes")) == bare(F.col("b.notes")))
-    shown = _all(_both(slides, ["slide"], ["background", "notes"]), *tests)
+    shown = _all(_both(slides, ["slide"], ["background", "notes"], partitions), *tests)
     tests = _placed_tests(on, tolerance)
     if on("examine_text"):
         tests.append(bare(F.col("a.text")) == bare(F.col("b.text")))
-    placed = _all(_both(shapes, ["slide", "shape"], ["kind", "left", "top", "width", "height", "text"]), *tests)
+    placed = _all(_both(shapes, ["slide", "shape"], ["kind", "left", "top", "width", "height", "text"], partitions), *tests)
     value = lambda s, c, d: F.coalesce(F.col(f"{s}.{c}").cast("string"), F.lit(d).cast("string"))
     same = lambda c, d: value("a", c, d).eqNullSafe(value("b", c, d))
     tests = [F.col("a.text").eqNullSafe(F.col("b.text"))] if on("examine_text") else []
@@ -107,10 +112,10 @@ def compare_decks(shapes: DataFrame, runs: DataFrame, slides: DataFrame, table_r
         blank = (bare(F.col("a.text")) == "") & (bare(F.col("b.text")) == "")
         tests.append(blank | (F.col("a.text").eqNullSafe(F.col("b.text")) & same("bullet", "No Bullet") & same("bullet_level", "0")))
     columns = ["text", *RUN_CHECKS, "underline", "color", "alignment", "level", "bullet", "bullet_level"]
-    written = _all(_both(runs, ["slide", "shape", "paragraph", "run"], columns), *tests)
+    written = _all(_both(runs, ["slide", "shape", "paragraph", "run"], columns, partitions), *tests)
     tests = [same("bold", "false"), same("italic", "false"), same_underline(F.col("a.underline"), F.col("b.underline"))]
     tests += [same_color] if on("examine_color_rgb") else []
-    tabled = _all(_both(table_runs, ["slide", "shape", "row", "col", "paragraph", "run"], ["bold", "italic", "underline", "color"]), *tests)
+    tabled = _all(_both(table_runs, ["slide", "shape", "row", "col", "paragraph", "run"], ["bold", "italic", "underline", "color"], partitions), *tests)
     return reduce(DataFrame.unionByName, [shown, placed, written, tabled]).groupBy("pair").agg(F.min("score").alias("score"))
 
 

@@ -32,6 +32,10 @@ def check_cell(spark, sf_dir):
     return sheets.check_cell(_cells(spark, sf_dir), "S", "A2", "re", "^[AN]$").select("pair", (F.col("score") == 1).alias("fits"))
 
 
+#: Tasks of the comparison of decks for each split of the table.
+DECK_TASKS = 16
+
+
 @query("q_deck_compare", "SELECT l_orderkey AS pair, min(CASE WHEN l_linenumber = 4 THEN 0 ELSE 1 END)::DOUBLE AS score FROM lineitem GROUP BY 1")
 def deck_compare(spark, sf_dir):
     """Slides whose shapes are alike within a tolerance; every fourth slide is widened."""
@@ -43,7 +47,9 @@ def deck_compare(spark, sf_dir):
     )
     two = one.withColumn("width", F.when(F.col("slide") == 4, 120.0).otherwise(100.4)).withColumn("bold", F.lit("false")).withColumn("alignment", F.lit("LEFT")).withColumn("text", F.concat("text", F.lit(""))).withColumn("level", F.lit("0")).withColumn("notes", F.lit("note"))
     both = one.withColumn("side", F.lit("result")).unionByName(two.withColumn("side", F.lit("expected")))
-    return decks.compare_decks(both, both, both, both)
+    # A row of this narrow table is some hundred bytes as a shape or a run, so each split of it is dealt to several tasks.
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), DECK_TASKS * items.rdd.getNumPartitions())
+    return decks.compare_decks(both, both, both, both, partitions=partitions)
 
 
 @query("q_action_forms", """SELECT event_id, CASE event_type WHEN 'view' THEN 'CLICK' WHEN 'click' THEN 'MOVE_TO,SCROLL' WHEN 'purchase' THEN 'DONE' WHEN 'error' THEN 'MOVE_TO,DRAG_TO' END AS kinds, CASE event_type WHEN 'click' THEN (-(event_id % 50))::VARCHAR WHEN 'error' THEN (event_id % 7)::VARCHAR END AS last FROM events""")

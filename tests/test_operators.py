@@ -286,3 +286,14 @@ def test_range_totals_without_the_pairs(spark):
     all_ranges = spark.range(20_000).selectExpr("'s' as sheet", "id as rule", "id % 50 as r0", "-(id % 40) as c0", "id + 1000 as r1", "id % 13 + 100 as c1")
     totals = range_totals(all_cells, all_ranges, ["sheet"], "rule").groupBy("hits", "last").count().collect()
     assert [tuple(r) for r in totals] == [(20_000, 19_999, 100_000)]
+
+
+def test_tasks_of_compared_decks_grow_with_the_table(spark, sf_dir, tmp_path):
+    from loomtrace.plans.office_queries import DECK_TASKS, deck_compare
+
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    items.repartition(30).write.option("maxRecordsPerFile", 300).parquet(str(tmp_path / "lineitem.parquet"))
+    splits = spark.read.parquet(str(tmp_path / "lineitem.parquet")).rdd.getNumPartitions()
+    frame = deck_compare(spark, str(tmp_path))
+    assert "hashpartitioning(pair#" in frame._jdf.queryExecution().toString() and f", {DECK_TASKS * splits})" in frame._jdf.queryExecution().toString().replace(", REPARTITION_BY_NUM", ")")
+    assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, deck_compare(spark, sf_dir).collect()))
