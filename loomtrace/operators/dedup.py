@@ -127,14 +127,15 @@ def meet(rows: DataFrame, pivots: DataFrame, cells: DataFrame, threshold: float)
 
     def choose(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"id": left.id[:0], "domain": _texts([], 0), "u": left.embedding[:0], "cell": np.zeros(0, np.int32)})
+            return pd.DataFrame({"id": left.id[:0], "domain": _texts([], 0), "u": left.embedding[:0], "cells": _texts([], 0)})
         angles = _angles(_units(left.embedding), _units(right["pivot"]))
-        at, cell = np.nonzero(angles <= right.radius.to_numpy()[None, :] + reach)
-        picked = left.iloc[at]
-        return pd.DataFrame({"id": picked.id.to_numpy(), "domain": _texts(picked.domain.tolist(), len(at)), "u": picked.embedding.to_numpy(), "cell": right.cell.to_numpy()[cell].astype(np.int32)})
+        held, cell = angles <= right.radius.to_numpy()[None, :] + reach, right.cell.to_numpy().astype(np.int32)
+        return pd.DataFrame({"id": left.id, "domain": _texts(left.domain.tolist(), len(left)), "u": left.embedding, "cells": _texts([cell[mine] for mine in held], len(left))})
 
     around = pivots.join(cells.select("domain", "cell", "radius"), ["domain", "cell"])
-    near = _with_pivots(rows, around, choose, f"id {key}, domain string, u {vector}, cell int")
+    # A vector leaves Python once, with the list of its cells: copies for each cell are made outside, row by row.
+    near = _with_pivots(rows, around, choose, f"id {key}, domain string, u {vector}, cells array<int>")
+    near = near.select("id", "domain", "u", F.explode("cells").alias("cell"))
     rest = rows.join(pivots.select("domain").distinct(), "domain", "left_anti").join(cells.select("domain", "cell").filter("cell = 0"), "domain")
     return near.unionByName(rest.select("id", "domain", F.col("embedding").alias("u"), "cell"))
 

@@ -297,3 +297,20 @@ def test_tasks_of_compared_decks_grow_with_the_table(spark, sf_dir, tmp_path):
     frame = deck_compare(spark, str(tmp_path))
     assert "hashpartitioning(pair#" in frame._jdf.queryExecution().toString() and f", {DECK_TASKS * splits})" in frame._jdf.queryExecution().toString().replace(", REPARTITION_BY_NUM", ")")
     assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, deck_compare(spark, sf_dir).collect()))
+
+
+def test_a_row_that_meets_many_cells_leaves_python_once(spark):
+    """What chooses cells gives one row for each vector; the copies for each cell are made by a generator after it."""
+    import numpy as np
+
+    from loomtrace.operators import dedup
+
+    rng = np.random.default_rng(4)
+    values = [[float(x) for x in rng.normal(size=4)] for _ in range(50)]
+    rows = spark.createDataFrame([(i, "d", v) for i, v in enumerate(values)], "id long, domain string, embedding array<double>")
+    pivots = spark.createDataFrame([("d", c, values[c]) for c in range(6)], "domain string, cell int, pivot array<double>")
+    cells = spark.createDataFrame([("d", c, 3.2, 1) for c in range(6)], "domain string, cell int, radius double, n long")
+    met = dedup.meet(rows, pivots, cells, 0.0)
+    assert sorted((r.id, r.cell) for r in met.collect()) == [(i, c) for i in range(50) for c in range(6)]
+    assert {r.id: r.n for r in met.groupBy("id").agg({"u": "count"}).withColumnRenamed("count(u)", "n").collect()} == dict.fromkeys(range(50), 6)
+    assert "explode(cells" in met._jdf.queryExecution().optimizedPlan().toString()
